@@ -5,7 +5,7 @@ from importlib import import_module
 
 from .registry import ORACLE, QUERIES
 
-for _module in ("bronze",):
+for _module in ("bronze", "policy", "text"):
     import_module(f"{__name__}.{_module}")
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -19,12 +19,15 @@ def to_bronze_record(df: DataFrame, now: Column | float) -> DataFrame:
     becomes `{source_url}_{now}`.
     """
     stamp = (F.lit(float(now)) if isinstance(now, (int, float)) else now).cast("double")
+    # Plain decimal text: the double itself would print in scientific notation.
+    digits = F.regexp_replace(stamp.cast("decimal(20,6)").cast("string"), "0+$", "")
+    stamp_text = F.regexp_replace(digits, r"\.$", ".0")
     given = F.when(F.col("chunk_id") != "", F.col("chunk_id")) if "chunk_id" in df.columns else F.lit(None)
     language = F.col("language") if "language" in df.columns else F.lit(None).cast("string")
     embedding = normalise_embedding("embedding") if "embedding" in df.columns else F.lit(None).cast("array<float>")
     rows = df.where(F.col("source_url").isNotNull()).select(
         # coalesce with a literal makes the required fields provably non-null.
-        F.coalesce(given, F.concat(F.col("source_url"), F.lit("_"), stamp.cast("string")), F.lit("")).alias("chunk_id"),
+        F.coalesce(given, F.concat(F.col("source_url"), F.lit("_"), stamp_text), F.lit("")).alias("chunk_id"),
         F.coalesce(F.col("source_url"), F.lit("")).alias("source_url"),
         F.coalesce(strip("content"), F.lit("")).alias("content"),
         F.coalesce(stamp, F.lit(0.0)).alias("ingested_at"),
