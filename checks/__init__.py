@@ -5,7 +5,7 @@ from importlib import import_module
 
 from .registry import ORACLE, QUERIES
 
-for _module in ("bronze", "policy", "text"):
+for _module in ("bronze", "policy", "text", "pages", "ranking", "vectors", "graph", "streams"):
     import_module(f"{__name__}.{_module}")
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -32,9 +32,11 @@ def _counted(df: DataFrame, terms: Sequence[str], text: str) -> DataFrame:
             "_hits": F.filter("_toks", lambda t: F.array_contains(literal_array(terms), t)),
         }
     ).drop("_toks")
-    counts = {
-        f"_tf{i}": F.size(F.filter("_hits", lambda t, term=term: t == F.lit(term))) for i, term in enumerate(terms)
-    }
+
+    def occurrences(term: str) -> Column:
+        return F.size(F.filter("_hits", lambda t: t == F.lit(term)))
+
+    counts = {f"_tf{i}": occurrences(term) for i, term in enumerate(terms)}
     return hits.withColumns(counts).drop("_hits")
 
 
