@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siltstone.scale import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -26,5 +28,10 @@ def check(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+# Tables of long text, whose rows are worth spreading over all cores.
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, TEXT_TABLES[name]) if name in TEXT_TABLES else df

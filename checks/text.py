@@ -190,7 +190,7 @@ def topic_keywords(spark, sf):
 def entity_sql() -> str:
     """Matches with their places: the text before match i is what splitting leaves."""
     parts = []
-    for label, (pattern, _) in E.PATTERNS.items():
+    for label, (pattern, _, _) in E.PATTERNS.items():
         p = pattern.replace("'", "''")
         parts.append(f"SELECT doc_id, '{label}' AS label, regexp_extract_all(text, '{p}') AS m, regexp_split_to_array(text, '{p}') AS g FROM documents")
     return f"""

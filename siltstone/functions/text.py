@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,6 +27,11 @@ def as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with `value` computed once per row, however often it is named."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column | str) -> Column:
     return F.btrim(as_column(c), F.lit(WHITESPACE))
 

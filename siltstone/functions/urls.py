@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import as_column, strip
+from .text import as_column, let, strip
 
 URL = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#([\s\S]*))?$"
 TRACKING = ("ref", "fbclid", "gclid")
@@ -22,9 +22,21 @@ TWO_LEVEL_SUFFIXES = (
 )
 
 
+# A URL loses its line breaks before it is split, so one may separate the parts.
+_BREAK = "\n"
+
+
+def _clean(url: Column | str) -> Column:
+    return F.translate(as_column(url), "\t\r\n", "")
+
+
 def _part(url: Column | str, group: int) -> Column:
-    # Parsers drop tabs and line breaks from a URL before splitting it.
-    return F.regexp_extract(F.translate(as_column(url), "\t\r\n", ""), URL, group)
+    return F.regexp_extract(_clean(url), URL, group)
+
+
+def parts(url: Column | str) -> Column:
+    """[scheme, authority, path, query, fragment] by one run of the pattern."""
+    return F.split(F.regexp_replace(_clean(url), URL, _BREAK.join(f"${i}" for i in range(1, 6))), _BREAK)
 
 
 def scheme(url: Column | str) -> Column:
@@ -67,36 +79,48 @@ def target_dir(url: Column | str) -> Column:
     return F.concat(safe(authority(url), "unknown"), F.lit("_"), safe(F.btrim(path(url), F.lit("/")), "root"))
 
 
+def _bare_host(name: Column) -> Column:
+    return F.lower(F.regexp_replace(name, r"^.*@|:[0-9]*$", ""))
+
+
 def host(url: Column | str) -> Column:
     """Lower-case host without user and port."""
-    bare = F.regexp_replace(authority(url), r"^.*@", "")
-    return F.lower(F.regexp_replace(bare, r":[0-9]*$", ""))
+    return _bare_host(authority(url))
+
+
+def _registrable(name: Column, suffixes: Sequence[str]) -> Column:
+    def pick(labels: Column) -> Column:
+        last_two = F.array_join(F.slice(labels, -2, 2), ".")
+        last_three = F.array_join(F.slice(labels, F.greatest(-F.size(labels), F.lit(-3)), F.lit(3)), ".")
+        whole = F.array_join(labels, ".")
+        return (
+            F.when(F.size(labels) <= 2, whole).when(last_two.isin(list(suffixes)), last_three).otherwise(last_two)
+        )
+
+    return let(F.split(F.regexp_replace(name, r"^www\.", ""), r"\."), pick)
 
 
 def base_domain(url: Column | str, suffixes: Sequence[str] = TWO_LEVEL_SUFFIXES) -> Column:
     """Registrable domain: the last two labels, or three below a two-level suffix."""
-    name = F.regexp_replace(host(url), r"^www\.", "")
-    labels = F.split(name, r"\.")
-    last_two = F.substring_index(name, ".", -2)
-    return (
-        F.when(F.size(labels) <= 2, name)
-        .when(last_two.isin(list(suffixes)), F.substring_index(name, ".", -3))
-        .otherwise(last_two)
-    )
+    return _registrable(host(url), suffixes)
 
 
 def is_external(url: Column | str, domain: Column | str) -> Column:
     """True when the URL leaves `domain`; a relative reference never does."""
-    web = scheme(url).isin("", "http", "https")
-    return F.when(authority(url) == "", ~web).otherwise(base_domain(url) != F.lower(as_column(domain)))
+
+    def leaves(p: Column) -> Column:
+        web = F.lower(F.get(p, 0)).isin("", "http", "https")
+        own = _registrable(_bare_host(F.get(p, 1)), TWO_LEVEL_SUFFIXES)
+        return F.when(F.get(p, 1) == "", ~web).otherwise(own != F.lower(as_column(domain)))
+
+    return let(parts(url), leaves)
 
 
 def _without_dots(p: Column) -> Column:
     """Resolve `.` and `..` in an absolute path."""
-    parts = F.split(p, "/")
     empty = F.array().cast("array<string>")
     folded = F.aggregate(
-        parts,
+        F.split(p, "/"),
         empty,
         lambda acc, s: F.when(s == ".", acc)
         .when(s == "..", F.when(F.size(acc) > 1, F.slice(acc, 1, F.size(acc) - 1)).otherwise(acc))
@@ -120,32 +144,6 @@ def normalize_url(
 
     Query parameters are sorted as text; empty input gives NULL.
     """
-    raw = strip(href)
-    absolute = scheme(raw) != ""
-    has_authority = authority(raw) != ""
-    has_path = _part(raw, 3) != ""
-    has_query = query(raw) != ""
-
-    new_scheme = F.when(absolute, scheme(raw)).otherwise(scheme(base))
-    new_authority = F.when(absolute | has_authority, authority(raw)).otherwise(authority(base))
-    userinfo = F.regexp_extract(new_authority, r"^(.*@)?", 1)
-    host_port = F.lower(F.regexp_replace(new_authority, r"^.*@", ""))
-
-    base_dir = F.regexp_replace(_part(base, 3), r"[^/]*$", "")
-    own_path = _part(raw, 3)
-    new_path = (
-        F.when(absolute | has_authority, own_path)
-        .when(~has_path, _part(base, 3))
-        .when(F.startswith(own_path, F.lit("/")), own_path)
-        .otherwise(F.concat(F.when(base_dir == "", F.lit("/")).otherwise(base_dir), own_path))
-    )
-    # Opaque references such as mailto: have no authority and keep their path as it is.
-    hierarchical = new_authority != ""
-    clean_path = F.when(hierarchical, F.when(new_path == "", F.lit("/")).otherwise(_without_dots(new_path))).otherwise(
-        new_path
-    )
-
-    new_query = F.when(absolute | has_authority | has_path | has_query, query(raw)).otherwise(query(base))
     dropped = [p.lower() for p in ((*TRACKING, *extra_drop_params) if drop_tracking else extra_drop_params)]
 
     def kept(param: Column) -> Column:
@@ -157,20 +155,45 @@ def normalize_url(
             ok = ok & ~F.startswith(name, F.lit(TRACKING_PREFIX))
         return ok
 
-    params = F.filter(F.split(new_query, "&"), kept)
-    if sort_query:
-        params = F.array_sort(params)
-    text = F.array_join(params, "&")
-    tail = F.when(text != "", F.concat(F.lit("?"), text)).otherwise("")
-    if keep_fragment:
-        frag = fragment(raw)
-        tail = F.concat(tail, F.when(frag != "", F.concat(F.lit("#"), frag)).otherwise(""))
-
-    front = F.concat(
-        F.when(new_scheme != "", F.concat(new_scheme, F.lit(":"))).otherwise(""),
-        F.when(hierarchical, F.concat(F.lit("//"), userinfo, host_port)).otherwise(""),
-    )
-    return F.when(raw != "", F.concat(front, clean_path, tail))
+    def resolved(h: Column, b: Column) -> Column:
+        own_scheme, own_authority, own_path, own_query, own_fragment = (F.get(h, i) for i in range(5))
+        base_scheme, base_authority, base_path, base_query = (F.get(b, i) for i in range(4))
+        rooted = (own_scheme != "") | (own_authority != "")
+        base_dir = F.regexp_replace(base_path, r"[^/]*$", "")
+
+        new_scheme = F.lower(F.when(own_scheme != "", own_scheme).otherwise(base_scheme))
+        new_authority = F.when(rooted, own_authority).otherwise(base_authority)
+        new_path = (
+            F.when(rooted | F.startswith(own_path, F.lit("/")), own_path)
+            .when(own_path == "", base_path)
+            .otherwise(F.concat(F.when(base_dir == "", F.lit("/")).otherwise(base_dir), own_path))
+        )
+        new_query = F.when(rooted | (own_path != "") | (own_query != ""), own_query).otherwise(base_query)
+        params = F.filter(F.split(new_query, "&"), kept)
+        text = F.array_join(F.array_sort(params) if sort_query else params, "&")
+
+        # Opaque references such as mailto: have no authority and keep their path as it is.
+        front = F.when(
+            new_authority != "",
+            F.concat(
+                F.lit("//"),
+                F.regexp_extract(new_authority, r"^(.*@)?", 1),
+                F.lower(F.regexp_replace(new_authority, r"^.*@", "")),
+                F.when(new_path == "", F.lit("/")).otherwise(_without_dots(new_path)),
+            ),
+        ).otherwise(new_path)
+        pieces = [
+            F.when(new_scheme != "", F.concat(new_scheme, F.lit(":"))).otherwise(""),
+            front,
+            F.when(text != "", F.concat(F.lit("?"), text)).otherwise(""),
+        ]
+        if keep_fragment:
+            pieces.append(F.when(own_fragment != "", F.concat(F.lit("#"), own_fragment)).otherwise(""))
+        return F.concat(*pieces)
+
+    raw = strip(href)
+    whole = let(parts(raw), lambda h: let(parts(base), lambda b: resolved(h, b)))
+    return F.when(raw != "", whole)
 
 
 def glob_regex(glob: str) -> str:

@@ -3,41 +3,44 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# label -> (pattern, characters of which one must occur for a match to be possible).
+# label -> (pattern, characters of which one must occur, whether a digit must occur).
 # The patterns use no look-around, so any engine with linear-time matching can check them.
-PATTERNS: dict[str, tuple[str, str]] = {
-    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", "@"),
-    "phone_intl": (r"\+[0-9]{1,3}[ .-]?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){2,4}", "+"),
-    "phone_us": (r"\(?[2-9][0-9]{2}\)?[ .-][2-9][0-9]{2}[ .-][0-9]{4}", " .-"),
-    "url": (r"https?://[^\s\"'<>]+", ":"),
-    "ipv4": (r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}", "."),
-    "ipv6": (r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}", ":"),
-    "uuid": (r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[1-5][0-9A-Fa-f]{3}-[89ABab][0-9A-Fa-f]{3}-[0-9A-Fa-f]{12}", "-"),
-    "currency": (r"(?:USD|EUR|GBP|[$€£¥])\s?[0-9]+(?:,[0-9]{3})*(?:\.[0-9]{1,2})?", "$€£¥DRP"),
-    "percentage": (r"[0-9]+(?:\.[0-9]+)?\s?%", "%"),
-    "number": (r"[0-9]+(?:,[0-9]{3})*(?:\.[0-9]+)?", "0123456789"),
-    "date_iso": (r"[0-9]{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])", "-"),
-    "date_us": (r"(?:0?[1-9]|1[0-2])/(?:0?[1-9]|[12][0-9]|3[01])/[0-9]{4}", "/"),
-    "time_24h": (r"(?:[01][0-9]|2[0-3]):[0-5][0-9](?::[0-5][0-9])?", ":"),
-    "postal_us": (r"[A-Z]{2} [0-9]{5}(?:-[0-9]{4})?", "0123456789"),
-    "postal_uk": (r"[A-Z]{1,2}[0-9][0-9A-Z]? ?[0-9][A-Z]{2}", "0123456789"),
-    "html_color_hex": (r"#[0-9A-Fa-f]{6}", "#"),
-    "twitter_handle": (r"@[A-Za-z0-9_]{1,15}", "@"),
-    "hashtag": (r"#[A-Za-z0-9_]+", "#"),
-    "mac_addr": (r"(?:[0-9A-Fa-f]{2}[:-]){5}[0-9A-Fa-f]{2}", ":-"),
-    "iban": (r"[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?", "0123456789"),
-    "credit_card": (r"(?:[0-9]{4}[ -]?){3}[0-9]{4}", "0123456789"),
+PATTERNS: dict[str, tuple[str, str, bool]] = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", "@", False),
+    "phone_intl": (r"\+[0-9]{1,3}[ .-]?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){2,4}", "+", True),
+    "phone_us": (r"\(?[2-9][0-9]{2}\)?[ .-][2-9][0-9]{2}[ .-][0-9]{4}", "", True),
+    "url": (r"https?://[^\s\"'<>]+", ":", False),
+    "ipv4": (r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}", "", True),
+    "ipv6": (r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}", ":", False),
+    "uuid": (r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[1-5][0-9A-Fa-f]{3}-[89ABab][0-9A-Fa-f]{3}-[0-9A-Fa-f]{12}", "-", True),
+    "currency": (r"(?:USD|EUR|GBP|[$€£¥])\s?[0-9]+(?:,[0-9]{3})*(?:\.[0-9]{1,2})?", "$€£¥DRP", True),
+    "percentage": (r"[0-9]+(?:\.[0-9]+)?\s?%", "%", True),
+    "number": (r"[0-9]+(?:,[0-9]{3})*(?:\.[0-9]+)?", "", True),
+    "date_iso": (r"[0-9]{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])", "-", True),
+    "date_us": (r"(?:0?[1-9]|1[0-2])/(?:0?[1-9]|[12][0-9]|3[01])/[0-9]{4}", "/", True),
+    "time_24h": (r"(?:[01][0-9]|2[0-3]):[0-5][0-9](?::[0-5][0-9])?", ":", True),
+    "postal_us": (r"[A-Z]{2} [0-9]{5}(?:-[0-9]{4})?", "", True),
+    "postal_uk": (r"[A-Z]{1,2}[0-9][0-9A-Z]? ?[0-9][A-Z]{2}", "", True),
+    "html_color_hex": (r"#[0-9A-Fa-f]{6}", "#", False),
+    "twitter_handle": (r"@[A-Za-z0-9_]{1,15}", "@", False),
+    "hashtag": (r"#[A-Za-z0-9_]+", "#", False),
+    "mac_addr": (r"(?:[0-9A-Fa-f]{2}[:-]){5}[0-9A-Fa-f]{2}", ":-", False),
+    "iban": (r"[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?", "", True),
+    "credit_card": (r"(?:[0-9]{4}[ -]?){3}[0-9]{4}", "", True),
 }
 
 
-def _found(text: Column, pattern: str, needed: str) -> Column:
-    """All matches; a cheap scan for a needed character spares most texts the pattern."""
+def _found(text: Column, pattern: str, needed: str, digit: bool) -> Column:
+    """All matches; cheap scans for what a match needs spare most texts the pattern."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    return F.when(F.translate(text, needed, "") != text, found) if needed else found
+    possible = reduce(or_, [F.contains(text, F.lit(c)) for c in needed]) if needed else F.lit(True)
+    return F.when(possible & F.col("_digit") if digit else possible, found)
 
 
 def _spans(text: Column, found: Column, label: str, pattern: str) -> Column:
@@ -81,16 +84,14 @@ def entities(
     `labels` narrows the built-in set; `custom` adds or replaces label patterns.
     """
     chosen = {name: PATTERNS[name] for name in (PATTERNS if labels is None else labels)}
-    chosen.update({name: (pattern, "") for name, pattern in (custom or {}).items()})
+    chosen.update({name: (pattern, "", False) for name, pattern in (custom or {}).items()})
     keep = [c for c in df.columns if c not in (text, "label", "value", "start", "end")]
     # Matches get columns of their own, so each pattern runs once per text.
     matched = df.select(
-        *keep,
-        F.col(text).alias("_text"),
-        *[_found(F.col(text), pattern, needed).alias(f"_m{i}") for i, (pattern, needed) in enumerate(chosen.values())],
-    )
+        *keep, F.col(text).alias("_text"), F.rlike(F.col(text), F.lit("[0-9]")).alias("_digit")
+    ).select("*", *[_found(F.col("_text"), *spec).alias(f"_m{i}") for i, spec in enumerate(chosen.values())])
     rows = [
-        _spans(F.col("_text"), F.col(f"_m{i}"), name, pattern) for i, (name, (pattern, _)) in enumerate(chosen.items())
+        _spans(F.col("_text"), F.col(f"_m{i}"), name, spec[0]) for i, (name, spec) in enumerate(chosen.items())
     ]
     return matched.select(*keep, F.inline(F.concat(*rows)))
 

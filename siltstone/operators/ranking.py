@@ -10,7 +10,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import literal_array, tokens
+from ..functions.text import let, literal_array, tokens
 from ..scale import running_sum
 
 
@@ -25,13 +25,16 @@ def _counted(df: DataFrame, terms: Sequence[str], text: str) -> DataFrame:
 
     Counting the few query terms inside the row means no token ever leaves it.
     """
-    toks = df.withColumn("_toks", tokens(F.lower(F.col(text))))
-    hits = toks.withColumns(
-        {
-            "_dl": F.size("_toks"),
-            "_hits": F.filter("_toks", lambda t: F.array_contains(literal_array(terms), t)),
-        }
-    ).drop("_toks")
+    wanted = literal_array(terms)
+
+    def summary(toks: Column) -> Column:
+        hits = F.filter(toks, lambda t: F.array_contains(wanted, t))
+        return F.struct(F.size(toks).alias("_dl"), hits.alias("_hits"))
+
+    # An exploded one-element array is computed once per row: neither a filter on the
+    # score nor another projection can pull the tokenizer through it a second time.
+    once = F.explode(F.array(let(tokens(F.lower(F.col(text))), summary)))
+    hits = df.select("*", once.alias("_doc")).select(*df.columns, "_doc._dl", "_doc._hits")
 
     def occurrences(term: str) -> Column:
         return F.size(F.filter("_hits", lambda t: t == F.lit(term)))

@@ -48,6 +48,16 @@ def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use every core on an input of a few files that cannot be split.
+
+    A table with at least one partition per core, as any large one, is returned
+    as it is and not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Hint a broadcast only after the row bound has been checked."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

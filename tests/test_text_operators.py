@@ -27,7 +27,7 @@ def test_every_label_and_span(frame):
         got.setdefault((r.doc, r.label), []).append((r.value, r.start, r.end))
     for doc, sample in SAMPLES.items():
         assert (doc, doc) in got
-        for label, (pattern, _) in E.PATTERNS.items():
+        for label, (pattern, _, _) in E.PATTERNS.items():
             want = [(m.group(), m.start(), m.end()) for m in re.finditer(pattern, f"ž {sample} ž", re.ASCII)]
             assert sorted(got.get((doc, label), []), key=lambda m: m[1]) == want, (doc, label)
 
