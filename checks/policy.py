@@ -17,30 +17,31 @@ from .registry import check, table
 
 @check("active_config", """
 WITH c AS (
-  SELECT d.source, d.doc_id, d.lang, l.quality = 1 AND l.toxic = 0 AS active,
-         row_number() OVER (PARTITION BY d.source ORDER BY d.doc_id) - 1 AS pos
-  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+  SELECT d.source, d.lang, count(*) AS n, coalesce(sum(l.quality), 0) * 3 > count(*) AS active
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY ALL
 )
 SELECT s.source AS file, CASE WHEN p.source IS NULL THEN 'none active' ELSE 'ok' END AS status,
        p.name, p.description, p.terms
 FROM (SELECT DISTINCT source FROM documents) s
 LEFT JOIN (
-  SELECT source, arg_max('policy ' || doc_id, pos) AS name, arg_max(lang, pos) AS description,
-         arg_max(lang || ',x', pos) AS terms
+  SELECT source, arg_max('policy ' || n, lang) AS name, max(lang) AS description, max(lang) || ',x' AS terms
   FROM c WHERE active GROUP BY source
 ) p ON s.source = p.source""")
 def active_config(spark, sf):
     docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
+    counts = docs.groupBy("source", "lang").agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("quality"), F.lit(0)).alias("good")
+    )
     item = F.struct(
-        ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("active"),
-        F.concat(F.lit("policy "), "doc_id").alias("name"),
+        (F.col("good") * 3 > F.col("n")).alias("active"),
+        F.concat(F.lit("policy "), "n").alias("name"),
         F.col("lang").alias("description"),
         F.array("lang", F.lit("x")).alias("include_terms"),
         F.array().cast("array<string>").alias("exclude_terms"),
     )
-    # One JSON array per file, as the loader expects: a configuration file is small by nature.
-    arrays = docs.groupBy("source").agg(
-        F.to_json(F.transform(F.sort_array(F.collect_list(F.struct("doc_id", item.alias("c")))), lambda x: x["c"])).alias("value")
+    # A file per source with one policy per language: as many rows as there are languages.
+    arrays = counts.groupBy("source").agg(
+        F.to_json(F.transform(F.sort_array(F.collect_list(F.struct("lang", item.alias("c")))), lambda x: x["c"])).alias("value")
     )
     path = new_path(spark, "configs")
     arrays.write.partitionBy("source").text(path)

@@ -132,7 +132,7 @@ def stream_discovery(spark, sf):
     noise = topic_rows(pages, "discovery_queue", F.col("page_id") + 2_000_000_000, again)
     run = lambda: jobs.discovery(
         spark,
-        topics.read_topic(spark, "json", f"{base}/topics", ["discovery_queue"], stream=True, max_per_trigger=5),
+        topics.read_topic(spark, "json", f"{base}/topics", ["discovery_queue"], stream=True, max_per_trigger=12),
         f"{base}/visited", f"{base}/work", f"{base}/checkpoint", f"{base}/dead",
     ).awaitTermination()
     for wave in (wave1, wave2.unionByName(noise)):

@@ -32,12 +32,16 @@ def _relink(neighbours: DataFrame, keep_self: bool) -> DataFrame:
     return edges.where(F.col("src") != F.col("dst")).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.xxhash64("src", "dst") % 1_000_000_007), F.lit(0)).alias("h"),
-    ).first()
-    return row["n"], row["h"]
+def _settled(edges: DataFrame) -> bool:
+    """Has every vertex one parent at most, and no parent a parent of its own?
+
+    Edges lead to smaller ids, so then each component is a star around its smallest.
+    """
+    roles = edges.select(F.col("src").alias("v"), F.lit(1).alias("child"), F.lit(0).alias("parent")).unionByName(
+        edges.select(F.col("dst").alias("v"), F.lit(0).alias("child"), F.lit(1).alias("parent"))
+    )
+    seen = roles.groupBy("v").agg(F.sum("child").alias("child"), F.max("parent").alias("parent"))
+    return seen.where(F.col("child") + F.col("parent") * F.least("child", F.lit(1)) > 1).isEmpty()
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
@@ -48,19 +52,16 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         .distinct(),
         "edges",
     )
-    before = _state(current)
-    for _ in range(max_rounds):
+    rounds = 0
+    while not _settled(current):
+        if rounds == max_rounds:
+            raise RuntimeError("components did not settle")
+        rounds += 1
         both = current.select(F.col("src").alias("u"), F.col("dst").alias("v")).unionByName(
             current.select(F.col("dst").alias("u"), F.col("src").alias("v"))
         )
         large = _relink(both, keep_self=False)
         small = _relink(large.select(F.col("src").alias("u"), F.col("dst").alias("v")), keep_self=True)
         current = cut_lineage(small, "edges")
-        after = _state(current)
-        if after == before:
-            break
-        before = after
-    else:
-        raise RuntimeError("components did not settle")
     roots = current.select(F.col("dst").alias("id"), F.col("dst").alias("component")).distinct()
     return current.select(F.col("src").alias("id"), F.col("dst").alias("component")).unionByName(roots)

@@ -18,8 +18,11 @@ def first_seen(df: DataFrame, key: str = "url") -> DataFrame:
 
 
 def unvisited(df: DataFrame, visited: DataFrame, key: str = "url") -> DataFrame:
-    """First messages of URLs that are not in `visited`."""
-    return first_seen(df.join(visited.select(key), key, "left_anti"), key)
+    """First messages of URLs that are not in `visited`.
+
+    Repeats go first: what is joined is one row per URL, already partitioned by it.
+    """
+    return first_seen(df, key).join(visited.select(key), key, "left_anti")
 
 
 def counters(df: DataFrame, url: str = "url", status: str = "status") -> DataFrame:

@@ -112,7 +112,7 @@ def topic_keywords(df: DataFrame, n: int = 3, key: str = "doc_id", text: str = "
     )
     n_docs = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     spread = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    scored = skew_join(terms, spread, "term", spread=[key]).withColumn(
+    scored = skew_join(terms, spread, "term", spread=[key], counts="df").withColumn(
         "score", F.col("tf") * F.ln(n_docs.cast("double") / F.col("df"))
     )
     best = W.partitionBy(key).orderBy(F.desc(F.round("score", 9)), "term")

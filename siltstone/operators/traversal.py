@@ -7,15 +7,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..scale import cut_lineage
+from ..scale import SaltedEdges, cut_lineage
 
 Predicate = Callable[[Column], Column]
 
 
-def _found(edges: DataFrame, frontier: DataFrame, depth: int, allowed: Predicate | None) -> DataFrame:
+def _found(edges: SaltedEdges, frontier: DataFrame, depth: int, allowed: Predicate | None) -> DataFrame:
     """Targets of the frontier, each with its smallest parent."""
-    step = edges.join(frontier.select(F.col("url").alias("src")), "src")
+    step = edges.join(frontier.select(F.col("url").alias("src")))
     if allowed is not None:
         step = step.where(allowed(F.col("dst")))
     # A page everyone links to is combined map-side before the shuffle.
@@ -32,10 +33,28 @@ def _walk(
 ) -> DataFrame:
     """One job per level; each level is written once and read by the next.
 
-    The levels are disjoint, so the tables written add up to the answer.
+    The levels are disjoint, so the tables written add up to the answer.  The
+    links are shuffled once, however many levels there are.
     """
-    links = cut_lineage(edges.select("src", "dst").where(F.col("src") != F.col("dst")).distinct(), "links")
-    start = seeds.select("url").distinct().select("url", F.lit(None).cast(edges.schema["src"].dataType).alias("parent"), F.lit(0).alias("depth"))
+    links = SaltedEdges(edges.select("src", "dst").where(F.col("src") != F.col("dst")).distinct(), "src", "dst")
+    try:
+        return _levels(links, seeds, edges.schema["src"].dataType, max_depth, allowed, narrow, budget)
+    finally:
+        links.forget()
+
+
+def _levels(
+    links: SaltedEdges,
+    seeds: DataFrame,
+    id_type: T.DataType,
+    max_depth: int,
+    allowed: Predicate | None,
+    narrow: Callable[[DataFrame, int], DataFrame],
+    budget: int | None,
+) -> DataFrame:
+    start = seeds.select("url").distinct().select(
+        "url", F.lit(None).cast(id_type).alias("parent"), F.lit(0).alias("depth")
+    )
     levels: list[DataFrame] = []
     left = budget
     level = start

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 HOT_KEYS = 1000
+SALTS = 32
 
 
 @lru_cache(maxsize=1)
@@ -107,19 +108,23 @@ def skew_join(
     key: str,
     spread: Sequence[str],
     how: str = "inner",
-    salts: int = 32,
+    salts: int = SALTS,
+    counts: str | None = None,
 ) -> DataFrame:
     """Equi-join where a few keys may own much of `left`; `right` is unique by `key`.
 
     The `HOT_KEYS` most frequent keys (a fixed bound, so it may be broadcast)
     are salted by a hash of `spread`; `right` rows are copied only for them.
     The salt is a pure function of the row, so a recomputed task agrees with
-    the first attempt.
+    the first attempt.  `counts` names a column of `right` that already holds
+    the rows per key of `left`, which saves counting them.
     """
+    if counts:
+        sizes = right.select(F.col(key), F.col(counts).alias("_n"))
+    else:
+        sizes = left.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     hot = F.broadcast(
-        left.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        sizes.where(F.col(key).isNotNull())
         .orderBy(F.desc("_n"), key)
         .limit(HOT_KEYS)
         .select(F.col(key), F.lit(True).alias("_hot"))
@@ -133,3 +138,31 @@ def skew_join(
         F.explode(F.sequence(F.lit(0), F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(F.lit(0)))),
     )
     return salted.drop("_hot").join(copies.drop("_hot"), [key, "_salt"], how).drop("_salt")
+
+
+class SaltedEdges:
+    """A table kept on disk bucketed by (key, salt), to be joined many times on `key`.
+
+    It is shuffled once, when it is written; a join shuffles only the other,
+    smaller side, copied once per salt.  The salt comes from `spread`, so a key
+    that owns much of the table is still split over `salts` buckets.
+    """
+
+    def __init__(self, df: DataFrame, key: str, spread: str, salts: int = SALTS) -> None:
+        self.spark, self.key, self.salts = df.sparkSession, key, salts
+        self.name = f"siltstone_{uuid.uuid4().hex}"
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+        # One writer per bucket, so that each bucket is one file.
+        salted.repartition(buckets, key, "_salt").write.bucketBy(buckets, key, "_salt").option(
+            "path", new_path(self.spark, "edges")
+        ).saveAsTable(self.name, format="parquet")
+
+    def join(self, keys: DataFrame) -> DataFrame:
+        """Rows whose key is in `keys`, a table of that one column."""
+        copies = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(self.salts - 1))))
+        return self.spark.table(self.name).join(copies, [self.key, "_salt"]).drop("_salt")
+
+    def forget(self) -> None:
+        """Drop the name; the files stay with the other scratch tables."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")

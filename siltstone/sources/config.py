@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..scale import broadcast_if_small
+
 
 def read_configs(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Rows of JSON array files with `pos`, their place in the file (`file`)."""
@@ -48,4 +50,4 @@ def read_seeds(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, Da
 def seed_urls(seeds: DataFrame, include: DataFrame, exclude: DataFrame) -> DataFrame:
     """Seeds (language, url) whose language is included and not excluded."""
     allowed = include.select("language").distinct().join(exclude.select("language"), "language", "left_anti")
-    return seeds.join(allowed, "language", "left_semi")
+    return seeds.join(broadcast_if_small(allowed, 10_000), "language", "left_semi")

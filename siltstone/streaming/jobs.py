@@ -51,7 +51,16 @@ class IdleMonitor(StreamingQueryListener):
 
 def _run(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, drain: bool) -> StreamingQuery:
     counted = stream.observe("topic", F.count(F.lit(1)).alias("records"), F.max("offset").alias("last_offset"))
-    writer: DataStreamWriter = counted.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+
+    def once(batch: DataFrame, batch_id: int) -> None:
+        # Several writes follow; the source is read for the first of them only.
+        held = batch.persist()
+        try:
+            step(held, batch_id)
+        finally:
+            held.unpersist()
+
+    writer: DataStreamWriter = counted.writeStream.foreachBatch(once).option("checkpointLocation", checkpoint)
     # availableNow stops by itself once the backlog known at the start is worked off.
     return (writer.trigger(availableNow=True) if drain else writer).start()
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from siltstone.operators import chunking, entities, pages, ranking, terms
 from siltstone.plans import silver as S
+from siltstone.scale import SaltedEdges, skew_join
 
 SF = "/root/testdata/sf0.001"
 PYTHON = re.compile(r"ArrowEvalPython|BatchEvalPython|MapInPandas|MapInArrow|FlatMapGroupsInPandas|FlatMapCoGroups")
@@ -84,3 +85,35 @@ def test_columns_are_pruned(spark):
 def test_word_split_is_evaluated_once(docs):
     text = chunking.chunk_overlapping(docs.withColumn("source_url", F.lit("u")))._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("split(") <= 1
+
+
+def test_links_are_shuffled_once_for_all_levels(spark, docs):
+    edges = docs.select(F.col("doc_id").alias("src"), (F.col("doc_id") * 3 % 50).alias("dst"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        links = SaltedEdges(edges, "src", "dst", salts=4)
+        found = links.join(docs.select(F.col("doc_id").alias("src")).where("src < 7"))
+        # Only the frontier moves; the links are read in the buckets they lie in.
+        assert shuffles(found) == 1 and "Bucketed: true" in plan(found)
+        want = edges.where("src < 7").collect()
+        assert sorted(map(tuple, found.select("src", "dst").collect())) == sorted(map(tuple, want))
+        links.forget()
+        assert not spark.catalog.tableExists(links.name)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_hot_keys_meet_their_copies_in_many_tasks(frame, spark):
+    left = frame([(i, "hot") for i in range(400)], "i int, k string")
+    right = frame([("hot", 1)], "k string, v int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = skew_join(left, right, "k", ["i"])
+        assert rows.count() == 400
+        assert rows.select(F.spark_partition_id()).distinct().count() > 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
