@@ -60,7 +60,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         both = current.select(F.col("src").alias("u"), F.col("dst").alias("v")).unionByName(
             current.select(F.col("dst").alias("u"), F.col("src").alias("v"))
         )
-        large = _relink(both, keep_self=False)
+        large = cut_lineage(_relink(both, keep_self=False), "edges")
         small = _relink(large.select(F.col("src").alias("u"), F.col("dst").alias("v")), keep_self=True)
         current = cut_lineage(small, "edges")
     roots = current.select(F.col("dst").alias("id"), F.col("dst").alias("component")).distinct()

@@ -10,7 +10,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import let, literal_array, tokens
+from ..functions.text import let, tokens
 from ..scale import running_sum
 
 
@@ -25,10 +25,9 @@ def _counted(df: DataFrame, terms: Sequence[str], text: str) -> DataFrame:
 
     Counting the few query terms inside the row means no token ever leaves it.
     """
-    wanted = literal_array(terms)
 
     def summary(toks: Column) -> Column:
-        hits = F.filter(toks, lambda t: F.array_contains(wanted, t))
+        hits = F.filter(toks, lambda t: t.isin(list(terms)))
         return F.struct(F.size(toks).alias("_dl"), hits.alias("_hits"))
 
     # An exploded one-element array is computed once per row: neither a filter on the

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+# At most this many keys are salted, and only those with this many rows or more.
 HOT_KEYS = 1000
+HOT_ROWS = 100_000
 SALTS = 32
 
 
@@ -113,31 +115,42 @@ def skew_join(
 ) -> DataFrame:
     """Equi-join where a few keys may own much of `left`; `right` is unique by `key`.
 
-    The `HOT_KEYS` most frequent keys (a fixed bound, so it may be broadcast)
-    are salted by a hash of `spread`; `right` rows are copied only for them.
-    The salt is a pure function of the row, so a recomputed task agrees with
-    the first attempt.  `counts` names a column of `right` that already holds
-    the rows per key of `left`, which saves counting them.
+    The most frequent keys are salted by a hash of `spread`, and `right` rows
+    are copied for them only.  The salt is a pure function of the row, so a
+    recomputed task agrees with the first attempt.  Frequent keys come from one
+    pass with a mergeable sketch, which finds every key above a small share of
+    the rows; or, without that pass, from `counts`, a column of `right` that
+    already holds the rows per key.
+
+    Both sides may be large and exploded rows are easily taken for few, so a
+    sort-merge join, which spills, is asked for rather than a broadcast.
     """
     if counts:
-        sizes = right.select(F.col(key), F.col(counts).alias("_n"))
+        # HOT_KEYS rows at most, so it may be broadcast.
+        found = F.broadcast(
+            right.where(F.col(key).isNotNull() & (F.col(counts) >= HOT_ROWS))
+            .orderBy(F.desc(counts), key)
+            .limit(HOT_KEYS)
+            .select(F.col(key), F.lit(True).alias("_hot"))
+        )
+
+        def flag(df: DataFrame) -> DataFrame:
+            return df.join(found, key, "left")
     else:
-        sizes = left.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = F.broadcast(
-        sizes.where(F.col(key).isNotNull())
-        .orderBy(F.desc("_n"), key)
-        .limit(HOT_KEYS)
-        .select(F.col(key), F.lit(True).alias("_hot"))
-    )
-    salted = left.join(hot, key, "left").withColumn(
-        "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(F.lit(0)),
-    )
-    copies = right.join(hot, key, "left").withColumn(
-        "_salt",
-        F.explode(F.sequence(F.lit(0), F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(F.lit(0)))),
-    )
-    return salted.drop("_hot").join(copies.drop("_hot"), [key, "_salt"], how).drop("_salt")
+        sketch = f"approx_top_k(`{key}`, {HOT_KEYS}, {10 * HOT_KEYS})"
+        top = left.agg(F.expr(sketch).alias("top")).first()["top"] or []
+        hot = [t["item"] for t in top if t["item"] is not None and t["count"] >= HOT_ROWS]
+        if not hot:
+            return left.join(right.hint("merge"), key, how)
+
+        def flag(df: DataFrame) -> DataFrame:
+            return df.withColumn("_hot", F.col(key).isin(hot))
+
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    copies = F.explode(F.sequence(F.lit(0), F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(F.lit(0))))
+    salted = flag(left).withColumn("_salt", salt).drop("_hot")
+    copied = flag(right).withColumn("_salt", copies).drop("_hot")
+    return salted.join(copied.hint("merge"), [key, "_salt"], how).drop("_salt")
 
 
 class SaltedEdges:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from siltstone.operators import chunking, entities, pages, ranking, terms
 from siltstone.plans import silver as S
+from siltstone import scale
 from siltstone.scale import SaltedEdges, skew_join
 
 SF = "/root/testdata/sf0.001"
@@ -104,7 +105,8 @@ def test_links_are_shuffled_once_for_all_levels(spark, docs):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_hot_keys_meet_their_copies_in_many_tasks(frame, spark):
+def test_hot_keys_meet_their_copies_in_many_tasks(frame, spark, monkeypatch):
+    monkeypatch.setattr(scale, "HOT_ROWS", 100)
     left = frame([(i, "hot") for i in range(400)], "i int, k string")
     right = frame([("hot", 1)], "k string, v int")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

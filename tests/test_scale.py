@@ -26,16 +26,18 @@ def test_running_sum_without_groups(frame):
     assert all(r.before == r.o + 50 and r.total == 250 for r in got)
 
 
+@pytest.mark.parametrize("counts", [None, "n"])
+@pytest.mark.parametrize("hot_keys, hot_rows", [(2, 1), (1000, 5), (1000, 10**6)])
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_skew_join(frame, how, monkeypatch):
-    monkeypatch.setattr(scale, "HOT_KEYS", 2)
+def test_skew_join(frame, how, hot_keys, hot_rows, counts, monkeypatch):
+    monkeypatch.setattr(scale, "HOT_KEYS", hot_keys)
+    monkeypatch.setattr(scale, "HOT_ROWS", hot_rows)
     rows = [(i, "hot" if i % 3 == 0 else f"k{i % 50}") for i in range(600)] + [(1000, None), (1001, "absent")]
     left = frame(rows, "i int, k string")
-    right = frame([("hot", 1), *[(f"k{i}", i + 2) for i in range(50)], ("unused", 99)], "k string, v int")
-    got = sorted((r.i, r.k, r.v) for r in scale.skew_join(left, right, "k", ["i"], how).collect() if r.k)
-    want = sorted((r.i, r.k, r.v) for r in left.join(right, "k", how).collect() if r.k)
-    assert got == want
-    assert scale.skew_join(left, right, "k", ["i"], how).count() == left.join(right, "k", how).count()
+    right = frame([("hot", 1, 200), *[(f"k{i}", i + 2, 8) for i in range(50)], ("unused", 99, 0)], "k string, v int, n int")
+    joined = scale.skew_join(left, right, "k", ["i"], how, counts=counts).select("i", "k", "v", "n")
+    order = lambda df: sorted(df.collect(), key=lambda r: r.i)
+    assert order(joined) == order(left.join(right, "k", how).select("i", "k", "v", "n"))
 
 
 def test_cut_lineage_and_shared_dir(spark, frame):
