@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+
 # label -> (pattern, characters of which one must occur, whether a digit must occur).
 # The patterns use no look-around, so any engine with linear-time matching can check them.
 PATTERNS: dict[str, tuple[str, str, bool]] = {
@@ -43,28 +45,56 @@ def _found(text: Column, pattern: str, needed: str, digit: bool) -> Column:
     return F.when(possible & F.col("_digit") if digit else possible, found)
 
 
+def _running(blocks: Column, at: str, lengths: tuple[str, ...]) -> Column:
+    """(total, starts): where each element begins when the named lengths are laid end to end."""
+    return F.aggregate(
+        blocks,
+        F.struct(F.lit(0).alias("total"), F.array().cast("array<int>").alias("starts")),
+        lambda acc, x: F.struct(
+            reduce(add, [x[n] for n in lengths], acc["total"]).alias("total"),
+            F.concat(acc["starts"], F.array(acc["total"] + x[at] if at else acc["total"])).alias("starts"),
+        ),
+    )
+
+
+def _starts(lengths: Column) -> Column:
+    """Start of every match from (gap before it, own length).
+
+    A fold copies what it has so far at each step, so the matches are folded in
+    blocks of about the root of their number: a text with a million of them
+    costs a thousand short folds and not one long one.
+    """
+    size = F.size(lengths)
+    step = F.ceil(F.sqrt(size)).cast("int")
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.ceil(size / step).cast("int") - 1),
+        lambda b: _running(F.slice(lengths, b * step + 1, step), "gap", ("gap", "own")),
+    )
+    return let(
+        blocks,
+        lambda folded: F.flatten(
+            F.zip_with(
+                folded,
+                _running(folded, "", ("total",))["starts"],
+                lambda block, first: F.transform(block["starts"], lambda s: s + first),
+            )
+        ),
+    )
+
+
 def _spans(text: Column, found: Column, label: str, pattern: str) -> Column:
     """Array of (label, value, start, end) for one pattern; offsets count characters.
 
-    The text between matches comes from `split`; a fold over the lengths of both
-    places every match, so equal values keep their own spans.
+    The text between matches comes from `split`, so equal values keep their own spans.
     """
     lengths = F.zip_with(
         found,
         F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)),
         lambda m, g: F.struct(F.length(g).alias("gap"), F.length(m).alias("own")),
     )
-    placed = F.aggregate(
-        lengths,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + x["own"]).alias("at"),
-            F.concat(acc["starts"], F.array(acc["at"] + x["gap"])).alias("starts"),
-        ),
-    )["starts"]
     rows = F.zip_with(
         found,
-        placed,
+        let(lengths, _starts),
         lambda m, s: F.struct(
             F.lit(label).alias("label"), m.alias("value"), s.alias("start"), (s + F.length(m)).alias("end")
         ),

@@ -29,6 +29,8 @@ from .components import connected_components
 TILE_ROWS = 4096
 MAX_PIVOTS = 4096
 MAX_QUERIES = 1024
+# Rows placed at a time: bounds the matrix of angles to all pivots.
+PLACE_ROWS = 1024
 # Float noise: similarities this close to a threshold count as reaching it.
 EPSILON = 1e-9
 # Slack on angles, on the safe side wherever a comparison may be skipped.
@@ -87,9 +89,7 @@ def _placed(points: DataFrame, pivots: np.ndarray, angle: float) -> DataFrame:
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not len(batch):
-                continue
+        for batch in (b[i : i + PLACE_ROWS] for b in batches for i in range(0, len(b), PLACE_ROWS)):
             unit = _unit(batch["vec"])
             angles = _angles(unit, pivots)
             own = angles.argmin(axis=1)
@@ -352,9 +352,8 @@ def top_k_similar(
         matrix = _unit(pd.Series([r["vec"] for r in held]))
 
         def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                if len(batch):
-                    yield _best(matrix @ _unit(batch["vec"]).T, batch["id"].to_numpy(), names, k)
+            for batch in (b[i : i + TILE_ROWS] for b in batches for i in range(0, len(b), TILE_ROWS)):
+                yield _best(matrix @ _unit(batch["vec"]).T, batch["id"].to_numpy(), names, k)
 
         best = points.mapInPandas(scan, schema)
     else:

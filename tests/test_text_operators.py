@@ -32,6 +32,14 @@ def test_every_label_and_span(frame):
             assert sorted(got.get((doc, label), []), key=lambda m: m[1]) == want, (doc, label)
 
 
+def test_a_text_full_of_matches(frame):
+    sample = " ".join(str(i * 7) + "," * (i % 3) for i in range(30_000))
+    rows = E.entities(frame([(sample,)], "content string"), labels=["number"]).collect()
+    assert [(r.value, r.start, r.end) for r in rows] == [
+        (m.group(), m.start(), m.end()) for m in re.finditer(E.PATTERNS["number"][0], sample)
+    ]
+
+
 def test_entity_choice(frame):
     df = frame([(1, "a@b.cd ab12"), (2, None)], "doc int, content string")
     rows = E.entities(df, labels=["email"], custom={"code": "[a-z]{2}[0-9]{2}"}).collect()
