@@ -28,15 +28,19 @@ def read_bronze(
     `site`) as columns a filter can prune on; without it any directory layout is
     read.  `corrupt_column` keeps unparsable lines visible.
     """
+    reader = spark.read if with_partitions else spark.read.option("recursiveFileLookup", "true")
     schema = relaxed(BRONZE)
-    reader = spark.read.option("mode", "PERMISSIVE")
-    if corrupt_column:
-        schema = schema.add(corrupt_column, T.StringType())
-        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-    if not with_partitions:
-        reader = reader.option("recursiveFileLookup", "true")
-    df = reader.schema(schema).json(path)
-    return df.withColumn("source", source_of(F.col("_metadata.file_path")))
+    if not corrupt_column:
+        df = reader.option("mode", "PERMISSIVE").schema(schema).json(path)
+        return df.withColumn("source", source_of(F.col("_metadata.file_path")))
+    # Lines are parsed as a column: the JSON reader refuses queries that need the
+    # corrupt lines alone, such as counting them.
+    lines = reader.text(path).withColumn("source", source_of(F.col("_metadata.file_path")))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_column}
+    wide = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
+    parsed = lines.where(F.trim("value") != "").withColumn("value", F.from_json("value", wide, options))
+    partitions = [c for c in lines.columns if c not in ("value", "source")]
+    return parsed.select(*[F.col(f"value.{n}").alias(n) for n in wide.names], *partitions, "source")
 
 
 def with_ingested_date(df: DataFrame) -> DataFrame:

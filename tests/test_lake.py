@@ -53,7 +53,11 @@ def test_reference_layout_and_bad_lines(spark, tmp_path):
     day = tmp_path / "bronze" / "a_b_root" / "ingested_date=2024-01-01"
     day.mkdir(parents=True)
     (day / "part.json").write_text('{"chunk_id":"x","content":"y"}\n{broken\n')
-    rows = lake.read_bronze(spark, str(tmp_path / "bronze"), corrupt_column="_bad").collect()
+    df = lake.read_bronze(spark, str(tmp_path / "bronze"), corrupt_column="_bad")
+    assert df.where("_bad IS NOT NULL").count() == 1
+    dated = lake.read_bronze(spark, str(tmp_path / "bronze" / "a_b_root"), True, "_bad")
+    assert {str(r.ingested_date) for r in dated.collect()} == {"2024-01-01"}
+    rows = df.collect()
     assert [(r.chunk_id, r.source, r._bad) for r in rows] == [("x", "a_b_root", None), (None, "a_b_root", "{broken")]
 
 
