@@ -5,10 +5,13 @@ from pyspark.sql import functions as F
 from siltstone.operators import frontier, traversal
 from siltstone.operators.chunking import chunk_overlapping
 from siltstone.operators.links import KeywordScorer, PathDepthScorer, composite_score
+from siltstone.plans import crawl
+from siltstone.schema import BRONZE, relaxed
+from siltstone.sources.topics import decode
 
 from .fixtures import BRONZE_SQL, bronze
 from .registry import check, table
-from .text import WORDS_SQL, windows_sql
+from .text import WORDS_SQL, windows_sql, words_sql
 
 # Page links do not point at pages, so the graph is p -> 7p+1 and p -> 3p+2 (mod n).
 EDGES_SQL = """
@@ -118,6 +121,41 @@ def traversal_stats(spark, sf):
     return traversal.traversal_stats(log(spark, sf))
 
 
+CRAWL_SQL = f"""
+sessions AS (
+  SELECT source AS seed, min(lang) AS language FROM documents GROUP BY source HAVING count(*) % 3 <> 0
+),
+found AS (
+  SELECT seed, d.source || '/' || doc_id AS url, s.language, {words_sql('text')} AS ws FROM documents d JOIN sessions s ON d.source = s.seed
+),
+crawl AS (
+  SELECT seed, url, language, i, array_to_string(ws[i * 450 + 1 : i * 450 + 500], ' ') AS chunk
+  FROM (SELECT *, unnest(range(0, greatest(ceil((len(ws) - 50) / 450.0)::BIGINT, 1))) AS i FROM found WHERE len(ws) > 0)
+)"""
+
+
+def crawled(spark, sf):
+    docs = table(spark, sf, "documents")
+    work = docs.groupBy(F.col("source").alias("url")).agg(F.min("lang").alias("language"), F.count(F.lit(1)).alias("n"))
+    pages = docs.select(F.col("source").alias("seed"), F.concat("source", F.lit("/"), "doc_id").alias("url"), "text")
+    return crawl.crawl_chunks(work.where("n % 3 <> 0"), pages, now=1704067200.5)
+
+
+@check("crawl_chunks", f"""WITH {CRAWL_SQL}
+SELECT seed, url || '::' || i AS chunk_id, url AS source_url, sha256(chunk) AS content_hash, CAST(1704067200.5 AS DOUBLE) AS ingested_at, language
+FROM crawl WHERE length(chunk) > 100""")
+def crawl_chunks(spark, sf):
+    rows = crawled(spark, sf)
+    return rows.select("seed", "chunk_id", "source_url", F.sha2("content", 256).alias("content_hash"), "ingested_at", "language")
+
+
+@check("crawl_chunk_messages", f"""WITH {CRAWL_SQL}
+SELECT 'relevant_chunks' AS topic, url AS key, url || '::' || i AS chunk_id, length(chunk) AS n, language FROM crawl WHERE length(chunk) > 100""")
+def crawl_chunk_messages(spark, sf):
+    good, _ = decode(crawl.chunk_messages(crawled(spark, sf)), relaxed(BRONZE), required=["source_url"])
+    return good.select("topic", "key", "data.chunk_id", F.length("data.content").cast("long").alias("n"), "data.language")
+
+
 @check("session_summary", f"""WITH {BRONZE_SQL}, {WORDS_SQL},
 {windows_sql(120, 100, 'greatest(ceil((len(ws) - 20) / 100.0)::BIGINT, 1)')}
 SELECT source_url AS seed, count(DISTINCT chunk_id) AS pages, count(*) AS chunks FROM cut WHERE length(chunk) > 100 GROUP BY source_url""")

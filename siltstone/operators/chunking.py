@@ -1,7 +1,8 @@
 """Text to chunk rows.
 
 Everything but the mergers is row-local: no shuffle, no Python.  Windows are cut
-inside one expression, so a long document is never copied once per chunk.
+inside one expression and the source text column is dropped, so a long document
+is never copied once per chunk.  Result: the other columns, `idx` and `chunk`.
 """
 
 from __future__ import annotations
@@ -18,9 +19,9 @@ from ..scale import running_sum
 _MARK = "\x1e"
 
 
-def _explode(df: DataFrame, pieces: Column) -> DataFrame:
+def _explode(df: DataFrame, pieces: Column, text: str) -> DataFrame:
     """One row per array element, numbered from 0 in `idx`."""
-    keep = [c for c in df.columns if c not in ("idx", "chunk")]
+    keep = [c for c in df.columns if c not in (text, "_words", "idx", "chunk")]
     return df.select(*keep, F.posexplode(pieces).alias("idx", "chunk"))
 
 
@@ -35,7 +36,7 @@ def _windows(ws: Column, count: Column, window: int, step: int) -> Column:
 
 def _by_windows(df: DataFrame, text: str, count: Column, window: int, step: int) -> DataFrame:
     with_words = df.withColumn("_words", words(text))
-    return _explode(with_words, _windows(F.col("_words"), count, window, step)).drop("_words")
+    return _explode(with_words, _windows(F.col("_words"), count, window, step), text)
 
 
 def _overlap_count(n: Column, window: int, overlap: int) -> Column:
@@ -84,7 +85,8 @@ def chunk_fixed(df: DataFrame, size: int, text: str = "content") -> DataFrame:
 
 def chunk_identity(df: DataFrame, text: str = "content") -> DataFrame:
     """The whole text as chunk 0."""
-    return df.withColumn("idx", F.lit(0)).withColumn("chunk", F.col(text))
+    keep = [c for c in df.columns if c not in (text, "idx", "chunk")]
+    return df.select(*keep, F.lit(0).alias("idx"), F.col(text).alias("chunk"))
 
 
 def chunk_regex(df: DataFrame, patterns: Sequence[str] = (r"\n\n",), text: str = "content") -> DataFrame:
@@ -93,7 +95,7 @@ def chunk_regex(df: DataFrame, patterns: Sequence[str] = (r"\n\n",), text: str =
         raise ValueError("at least one pattern is needed")
     any_of = "|".join(f"(?:{p})" for p in patterns)
     pieces = F.transform(F.split(F.col(text), any_of), strip)
-    return _explode(df, F.filter(pieces, lambda p: p != ""))
+    return _explode(df, F.filter(pieces, lambda p: p != ""), text)
 
 
 def chunk_sentences(df: DataFrame, text: str = "content") -> DataFrame:
@@ -101,7 +103,7 @@ def chunk_sentences(df: DataFrame, text: str = "content") -> DataFrame:
     flat = F.translate(F.col(text), _MARK, " ")
     marked = F.regexp_replace(flat, f"([.!?]){WS}+", f"$1{_MARK}")
     pieces = F.transform(F.split(marked, _MARK), strip)
-    return _explode(df, F.filter(pieces, lambda p: p != ""))
+    return _explode(df, F.filter(pieces, lambda p: p != ""), text)
 
 
 def merge_by_tokens(

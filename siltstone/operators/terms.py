@@ -18,9 +18,9 @@ def with_tokens(df: DataFrame, text: str = "content", out: str = "tokens", lower
 
 
 def trigrams(df: DataFrame, text: str = "content") -> DataFrame:
-    """One row per word triple (`gram`) with its place in the text (`pos`)."""
+    """One row per word triple (`gram`) with its place (`pos`), without the text itself."""
     toks = with_tokens(df, text, "_tokens")
-    keep = [c for c in df.columns if c not in ("pos", "gram")]
+    keep = [c for c in df.columns if c not in (text, "pos", "gram")]
     return toks.select(*keep, F.posexplode(trigram_array("_tokens")).alias("pos", "gram"))
 
 
@@ -64,7 +64,6 @@ def semantic_records(
     if (vectors is None) == (embedder is None):
         raise ValueError("give either vectors or embedder")
     grams = trigrams(df.select("chunk_id", "source_url", "language", "content"))
-    grams = grams.select("chunk_id", "source_url", "language", "pos", "gram")
     if vectors is None:
         vectors = embed_texts(grams.select("gram").distinct(), embedder)
     usable = vectors.where(F.col("embedding").isNotNull())

@@ -112,6 +112,7 @@ def skew_join(
     how: str = "inner",
     salts: int = SALTS,
     counts: str | None = None,
+    broadcast_rows: int = 0,
 ) -> DataFrame:
     """Equi-join where a few keys may own much of `left`; `right` is unique by `key`.
 
@@ -123,8 +124,11 @@ def skew_join(
     already holds the rows per key.
 
     Both sides may be large and exploded rows are easily taken for few, so a
-    sort-merge join, which spills, is asked for rather than a broadcast.
+    sort-merge join, which spills, is asked for rather than a broadcast; only a
+    `right` counted to hold at most `broadcast_rows` rows is broadcast.
     """
+    if broadcast_rows and right.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return left.join(F.broadcast(right), key, how)
     if counts:
         # HOT_KEYS rows at most, so it may be broadcast.
         found = F.broadcast(
