@@ -73,7 +73,7 @@ def running_sum(
     by: Sequence[str] = (),
     before: str = "before",
     total: str = "total",
-    width: int = 1 << 16,
+    width: int = 1 << 20,
 ) -> DataFrame:
     """Add the sum of `value` over earlier rows, and the group total.
 
