@@ -119,15 +119,15 @@ def topic_rows(df, topic, offset, value):
 
 
 @check("stream_discovery", """
-SELECT url, CASE WHEN bool_or(page_id % 2 = 0) THEN 'first' ELSE 'en' END AS language, TRUE AS visited, 'once' AS runs
+SELECT url, CASE WHEN bool_or(contains(url, '/en/')) THEN 'first' ELSE 'en' END AS language, TRUE AS visited, 'once' AS runs
 FROM pages GROUP BY url""")
 def stream_discovery(spark, sf):
-    """Even pages first, then every page again without a language, with broken messages between."""
+    """English pages first, then every page without a language, with broken messages between."""
     pages = table(spark, sf, "pages")
     base = new_path(spark, "discovery")
     first = F.to_json(F.struct("url", F.lit("first").alias("language")))
     again = F.when(F.col("page_id") % 10 == 3, F.lit("{broken")).otherwise(F.lit(None))
-    wave1 = topic_rows(pages.where("page_id % 2 = 0"), "discovery_queue", F.col("page_id"), first)
+    wave1 = topic_rows(pages.where("contains(url, '/en/')"), "discovery_queue", F.col("page_id"), first)
     wave2 = topic_rows(pages, "discovery_queue", F.col("page_id") + 1_000_000_000, F.to_json(F.struct("url")))
     noise = topic_rows(pages, "discovery_queue", F.col("page_id") + 2_000_000_000, again)
     run = lambda: jobs.discovery(
