@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from siltstone.operators.records import group_flush
+from siltstone.plans import crawl
 from siltstone.scale import new_path
 from siltstone.schema import DISCOVERY
 from siltstone.sources import topics
@@ -65,6 +66,30 @@ def topic_sink_rows(spark, sf):
     return topics.read_topic(spark, "json", path, ["discovery_queue"]).select("topic", "key", "value")
 
 
+@check("seed_messages", """
+SELECT 'discovery_queue' AS topic, url AS key, url, lang AS language FROM (
+  SELECT url, regexp_extract(url, '^https?://[^/]*/([^/?#]*)', 1) AS lang FROM pages) WHERE lang NOT IN ('de', 'es')""")
+def seed_messages(spark, sf):
+    language = F.regexp_extract("url", "^https?://[^/]*/([^/?#]*)", 1)
+    seeds = table(spark, sf, "pages").select(language.alias("language"), "url")
+    good, _ = topics.decode(crawl.seed_messages(seeds, blocked=["de", "es"]), DISCOVERY, required=["url"])
+    return good.select("topic", "key", "data.url", "data.language")
+
+
+@check("visited_messages", "SELECT 'visited_urls' AS topic, url AS key, '1' AS value FROM pages GROUP BY url")
+def visited_messages(spark, sf):
+    """Through the streaming sink: pages as discovery messages in, visited messages out."""
+    base = new_path(spark, "visited")
+    pages = table(spark, sf, "pages")
+    sent = topic_rows(pages, "discovery_queue", F.col("page_id"), F.to_json(F.struct("url")))
+    topics.write_topic(sent, "json", f"{base}/in")
+    source = topics.read_topic(spark, "json", f"{base}/in", ["discovery_queue"], stream=True)
+    urls = jobs.first_seen_stream(source).select("url")
+    out = crawl.visited_messages(urls)
+    topics.write_topic_stream(out, "json", f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return topics.read_topic(spark, "json", f"{base}/out", ["visited_urls"]).select("topic", "key", "value")
+
+
 @check("topic_decode_good", f"""WITH {MESSAGES_SQL}
 SELECT topic, "offset", CAST(regexp_extract(value, '"k": ([0-9]+)', 1) AS INTEGER) AS k FROM messages
 WHERE value IS NOT NULL AND json_valid(value)""")

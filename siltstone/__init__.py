@@ -38,12 +38,12 @@ from .operators.records import group_flush, to_bronze_record  # noqa: E402
 from .operators.terms import corpus_stats, semantic_records, term_stats, topic_keywords, trigram_counts, trigrams  # noqa: E402
 from .operators.traversal import best_first, bfs, traversal_stats  # noqa: E402
 from .operators.vectors import clusters, dedup, gaps, similarity_labels, top_k_similar  # noqa: E402
-from .plans.crawl import chunk_messages, crawl_chunks  # noqa: E402
+from .plans.crawl import chunk_messages, crawl_chunks, seed_messages, visited_messages  # noqa: E402
 from .plans.silver import classified, deduped, hashed, pieces, row_count, sample, silver, silver_sql, time_buckets, vertical  # noqa: E402
 from .schema import BRONZE, DISCOVERY, TOPIC, enforce  # noqa: E402
 from .sources.config import active_config, read_configs, read_seeds, seed_urls  # noqa: E402
 from .sources.lake import export_kb, file_inventory, import_kb, read_bronze, with_ingested_date, write_bronze  # noqa: E402
-from .sources.topics import decode, encode, next_offsets, read_topic, write_topic  # noqa: E402
+from .sources.topics import decode, encode, next_offsets, read_topic, write_topic, write_topic_stream  # noqa: E402
 from .streaming.jobs import IdleMonitor, discovery, first_seen_stream, ingest  # noqa: E402
 
 __version__ = "0.1.0"

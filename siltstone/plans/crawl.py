@@ -1,18 +1,36 @@
-"""From the work list to chunk messages (A09, A24, A32, A33): what a crawl publishes."""
+"""What a crawl publishes: seed, visited and chunk messages."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.chunking import chunk_overlapping
+from ..operators.links import seed_admission
 from ..scale import skew_join
 from ..sources.topics import encode
 
-# Chunk size of the crawl, in words, and the topic the chunks go to.
+# Chunk size of the crawl, in words; the topics; the value of a visited message.
 WINDOW = 500
 OVERLAP = 50
+SEED_TOPIC = "discovery_queue"
+VISITED_TOPIC = "visited_urls"
 CHUNK_TOPIC = "relevant_chunks"
+VISITED_MARK = "1"
+
+
+def seed_messages(seeds: DataFrame, blocked: Sequence[str] = (), topic: str = SEED_TOPIC) -> DataFrame:
+    """Admitted seeds (language, url) as discovery messages keyed by URL."""
+    return encode(seed_admission(seeds, blocked=blocked), topic, "url", ["url", "language"])
+
+
+def visited_messages(urls: DataFrame, topic: str = VISITED_TOPIC) -> DataFrame:
+    """URLs as visited messages: the key is the URL, the value a mark."""
+    return urls.select(
+        F.lit(topic).alias("topic"), F.col("url").cast("string").alias("key"), F.lit(VISITED_MARK).alias("value")
+    )
 
 
 def crawl_chunks(

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from ..schema import TOPIC
 
@@ -73,6 +74,21 @@ def write_topic(df: DataFrame, format: str, location: str, options: dict[str, st
         raise ValueError("format must be 'kafka' or 'json'")
 
 
+def write_topic_stream(
+    df: DataFrame, format: str, location: str, checkpoint: str, options: dict[str, str] | None = None, drain: bool = True
+) -> StreamingQuery:
+    """The same sink for a stream of message rows; `drain` stops it when the backlog is worked off."""
+    if format == "kafka":
+        writer = df.select("topic", "key", "value").writeStream.format("kafka")
+        writer = writer.option("kafka.bootstrap.servers", location)
+    elif format == "json":
+        writer = df.writeStream.format("json").partitionBy("topic").option("path", location)
+    else:
+        raise ValueError("format must be 'kafka' or 'json'")
+    writer = writer.outputMode("append").option("checkpointLocation", checkpoint).options(**(options or {}))
+    return (writer.trigger(availableNow=True) if drain else writer).start()
+
+
 def decoded(df: DataFrame, schema: T.StructType, required: Sequence[str] = (), value: str = "value") -> DataFrame:
     """Add `data` (the parsed value) and `error` (NULL when it parsed).
 
