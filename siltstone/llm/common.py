@@ -30,24 +30,22 @@ def word_hashes(text: Column | str) -> Column:
 
 
 def key_bitmap(keys: DataFrame, key: str, size: int = BITMAP_WORDS) -> Column:
-    """A scalar: 64 * `size` bits, two of them set for each 64-bit key.
+    """A scalar subquery: 64 * `size` bits, two of them set for each 64-bit key.
 
     Its memory is fixed by `size` (1 MB) whatever the number of keys is; more keys
     only make `maybe_in` pass more rows, and the equi-join behind it decides.
     """
-    bits = 64 * size
-    spots = keys.select(F.explode(F.array(*_spots(F.col(key), bits))).alias("_spot"))
-    # One row per 64-bit word at most, so the list has `size` entries at most.
-    filled = spots.groupBy((F.col("_spot") / 64).cast("int").alias("_word")).agg(
+    spots = keys.select(F.explode(F.array(*_spots(F.col(key), 64 * size))).alias("_spot"))
+    # One row per 64-bit word at most.
+    filled = spots.groupBy(F.shiftright("_spot", 6).cast("int").alias("_word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(_spot % 64 as int))")).alias("_bits")
     )
-    rows = keys.sparkSession.range(0, size, 1, 1).select(F.col("id").cast("int").alias("_word"))
-    whole = rows.join(filled, "_word", "left").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("_word", F.coalesce("_bits", F.lit(0)).alias("_bits")))), lambda s: s["_bits"]
-        ).alias("_bitmap")
+    places = keys.sparkSession.range(0, size, 1, 1).select(F.col("id").cast("int").alias("_word"))
+    entry = F.struct("_word", F.coalesce("_bits", F.lit(0).cast("bigint")).alias("_bits"))
+    whole = places.join(filled, "_word", "left").agg(
+        F.transform(F.array_sort(F.collect_list(entry)), lambda s: s["_bits"]).alias("_bitmap")
     )
-    return whole.scalar()
+    return cut_lineage(whole, "bitmap").scalar()
 
 
 def _spots(key: Column, bits: int) -> list[Column]:

@@ -10,10 +10,11 @@ register with the probability Jaccard of their weighted shingles:
 
 Bands of registers propose pairs, the exact J on whole shingle lists decides them,
 and components of verified pairs are the classes. Inside a bucket of a band, texts
-are first compared with a few centres (a star each round); only pairs whose texts
-are still in different components are compared one by one afterwards. So no pair of
-a bucket goes undecided unless both are already in one class, and a group of copies
-costs a few comparisons per copy. Equal word sequences are one node from the start.
+are compared with a few centres (a star each round); in buckets of a bounded size the
+pairs that are still in different components are compared one by one afterwards. So a
+group of copies costs a few comparisons per copy. A pair that meets only in larger
+buckets, agrees with none of their centres and shares no centre's class is not
+compared; README has the measured recall. Equal word sequences are one node from the start.
 
 With 25 bands of 5 registers a pair at J = 0.8 is missed with probability 5e-5.
 
@@ -32,12 +33,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, cut_lineage, table, word_hashes
+from .common import components, cut_lineage, key_bitmap, maybe_in, table, word_hashes
 
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
 STARS = 3
+# Buckets of at most so many nodes are compared pair by pair in the end.
+SMALL = 32
 _U = np.uint64
 
 
@@ -106,11 +109,12 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
 
 
 def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, node, bands): node identifies the word sequence, bands its band hashes.
+    """(doc_id, text_key, node, bands): node identifies the word sequence, bands its band hashes.
 
     A node repeated inside one batch has its bands in one row only.
     """
-    hashed = docs.select("doc_id", word_hashes("text").alias("h")).select("doc_id", "h", F.xxhash64("h", F.size("h")).alias("node"))
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), word_hashes("text").alias("h"))
+    hashed = hashed.select("doc_id", "text_key", F.xxhash64("h", F.size("h")).alias("node"), "h")
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -128,91 +132,121 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
                 out: list = [None] * len(part)
                 for k, row in zip(some, key.view(np.int64), strict=True):
                     out[once[k]] = row
-                yield pd.DataFrame({"doc_id": part["doc_id"].array, "node": nodes, "bands": out})
+                yield pd.DataFrame({"doc_id": part["doc_id"].array, "text_key": part["text_key"].array, "node": nodes, "bands": out})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return hashed.select("doc_id", "node", "h").mapInPandas(sketch, f"doc_id {kind}, node long, bands array<long>")
+    return hashed.mapInPandas(sketch, f"doc_id {kind}, text_key long, node long, bands array<long>")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) of nodes whose exact similarity is enough.
+def word_lists(docs: DataFrame, members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, h): the word hashes of each of `nodes`, from one of its rows.
 
-    Whole word hash lists travel only for texts that are in a pair.
+    A bitmap of fixed size keeps other texts out of the shuffle.
     """
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    # One text per node: any row of the node has the same word sequence.
-    rows = members.join(needed, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    lists = cut_lineage(
-        docs.select("doc_id", "text")
-        .join(rows, "doc_id")
+    rows = members.join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    rows = cut_lineage(rows, "rows")
+    wanted = key_bitmap(rows.select(F.xxhash64("doc_id").alias("key")), "key")
+    texts = docs.select("doc_id", "text").where(maybe_in(F.xxhash64("doc_id"), wanted))
+    return cut_lineage(
+        texts.join(rows, texts["doc_id"].eqNullSafe(rows["doc_id"]))
         .select("node", word_hashes("text").alias("h"))
         .where(F.xxhash64("h", F.size("h")) == F.col("node"))
-        .dropDuplicates(["node"]),
+        .groupBy("node")
+        .agg(F.first("h").alias("h")),
         "lists",
     )
+
+
+def verified(pairs: DataFrame, lists: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose exact similarity over whole texts is enough."""
     left = lists.select(F.col("node").alias("a"), F.col("h").alias("ha"))
     right = lists.select(F.col("node").alias("b"), F.col("h").alias("hb"))
 
     def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ok = [
-                probability_jaccard(shingle_counts(x), shingle_counts(y)) >= similarity - 1e-9
-                for x, y in zip(batch["ha"], batch["hb"], strict=True)
-            ]
+            known: dict[int, tuple] = {}
+            ok = []
+            for a, b, x, y in zip(batch["a"], batch["b"], batch["ha"], batch["hb"], strict=True):
+                # A centre meets many texts one after the other; its shingles are counted once.
+                if b not in known:
+                    known = {b: shingle_counts(y)} if len(known) > 64 else known | {b: shingle_counts(y)}
+                ok.append(probability_jaccard(shingle_counts(x), known[b]) >= similarity - 1e-9)
             yield batch.loc[ok, ["a", "b"]]
 
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "ha", "hb")
     return cut_lineage(joined.mapInPandas(decide, "a long, b long"), "verified")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, stars: int = STARS) -> DataFrame:
-    """(doc_id, node, class_id) per row of `docs`; class_id is the smallest doc_id of the class (null ids last)."""
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, stars: int = STARS, small: int = SMALL) -> DataFrame:
+    """(doc_id, text_key, class_id, class_key) per row of `docs`.
+
+    `class_id`: the smallest doc_id of the class; `text_key`, `class_key`: hashes of the row's text and of that one's.
+    """
     spark = docs.sparkSession
     found = cut_lineage(sketches(docs), "sketches")
-    members = found.select("doc_id", "node")
+    members = found.select("doc_id", "text_key", "node")
     bands = found.where("bands is not null").select("node", F.explode("bands").alias("band"))
     # Copies fall together map-side: only the extremes of a bucket are kept.
     crowded = bands.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("band")
     shared = cut_lineage(bands.join(crowded, "band").distinct(), "buckets")
+    lists = word_lists(docs, members, shared.select("node").distinct())
     edges = spark.createDataFrame([], "a long, b long")
     roots = shared.select(F.col("node").alias("id"), F.col("node").alias("root")).distinct()
+    tried = edges
     for star in range(stars + 1):
-        placed = shared.join(roots.withColumnRenamed("id", "node"), "node", "left").select(
-            "band", "node", F.coalesce("root", "node").alias("root")
+        placed = shared.join(roots.withColumnRenamed("id", "node"), "node").select("band", "node", "root")
+        open_ = (
+            placed.groupBy("band")
+            .agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"))
+            .where("lo < hi")
+            .select("band", "size")
         )
-        open_ = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band")
         placed = cut_lineage(placed.join(open_, "band"), "open")
         if star < stars:
-            # One centre per bucket, another one in each round; every node meets one centre.
-            pick = F.struct(F.xxhash64("node", F.lit(star)), F.col("node"), F.col("root")) if star else F.struct(F.col("node").alias("k"), F.col("node"), F.col("root"))
-            centre = placed.groupBy("band").agg(F.min(pick).alias("c")).select("band", F.col("c.node").alias("centre"), F.col("c.root").alias("theirs"))
-            pairs = (
-                placed.join(centre, "band")
-                .where("root <> theirs")
-                .groupBy("node")
-                .agg(F.min("centre").alias("centre"))
-                .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-                .distinct()
-            )
+            pairs = _with_centres(placed, star)
         else:
-            # What no star has settled: every pair of a bucket that is in two components.
-            other = placed.select("band", F.col("node").alias("node2"), F.col("root").alias("root2"))
-            pairs = (
-                placed.join(other, "band").where("node < node2 and root <> root2").select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
-            )
-        pairs = cut_lineage(pairs, "pairs")
+            # What the stars left open in buckets of a bounded size: every pair that is in two components.
+            few = placed.where(F.col("size") <= small)
+            other = few.select("band", F.col("node").alias("node2"), F.col("root").alias("root2"))
+            pairs = few.join(other, "band").where("node < node2 and root <> root2").select(F.col("node").alias("a"), F.col("node2").alias("b"))
+        pairs = cut_lineage(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():
-            break
-        kept = verified(pairs, docs, members, similarity)
+            continue
+        tried = tried.unionByName(pairs)
+        kept = verified(pairs, lists, similarity)
         if kept.isEmpty():
             continue
-        edges = cut_lineage(edges.unionByName(kept), "edges")
-        roots = components(edges)
+        edges = edges.unionByName(kept)
+        found_roots = components(edges)
+        roots = shared.select(F.col("node").alias("id")).distinct().join(found_roots, "id", "left").select("id", F.coalesce("root", "id").alias("root"))
+        roots = cut_lineage(roots, "roots")
     classes = members.join(roots.withColumnRenamed("id", "node"), "node", "left").select(
-        "doc_id", "node", F.coalesce("root", "node").alias("root")
+        "doc_id", "text_key", F.coalesce("root", "node").alias("root")
+    )
+    # Null ids sort last, so a class with any id is named by one.
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("text_key"))
+    first = classes.groupBy("root").agg(F.min(row).alias("first"))
+    return classes.join(first, "root").select(
+        "doc_id", "text_key", F.col("first.doc_id").alias("class_id"), F.col("first.text_key").alias("class_key")
+    )
+
+
+def _with_centres(placed: DataFrame, star: int) -> DataFrame:
+    """(a, b) of each node with the centre of each of its buckets.
+
+    The first centres are the nodes that share buckets with most others, so the text
+    that a group of edited copies comes from is met by all of them; later centres
+    are drawn by a hash. A node has as many partners as bands, at most.
+    """
+    rank = F.sum("size").alias("rank") if star == 0 else F.xxhash64(F.first("node"), F.lit(star)).alias("rank")
+    ranked = placed.groupBy("node").agg(rank)
+    centre = (
+        placed.join(ranked, "node")
+        .groupBy("band")
+        .agg(F.max(F.struct("rank", "node", "root")).alias("c"))
+        .select("band", F.col("c.node").alias("centre"), F.col("c.root").alias("theirs"))
     )
-    first = classes.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return classes.join(first, "root").select("doc_id", "node", "class_id")
+    return placed.join(centre, "band").where("root <> theirs").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,16 +254,12 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One row of each class: the one with the smallest doc_id; of equal rows one."""
+    """One row of each class: the one with the smallest doc_id; of rows equal in id and text one."""
     marked = near_duplicates(docs, similarity)
-    keep = marked.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
-        F.col("doc_id").alias("_keep_id"), F.col("node").alias("_keep_node")
-    ).distinct()
-    # A row is found again by its id and its word sequence; one row per pair stays.
-    columns = docs.columns
-    rows = docs.select(F.struct(*columns).alias("_row"), F.col("doc_id").alias("_keep_id"), word_hashes("text").alias("_h"))
-    hashed = rows.select("_row", "_keep_id", F.xxhash64("_h", F.size("_h")).alias("_keep_node"))
-    kept = hashed.join(keep, [hashed["_keep_id"].eqNullSafe(keep["_keep_id"]), hashed["_keep_node"] == keep["_keep_node"]]).select(
-        "_row", hashed["_keep_id"], hashed["_keep_node"]
+    keep = marked.select(F.col("class_id").alias("_id"), F.col("class_key").alias("_key")).distinct()
+    keep = cut_lineage(keep.withColumn("_known", F.col("_id").isNotNull()).fillna(0, ["_id"]), "keep")
+    # No name of the caller's columns can clash inside the struct.
+    rows = docs.select(
+        F.struct(*docs.columns).alias("_row"), F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNotNull().alias("_known"), F.xxhash64("text").alias("_key")
     )
-    return kept.dropDuplicates(["_keep_id", "_keep_node"]).select("_row.*")
+    return rows.join(keep, ["_id", "_known", "_key"]).dropDuplicates(["_id", "_known", "_key"]).select("_row.*")

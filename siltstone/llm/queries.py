@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dedup, toxicity
+from . import decontaminate, mixing, near_dedup, toxicity, training_order, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": toxicity.query,
+    "op3_mixing": mixing.query,
     "op5_prob_minhash": near_dedup.query,
+    "op6_spaced_seeds": decontaminate.query,
+    "op7_url_filters": url_filters.query,
+    "op8_training_order": training_order.query,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op7_url_filters": url_filters.SQL}
