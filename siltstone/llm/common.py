@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..scale import cut_lineage, new_path
 
-__all__ = ["BREAKS", "components", "cut_lineage", "key_bitmap", "maybe_in", "new_path", "table", "word_hashes", "words"]
-
 # Words end at white space and ASCII punctuation.
 BREAKS = r"[\s\p{Punct}]+"
 BITMAP_WORDS = 1 << 17
@@ -90,3 +90,71 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             return labels.select("id", "root")
         labels = labels.select("id", "root")
     raise RuntimeError("components did not settle")
+
+
+def crowded_buckets(bands: DataFrame) -> DataFrame:
+    """Distinct (node, band) of the bands that hold two nodes or more.
+
+    Copies fall together map-side: only the extremes of a bucket are kept.
+    """
+    crowded = bands.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("band")
+    return cut_lineage(bands.join(crowded, "band").distinct(), "buckets")
+
+
+def link_buckets(shared: DataFrame, verify: Callable[[DataFrame], DataFrame], stars: int, small: int) -> DataFrame:
+    """(id, root) of every node in `shared` (node, band): components of the pairs (a, b) that `verify` keeps.
+
+    Each of `stars` rounds compares every node with one centre per bucket, if they are
+    in different components; at last the pairs still apart in buckets of at most
+    `small` nodes are compared.
+    """
+    spark = shared.sparkSession
+    edges = spark.createDataFrame([], "a long, b long")
+    roots = shared.select(F.col("node").alias("id"), F.col("node").alias("root")).distinct()
+    tried = edges
+    for star in range(stars + 1):
+        placed = shared.join(roots.withColumnRenamed("id", "node"), "node").select("band", "node", "root")
+        open_ = (
+            placed.groupBy("band")
+            .agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"))
+            .where("lo < hi")
+            .select("band", "size")
+        )
+        placed = cut_lineage(placed.join(open_, "band"), "open")
+        if star < stars:
+            pairs = _with_centres(placed, star)
+        else:
+            # What the stars left open in buckets of a bounded size: every pair that is in two components.
+            few = placed.where(F.col("size") <= small)
+            other = few.select("band", F.col("node").alias("node2"), F.col("root").alias("root2"))
+            pairs = few.join(other, "band").where("node < node2 and root <> root2").select(F.col("node").alias("a"), F.col("node2").alias("b"))
+        pairs = cut_lineage(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+        if pairs.isEmpty():
+            continue
+        tried = tried.unionByName(pairs)
+        kept = verify(pairs)
+        if kept.isEmpty():
+            continue
+        edges = edges.unionByName(kept)
+        found = components(edges)
+        roots = shared.select(F.col("node").alias("id")).distinct().join(found, "id", "left").select("id", F.coalesce("root", "id").alias("root"))
+        roots = cut_lineage(roots, "roots")
+    return roots
+
+
+def _with_centres(placed: DataFrame, star: int) -> DataFrame:
+    """(a, b) of each node with the centre of each of its buckets.
+
+    The first centres are the nodes that share buckets with most others, so the text
+    that a group of edited copies comes from is met by all of them; later centres
+    are drawn by a hash. A node has as many partners as bands, at most.
+    """
+    rank = F.sum("size").alias("rank") if star == 0 else F.xxhash64(F.first("node"), F.lit(star)).alias("rank")
+    ranked = placed.groupBy("node").agg(rank)
+    centre = (
+        placed.join(ranked, "node")
+        .groupBy("band")
+        .agg(F.max(F.struct("rank", "node", "root")).alias("c"))
+        .select("band", F.col("c.node").alias("centre"), F.col("c.root").alias("theirs"))
+    )
+    return placed.join(centre, "band").where("root <> theirs").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, cut_lineage, key_bitmap, maybe_in, table, word_hashes
+from .common import crowded_buckets, cut_lineage, key_bitmap, link_buckets, maybe_in, table, word_hashes
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -182,44 +182,12 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, stars: int
 
     `class_id`: the smallest doc_id of the class; `text_key`, `class_key`: hashes of the row's text and of that one's.
     """
-    spark = docs.sparkSession
     found = cut_lineage(sketches(docs), "sketches")
     members = found.select("doc_id", "text_key", "node")
     bands = found.where("bands is not null").select("node", F.explode("bands").alias("band"))
-    # Copies fall together map-side: only the extremes of a bucket are kept.
-    crowded = bands.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("band")
-    shared = cut_lineage(bands.join(crowded, "band").distinct(), "buckets")
+    shared = crowded_buckets(bands)
     lists = word_lists(docs, members, shared.select("node").distinct())
-    edges = spark.createDataFrame([], "a long, b long")
-    roots = shared.select(F.col("node").alias("id"), F.col("node").alias("root")).distinct()
-    tried = edges
-    for star in range(stars + 1):
-        placed = shared.join(roots.withColumnRenamed("id", "node"), "node").select("band", "node", "root")
-        open_ = (
-            placed.groupBy("band")
-            .agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"))
-            .where("lo < hi")
-            .select("band", "size")
-        )
-        placed = cut_lineage(placed.join(open_, "band"), "open")
-        if star < stars:
-            pairs = _with_centres(placed, star)
-        else:
-            # What the stars left open in buckets of a bounded size: every pair that is in two components.
-            few = placed.where(F.col("size") <= small)
-            other = few.select("band", F.col("node").alias("node2"), F.col("root").alias("root2"))
-            pairs = few.join(other, "band").where("node < node2 and root <> root2").select(F.col("node").alias("a"), F.col("node2").alias("b"))
-        pairs = cut_lineage(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            continue
-        tried = tried.unionByName(pairs)
-        kept = verified(pairs, lists, similarity)
-        if kept.isEmpty():
-            continue
-        edges = edges.unionByName(kept)
-        found_roots = components(edges)
-        roots = shared.select(F.col("node").alias("id")).distinct().join(found_roots, "id", "left").select("id", F.coalesce("root", "id").alias("root"))
-        roots = cut_lineage(roots, "roots")
+    roots = link_buckets(shared, lambda pairs: verified(pairs, lists, similarity), stars, small)
     classes = members.join(roots.withColumnRenamed("id", "node"), "node", "left").select(
         "doc_id", "text_key", F.coalesce("root", "node").alias("root")
     )
@@ -231,24 +199,6 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, stars: int
     )
 
 
-def _with_centres(placed: DataFrame, star: int) -> DataFrame:
-    """(a, b) of each node with the centre of each of its buckets.
-
-    The first centres are the nodes that share buckets with most others, so the text
-    that a group of edited copies comes from is met by all of them; later centres
-    are drawn by a hash. A node has as many partners as bands, at most.
-    """
-    rank = F.sum("size").alias("rank") if star == 0 else F.xxhash64(F.first("node"), F.lit(star)).alias("rank")
-    ranked = placed.groupBy("node").agg(rank)
-    centre = (
-        placed.join(ranked, "node")
-        .groupBy("band")
-        .agg(F.max(F.struct("rank", "node", "root")).alias("c"))
-        .select("band", F.col("c.node").alias("centre"), F.col("c.root").alias("theirs"))
-    )
-    return placed.join(centre, "band").where("root <> theirs").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-
-
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 

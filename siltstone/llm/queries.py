@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, near_dedup, toxicity, training_order, url_filters
+from . import bm25_search, decontaminate, licenses, line_dedup, mixing, near_dedup, toxicity, training_order, url_filters, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_revisits": warc.query,
     "op2_toxicity": toxicity.query,
     "op3_mixing": mixing.query,
+    "op4_bm25_wand": bm25_search.query,
     "op5_prob_minhash": near_dedup.query,
     "op6_spaced_seeds": decontaminate.query,
     "op7_url_filters": url_filters.query,
     "op8_training_order": training_order.query,
+    "op9_licenses": licenses.query,
+    "op10_fuzzy_lines": line_dedup.query,
 }
-ORACLE: dict[str, str] = {"op7_url_filters": url_filters.SQL}
+ORACLE: dict[str, str] = {"op1_revisits": warc.SQL, "op4_bm25_wand": bm25_search.SQL, "op7_url_filters": url_filters.SQL}
