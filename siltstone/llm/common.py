@@ -95,10 +95,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 def crowded_buckets(bands: DataFrame) -> DataFrame:
     """Distinct (node, band) of the bands that hold two nodes or more.
 
-    Copies fall together map-side: only the extremes of a bucket are kept.
+    Copies fall together map-side: only the extremes of a bucket are kept. A bitmap
+    of the crowded bands keeps the others out of the second shuffle.
     """
     crowded = bands.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("band")
-    return cut_lineage(bands.join(crowded, "band").distinct(), "buckets")
+    crowded = cut_lineage(crowded, "crowded")
+    return cut_lineage(bands.where(maybe_in(F.col("band"), key_bitmap(crowded, "band"))).join(crowded, "band").distinct(), "buckets")
 
 
 def link_buckets(shared: DataFrame, verify: Callable[[DataFrame], DataFrame], stars: int, small: int) -> DataFrame:

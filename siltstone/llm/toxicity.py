@@ -46,7 +46,7 @@ SIGN, KEEP, DROP, JOIN, BREAK = -1.0, -7.0, -1.5, -0.2, -5.0
 
 _SIGNS = re.escape("".join(LEET))
 _SPELLED = re.compile(r"(?<!\w)(?:[^\W_]([ .\-_*]))(?:[^\W_]\1){2,}[^\W_](?!\w)")
-_LEET = re.compile(rf"(?<![^\s\"'])[^\W_{_SIGNS}]*[{_SIGNS}]+[^\W\d_][\w{_SIGNS}]*|[^\W\d_]+[01345789](?!\w)")
+_LEET = re.compile(rf"(?<![^\s\"'])[^\W_{_SIGNS}]*[{_SIGNS}]+[^\W\d_](?:[\w{_SIGNS}]*[\w@$€])?|[^\W\d_]+[01345789](?!\w)")
 _DRAWN = re.compile(r"[^\W_]*([^\W\d_])\1\1[^\W_]*")
 _WORD = re.compile(r"[^\W_]+")
 _HAS_SIGN = re.compile(rf"[{_SIGNS}]")
