@@ -149,7 +149,9 @@ def _with_centres(placed: DataFrame, star: int) -> DataFrame:
 
     The first centres are the nodes that share buckets with most others, so the text
     that a group of edited copies comes from is met by all of them; later centres
-    are drawn by a hash. A node has as many partners as bands, at most.
+    are drawn by a hash, and a node meets that of its largest bucket (small buckets
+    have met their centre, and meet pair by pair in the end). A node has as many
+    partners as bands in the first round, and one in the later ones.
     """
     rank = F.sum("size").alias("rank") if star == 0 else F.xxhash64(F.first("node"), F.lit(star)).alias("rank")
     ranked = placed.groupBy("node").agg(rank)
@@ -159,4 +161,7 @@ def _with_centres(placed: DataFrame, star: int) -> DataFrame:
         .agg(F.max(F.struct("rank", "node", "root")).alias("c"))
         .select("band", F.col("c.node").alias("centre"), F.col("c.root").alias("theirs"))
     )
-    return placed.join(centre, "band").where("root <> theirs").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
+    apart = placed.join(centre, "band").where("root <> theirs")
+    if star:
+        apart = apart.groupBy("node").agg(F.max(F.struct("size", "centre")).alias("m")).select("node", F.col("m.centre").alias("centre"))
+    return apart.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
