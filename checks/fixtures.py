@@ -86,7 +86,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def written_lake(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
     """Write the bronze records to a fresh lake; returns its root and the row count."""
     root = new_path(spark, "lake") + "/bronze"
-    return root, write_bronze(records(spark, sf_dir), root)
+    return root, write_bronze(records(spark, sf_dir), root, layout="url")
 
 
 def lake(spark: SparkSession, sf_dir: str, **options) -> DataFrame:

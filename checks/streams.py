@@ -2,12 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from siltstone.operators.records import group_flush
+from siltstone.operators.records import group_flush, to_bronze_record
 from siltstone.plans import crawl
 from siltstone.scale import new_path
 from siltstone.schema import DISCOVERY
 from siltstone.sources import topics
-from siltstone.sources.lake import read_bronze
+from siltstone.sources.lake import read_bronze, write_bronze
 from siltstone.streaming import jobs
 
 from .fixtures import BRONZE_SQL, bronze
@@ -191,3 +191,16 @@ def stream_ingest(spark, sf):
         ).awaitTermination()
     rows = read_bronze(spark, f"{base}/bronze")
     return rows.select("chunk_id", "source_url", F.sha2("content", 256).alias("content_hash"), "ingested_at", "language")
+
+
+@check("bronze_batch_replay", f"""WITH {BRONZE_SQL}
+SELECT chunk_id, source_url, CAST(86400.25 AS DOUBLE) AS ingested_at, language FROM bronze WHERE doc_id % 3 <> 0""")
+def bronze_batch_replay(spark, sf):
+    """A batch written just before midnight and again just after it with fewer records; another one replayed empty."""
+    root = new_path(spark, "replay") + "/bronze"
+    docs = bronze(spark, sf)
+    write_bronze(to_bronze_record(docs, 86399.75), root, batch=7)
+    write_bronze(to_bronze_record(docs, 86399.75), root, batch=8)
+    write_bronze(to_bronze_record(docs.where("doc_id % 3 <> 0"), 86400.25), root, batch=7)
+    write_bronze(to_bronze_record(docs.limit(0), 86400.25), root, batch=8)
+    return read_bronze(spark, root).select("chunk_id", "source_url", "ingested_at", "language")

@@ -70,17 +70,17 @@ def keyword_policy(content: Column | str, include: Sequence[str], exclude: Seque
 
 
 def prompt(content: Column | str, policy: Column | str, language: Column | str = "en") -> Column:
-    """The classifier prompt; `policy` and `language` strings are literals."""
+    """The classifier prompt; `policy` and `language` strings are literals. Always five parts: NULLs are empty."""
 
     def value(v: Column | str) -> Column:
-        return F.lit(v) if isinstance(v, str) else v
+        return F.lit(v) if isinstance(v, str) else F.coalesce(v, F.lit(""))
 
     return F.concat_ws(
         "\n",
         F.lit(PROMPT_SYSTEM),
         F.concat(F.lit(PROMPT_POLICY), value(policy)),
         F.concat(F.lit(PROMPT_LANGUAGE), value(language)),
-        F.concat(F.lit(PROMPT_TEXT), as_column(content)),
+        F.concat(F.lit(PROMPT_TEXT), F.coalesce(as_column(content), F.lit(""))),
         F.lit(PROMPT_INSTRUCTION),
     )
 

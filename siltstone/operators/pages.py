@@ -109,12 +109,12 @@ def link_preview(
     exclude: Sequence[str] = (),
     include_internal: bool = True,
     include_external: bool = True,
-    max_links: int = 100,
+    max_links: int | None = None,
     score: str | None = None,
     score_threshold: float | None = None,
     page: str = "page_id",
 ) -> DataFrame:
-    """The links of a page worth a look: filters first, then the first `max_links` per page.
+    """The links of a page worth a look: filters first, then the first `max_links` per page, if given.
 
     Order is by `score` when one is named, then by position.
     """
@@ -132,7 +132,8 @@ def link_preview(
         rows = rows.where(F.col(score) >= score_threshold)
     order = [F.desc(score), "position"] if score else ["position"]
     place = F.row_number().over(W.partitionBy(page).orderBy(*order))
-    return rows.withColumn("place", place).where(F.col("place") <= max_links)
+    placed = rows.withColumn("place", place)
+    return placed if max_links is None else placed.where(F.col("place") <= max_links)
 
 
 def seed_discovery(

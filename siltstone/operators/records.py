@@ -11,9 +11,18 @@ from ..scale import running_sum
 from ..schema import BRONZE, enforce
 
 
+def refused_records(df: DataFrame, now: Column | float) -> DataFrame:
+    """The messages `to_bronze_record` cannot make a record of, as they are, with an `error`."""
+    stamp = F.lit(float(now)) if isinstance(now, (int, float)) else now
+    error = F.when(F.col("source_url").isNull(), "missing source_url").when(stamp.isNull(), "missing time")
+    return df.withColumn("error", error).where(F.col("error").isNotNull())
+
+
 def to_bronze_record(df: DataFrame, now: Column | float) -> DataFrame:
     """Bring chunk messages to the bronze schema.
 
+    Messages without a source URL or a time have no record: `refused_records` has them.
+
     Content is stripped, language defaults to "en", `ingested_at` is stamped
     with `now` (a parameter: there is no hidden clock), and a missing chunk id
     becomes `{source_url}_{now}`.
@@ -25,7 +34,7 @@ def to_bronze_record(df: DataFrame, now: Column | float) -> DataFrame:
     given = F.when(F.col("chunk_id") != "", F.col("chunk_id")) if "chunk_id" in df.columns else F.lit(None)
     language = F.col("language") if "language" in df.columns else F.lit(None).cast("string")
     embedding = normalise_embedding("embedding") if "embedding" in df.columns else F.lit(None).cast("array<float>")
-    rows = df.where(F.col("source_url").isNotNull()).select(
+    rows = df.where(F.col("source_url").isNotNull() & stamp.isNotNull()).select(
         # coalesce with a literal makes the required fields provably non-null.
         F.coalesce(given, F.concat(F.col("source_url"), F.lit("_"), stamp_text), F.lit("")).alias("chunk_id"),
         F.coalesce(F.col("source_url"), F.lit("")).alias("source_url"),

@@ -11,8 +11,8 @@ from ..schema import BRONZE, enforce, relaxed
 
 
 def source_of(file_path: Column) -> Column:
-    """First path element below `bronze/`, with or without the `site=` prefix."""
-    return F.regexp_extract(file_path, r"bronze/(?:site=)?([^/]+)/", 1)
+    """First path element below `bronze/`, with or without the `site=` prefix; a batch's own directory is skipped."""
+    return F.regexp_extract(file_path, r"bronze/(?:batch=[^/]+/)?(?:site=)?([^/]+)/", 1)
 
 
 def read_bronze(
@@ -26,12 +26,13 @@ def read_bronze(
     The schema saves the inference pass and keeps `embedding`, which the JSON
     writer drops while it is NULL.  `with_partitions` keeps `ingested_date` (and
     `site`) as columns a filter can prune on; without it any directory layout is
-    read.  `corrupt_column` keeps unparsable lines visible.
+    read.  A line that cannot be parsed fails the read, unless `corrupt_column` names
+    the column that shows such lines; none is ever read as a record of NULLs.
     """
     reader = spark.read if with_partitions else spark.read.option("recursiveFileLookup", "true")
     schema = relaxed(BRONZE)
     if not corrupt_column:
-        df = reader.option("mode", "PERMISSIVE").schema(schema).json(path)
+        df = reader.option("mode", "FAILFAST").schema(schema).json(path)
         return df.withColumn("source", source_of(F.col("_metadata.file_path")))
     # Lines are parsed as a column: the JSON reader refuses queries that need the
     # corrupt lines alone, such as counting them.
@@ -47,7 +48,7 @@ def with_ingested_date(df: DataFrame) -> DataFrame:
     return df.withColumn("ingested_date", F.from_unixtime(F.col("ingested_at").cast("bigint"), "yyyy-MM-dd"))
 
 
-def with_site(df: DataFrame, layout: str = "url") -> DataFrame:
+def with_site(df: DataFrame, layout: str = "authority") -> DataFrame:
     """`site` directory per row: from the whole URL, or from its authority only.
 
     `layout="authority"` keeps the number of directories at the number of hosts.
@@ -59,28 +60,27 @@ def with_site(df: DataFrame, layout: str = "url") -> DataFrame:
     raise ValueError("layout must be 'url' or 'authority'")
 
 
-def write_bronze(df: DataFrame, root: str, batch: int | None = None, layout: str = "url") -> int:
+def write_bronze(df: DataFrame, root: str, batch: int | None = None, layout: str = "authority") -> int:
     """Append records as JSON below `root` by site and day; returns the rows written.
 
     The rows are counted while they are written.  The rebalance hint gives one
     file per directory where possible and splits a site that holds much of the
-    data.  With `batch` the records get a last partition of their own which a
-    replay of the same batch replaces.
+    data.  With `batch` the records get a directory of their own, which a replay of
+    the same batch replaces whole: also records that the replay no longer has, or
+    has under another day, are gone, and an empty replay leaves it empty.  Use a
+    root either with batches or without.
     """
     rows = with_site(with_ingested_date(enforce(df, BRONZE)), layout)
-    parts = ["site", "ingested_date"]
-    if batch is not None:
-        rows = rows.withColumn("batch", F.lit(batch))
-        parts.append("batch")
     written = Observation()
     counted = rows.hint("rebalance", F.col("site"), F.col("ingested_date")).observe(
         written, F.count(F.lit(1)).alias("rows")
     )
-    writer = counted.write.partitionBy(*parts)
+    writer = counted.write.partitionBy("site", "ingested_date")
     if batch is None:
         writer.mode("append").json(root)
     else:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").json(root)
+        # Static: the batch's directory and all below it, whatever the session says.
+        writer.mode("overwrite").option("partitionOverwriteMode", "static").json(f"{root}/batch={batch}")
     return written.get["rows"]
 
 

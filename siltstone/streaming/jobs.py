@@ -1,7 +1,8 @@
 """Discovery and ingestion streams.
 
-Each micro-batch writes a partition of its own (`batch`) and a replay of the
-batch replaces it, so at-least-once delivery leaves every record once.
+Each micro-batch owns a directory (`batch=`) of each table it writes, and a replay
+replaces it whole, also by nothing, so at-least-once delivery leaves every record
+once.  Times come from the batch's messages, so a replay writes the same records.
 """
 
 from __future__ import annotations
@@ -70,8 +71,7 @@ def _ensure(spark: SparkSession, path: str, schema: str) -> None:
 
 
 def _replace_batch(df: DataFrame, path: str, batch: int) -> None:
-    rows = df.withColumn("batch", F.lit(batch).cast("bigint"))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/batch={batch}")
 
 
 def _messages(good: DataFrame) -> DataFrame:
@@ -88,7 +88,7 @@ def discovery(
     visited_path: str,
     work_path: str,
     checkpoint: str,
-    dead_path: str | None = None,
+    dead_path: str,
     drain: bool = True,
 ) -> StreamingQuery:
     """Messages to first-seen URLs: a work list (url, language) and the visited table.
@@ -111,8 +111,7 @@ def discovery(
         # The visited table is fed from what was written, so both always agree.
         done = session.read.schema(_WORK).parquet(work_path).where(F.col("batch") == batch_id)
         _replace_batch(done.select("url"), visited_path, batch_id)
-        if dead_path:
-            _replace_batch(dead.select("topic", "partition", "offset", "value", "error"), dead_path, batch_id)
+        _replace_batch(dead.select("topic", "partition", "offset", "value", "error"), dead_path, batch_id)
 
     return _run(source, step, checkpoint, drain)
 
@@ -138,25 +137,26 @@ def ingest(
     root: str,
     policy: Policy,
     checkpoint: str,
+    dead_path: str,
     verdicts: DataFrame | None = None,
     scorer: Callable[[pd.Series], Sequence[str]] | None = None,
     now: Column | float | None = None,
     verdict_key: str = "chunk_id",
-    dead_path: str | None = None,
-    layout: str = "url",
+    layout: str = "authority",
     drain: bool = True,
 ) -> StreamingQuery:
     """Chunk messages to bronze: decode, keyword policy, verdict, record, write.
 
     The cheap filter runs before the verdict.  Verdicts come from a table or a
-    `scorer`; without either every survivor passes.  `now` defaults to the clock
-    of the micro-batch.
+    `scorer`; without either every survivor passes.  `now` defaults to the latest
+    timestamp of the micro-batch's messages.  What cannot be decoded goes to
+    `dead_path`.
     """
     if verdicts is not None and scorer is not None:
         raise ValueError("give verdicts or scorer, not both")
-    stamp = now if now is not None else F.unix_micros(F.current_timestamp()) / F.lit(1e6)
-
     def step(batch: DataFrame, batch_id: int) -> None:
+        latest = batch.agg((F.unix_micros(F.max("timestamp")) / F.lit(1e6)).alias("t")).first()["t"] if now is None else None
+        stamp = now if now is not None else float(latest or 0.0)
         good, dead = decode(batch, relaxed(BRONZE), required=("source_url",))
         chunks = good.select("data.*").withColumn("content", F.coalesce("content", F.lit("")))
         if scorer is not None:
@@ -166,7 +166,6 @@ def ingest(
             if verdicts is not None:
                 passed = relevance_gate(passed, verdicts, key=verdict_key)
         write_bronze(to_bronze_record(passed, stamp), root, batch=batch_id, layout=layout)
-        if dead_path:
-            _replace_batch(dead.select("topic", "partition", "offset", "value", "error"), dead_path, batch_id)
+        _replace_batch(dead.select("topic", "partition", "offset", "value", "error"), dead_path, batch_id)
 
     return _run(source, step, checkpoint, drain)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from siltstone.operators.records import to_bronze_record
+from siltstone.operators.records import refused_records, to_bronze_record
 from siltstone.plans import silver as S
 from siltstone.schema import BRONZE, RELEVANCE_CONFIG, enforce
 from siltstone.sources import config, lake
@@ -22,8 +22,8 @@ def records(spark, n=6):
 
 def test_layout_count_and_partitions(spark, tmp_path):
     root = str(tmp_path / "bronze")
-    assert lake.write_bronze(records(spark), root) == 6
-    assert lake.write_bronze(records(spark), root) == 6
+    assert lake.write_bronze(records(spark), root, layout="url") == 6
+    assert lake.write_bronze(records(spark), root, layout="url") == 6
     df = lake.read_bronze(spark, root)
     assert df.columns == [*BRONZE.names, "source"]
     assert {r.source for r in df.select("source").distinct().collect()} == {"h0_org_a_b", "h1_org_a_b"}
@@ -63,7 +63,7 @@ def test_reference_layout_and_bad_lines(spark, tmp_path):
 
 def test_inventory(spark, tmp_path):
     root = str(tmp_path / "bronze")
-    lake.write_bronze(records(spark), root)
+    lake.write_bronze(records(spark), root, layout="url")
     rows = {r.source: r for r in lake.file_inventory(spark, root).collect()}
     assert set(rows) == {"h0_org_a_b", "h1_org_a_b"} and all(r.n_files > 0 and r.bytes > 0 for r in rows.values())
 
@@ -153,3 +153,34 @@ def test_seed_file(spark, tmp_path):
     data = {"include": ["en", "sk", "xx"], "exclude": ["sk"], "en": ["u1", "u2"], "sk": ["u3"], "he": ["u4"]}
     seeds = config.seed_urls(*config.read_seeds(spark, write(tmp_path, "s.json", data)))
     assert sorted(map(tuple, seeds.collect())) == [("en", "u1"), ("en", "u2")]
+
+
+def test_replay_replaces_the_whole_batch(spark, tmp_path):
+    """Across midnight, with a record fewer, and with nothing."""
+    root = str(tmp_path / "bronze")
+    late = records(spark).withColumn("ingested_at", F.lit(86399.5))
+    lake.write_bronze(late, root, batch=7)
+    lake.write_bronze(late, root, batch=8)
+    early = late.withColumn("ingested_at", F.lit(86400.5))
+    lake.write_bronze(early.limit(4), root, batch=7)
+    assert lake.read_bronze(spark, root).count() == 4 + 6
+    assert lake.read_bronze(spark, root).where("ingested_at > 86400").count() == 4
+    lake.write_bronze(early.limit(0), root, batch=8)
+    assert lake.read_bronze(spark, root).count() == 4
+
+
+def test_broken_lines_never_become_records(spark, tmp_path):
+    root = tmp_path / "bronze"
+    lake.write_bronze(records(spark), str(root))
+    (next(root.glob("site=*/ingested_date=*")) / "late.json").write_text("{broken\n")
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+        lake.read_bronze(spark, str(root)).collect()
+    assert lake.read_bronze(spark, str(root), corrupt_column="_bad").where("_bad is not null").count() == 1
+
+
+def test_messages_without_url_or_time_are_refused_not_lost(frame):
+    rows = frame([("a", "x"), (None, "y")], "source_url string, content string")
+    assert to_bronze_record(rows, 1.0).count() == 1
+    assert [(r.content, r.error) for r in refused_records(rows, 1.0).collect()] == [("y", "missing source_url")]
+    none = F.lit(None).cast("double")
+    assert to_bronze_record(rows, none).isEmpty() and refused_records(rows, none).count() == 2

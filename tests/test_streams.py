@@ -115,10 +115,10 @@ def test_ingest_with_scorer(spark, tmp_path):
     jobs.ingest(
         spark, source, f"{base}/bronze", Policy("p", "d", ["GOOD"]), f"{base}/ck", scorer=scorer, dead_path=f"{base}/dead"
     ).awaitTermination()
-    got = {r.chunk_id: (r.content, r.language, r.embedding, r.ingested_at > 1e9, r.source) for r in read_bronze(spark, f"{base}/bronze").collect()}
+    got = {r.chunk_id: (r.content, r.language, r.embedding, r.ingested_at, r.source) for r in read_bronze(spark, f"{base}/bronze").collect()}
     assert got == {
-        "u::0": ("good yes", "sk", None, True, "u_org_x"),
-        "u::5": ("good boom", "en", [1.0, 2.0], True, "u_org_x"),
+        "u::0": ("good yes", "sk", None, 5.0, "u_org"),
+        "u::5": ("good boom", "en", [1.0, 2.0], 5.0, "u_org"),
     }
     assert {r.error for r in spark.read.parquet(f"{base}/dead").collect()} == {"invalid json", "missing source_url"}
 

@@ -1,6 +1,7 @@
 """Entities, pages, links, terms and ranking on hand-written rows."""
 
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -179,3 +180,11 @@ def test_first_seen(frame):
     df = frame(rows, "url string, language string, timestamp long, partition int, offset long")
     got = frontier.unvisited(df, frame([("w",)], "url string")).collect()
     assert {(r.url, r.language) for r in got} == {("u", "he"), ("v", "ar")}
+
+
+def test_entities_of_junk_text_take_linear_time(frame):
+    """One page of junk must neither overflow the stack nor take minutes."""
+    junk = ["x@" + "a." * 20_000, "a" * 300_000 + "@", "1" * 300_000, "1,111" * 60_000, "a.b" * 100_000 + "@c.org"]
+    start = time.time()
+    E.entities(frame(list(enumerate(junk)), "id long, content string")).write.format("noop").mode("overwrite").save()
+    assert time.time() - start < 30
