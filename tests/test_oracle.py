@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from checks import ORACLE, QUERIES
 import verify
 
 SF = "/root/testdata/sf0.001"
@@ -14,7 +15,7 @@ def con():
 
 
 @pytest.mark.oracle
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     assert verify.compare(spark, con, SF, name) == ""
 
@@ -26,4 +27,4 @@ def test_entry(spark):
 
 
 def test_only_the_file_listing_lacks_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"bronze_file_inventory"}
+    assert set(QUERIES) - set(ORACLE) == {"bronze_file_inventory"}

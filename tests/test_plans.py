@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from checks import QUERIES
 from siltstone.operators import chunking, entities, pages, ranking, terms
 from siltstone.plans import silver as S
 from siltstone import scale
@@ -32,7 +33,7 @@ def docs(spark):
     return spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", F.col("text").alias("content"), "source")
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - WITH_PYTHON))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WITH_PYTHON))
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(contract.queries()[name](spark, SF))
     assert not PYTHON.search(text)
