@@ -131,7 +131,8 @@ def mix(
         F.xxhash64("doc_id", "text").alias("key"),
         counted.cast("bigint").alias("tokens"),
     ).where("tokens > 0")
-    plan = leaf_plan(rows, weights, budget, max_epochs, seed)
+    # One row per leaf, written first: the join with the whole texts sees its true size.
+    plan = cut_lineage(leaf_plan(rows, weights, budget, max_epochs, seed), "plan")
     return _taken(rows, plan, seed)
 
 
