@@ -43,10 +43,15 @@ RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 LENGTH = 2048
 END = 50256
 SHARD = 1024
+# Sequences are stored in groups of so many: zstd finds repeats within a megabyte.
+GROUP = 256
 ROUNDS = 6
 # Fixed value: the public pre-tokenizer pattern that belongs to the ranks.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+_STORED = ["task", "place", "n_tokens", "docs", "packed"]
+_PLACED = "slot long, shard long, offset long, n_tokens int, docs array<long>, checksum long"
+
 
 @lru_cache(maxsize=2)
 def tokenizer(ranks: str):
@@ -83,21 +88,41 @@ def feistel(number: Column, count: int, key: int, rounds: int = ROUNDS) -> Colum
     )
 
 
-def _pack(ids: bytes) -> bytes:
-    """Low and high bytes apart, then zstd: about six tenths of the ids."""
-    a = np.frombuffer(ids, dtype=np.uint8).reshape(-1, 2).T.tobytes()
-    return pa.compress(a, codec="zstd", asbytes=True)
+def _codec(level: int) -> pa.Codec:
+    return pa.Codec("zstd", compression_level=level)
+
+
+def _pack(ids: np.ndarray) -> bytes:
+    """Low and high bytes of 16-bit numbers apart, then zstd."""
+    return _codec(3).compress(ids.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(), asbytes=True)
+
+
+def _unpack(packed: bytes, length: int) -> np.ndarray:
+    a = np.frombuffer(_codec(3).decompress(packed, decompressed_size=2 * length, asbytes=True), dtype=np.uint8)
+    return np.ascontiguousarray(a.reshape(2, -1).T).view("<u2").ravel()
+
+
+def _opened(packed: bytes, count: int, length: int) -> np.ndarray:
+    """The ids of a stored group of `count` sequences, one row each."""
+    return np.frombuffer(_codec(6).decompress(packed, decompressed_size=2 * count * length, asbytes=True), dtype="<u2").reshape(count, length)
+
 
+def ids_by_use(stored: DataFrame, length: int) -> np.ndarray:
+    """All 65,536 ids, the often used ones first, as counted in one stored group.
 
-def _unpack(packed: bytes, size: int) -> bytes:
-    a = np.frombuffer(pa.decompress(packed, decompressed_size=size, codec="zstd", asbytes=True), dtype=np.uint8)
-    return a.reshape(2, -1).T.tobytes()
+    Sequences travel as places in this list, which pack into fewer bytes. The result
+    does not depend on it, so one group (of at most GROUP sequences) is enough.
+    """
+    group = stored.select("n_tokens", "packed").first()
+    used = np.bincount(_opened(bytes(group["packed"]), len(group["n_tokens"]), length).ravel(), minlength=1 << 16)
+    return np.argsort(-used, kind="stable").astype("<u2")
 
 
 def sequences(docs: DataFrame, length: int = LENGTH, ranks: str = RANKS, end: int = END) -> DataFrame:
-    """(task, place, n_tokens, docs, packed): texts joined and cut into `length` 16-bit ids.
+    """(task, place, n_tokens, docs, packed): texts joined and cut into `length` 16-bit ids, up to GROUP sequences a row.
 
-    `docs`: the doc_id of each text that has tokens in the sequence.
+    `place`: the number of the row's first sequence in its task. `n_tokens`, `docs`: for
+    each sequence its tokens and the doc_id of each text that has tokens in it.
     """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -105,8 +130,12 @@ def sequences(docs: DataFrame, length: int = LENGTH, ranks: str = RANKS, end: in
 
         task, place = TaskContext.get().partitionId(), 0
         encode = tokenizer(ranks).encode_ordinary
-        held, ids = array.array("H"), []
-        rows: list[tuple] = []
+        held, ids, full = array.array("H"), [], []
+
+        def group() -> pd.DataFrame:
+            packed = _codec(6).compress(held[: len(full) * length].tobytes(), asbytes=True)
+            return pd.DataFrame([(task, place, [length] * len(full), full, packed)], columns=_STORED)
+
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 if not text:
@@ -115,24 +144,37 @@ def sequences(docs: DataFrame, length: int = LENGTH, ranks: str = RANKS, end: in
                 held.extend(encode(text))
                 held.append(end)
                 ids = [*ids, doc]
-                if len(held) >= length:
-                    full = len(held) // length
-                    kept, held = held, held[full * length :]
-                    for k in range(full):
-                        rows.append((task, place, length, ids, _pack(kept[k * length : (k + 1) * length].tobytes())))
-                        place, ids = place + 1, [doc]
-                    if not held:
-                        ids = []
-            if rows:
-                yield pd.DataFrame(rows, columns=["task", "place", "n_tokens", "docs", "packed"])
-                rows = []
+                while len(held) >= (len(full) + 1) * length:
+                    full.append(ids)
+                    ids = [doc] if len(held) > len(full) * length else []
+                    if len(full) == GROUP:
+                        yield group()
+                        place, held, full = place + GROUP, held[GROUP * length :], []
+        if full:
+            yield group()
+            place, held = place + len(full), held[len(full) * length :]
         if held:
             n = len(held)
             held.extend([end] * (length - n))
-            rows = [(task, place, n, ids, _pack(held.tobytes()))]
-            yield pd.DataFrame(rows, columns=["task", "place", "n_tokens", "docs", "packed"])
+            yield pd.DataFrame([(task, place, [n], [ids], _codec(6).compress(held.tobytes(), asbytes=True))], columns=_STORED)
+
+    return docs.select("doc_id", "text").mapInPandas(cut, "task int, place int, n_tokens array<int>, docs array<array<long>>, packed binary")
+
+
+def _one_by_one(stored: DataFrame, by_use: np.ndarray, length: int) -> DataFrame:
+    """(task, place, n_tokens, docs, packed) per sequence."""
+    place_of = np.empty(1 << 16, "<u2")
+    place_of[by_use] = np.arange(1 << 16, dtype="<u2")
+
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                ids = place_of[_opened(row.packed, len(row.n_tokens), length)]
+                yield pd.DataFrame(
+                    {"task": row.task, "place": row.place + np.arange(len(ids)), "n_tokens": row.n_tokens, "docs": list(row.docs), "packed": [_pack(x) for x in ids]}
+                )
 
-    return docs.select("doc_id", "text").mapInPandas(cut, "task int, place int, n_tokens int, docs array<long>, packed binary")
+    return stored.mapInPandas(split, "task int, place int, n_tokens int, docs array<long>, packed binary")
 
 
 def materialise(
@@ -147,17 +189,16 @@ def materialise(
     """Write the shards below `folder`; one row per sequence: slot, shard, byte offset, n_tokens, docs, checksum."""
     stored = cut_lineage(sequences(docs, length, ranks, end), "sequences")
     # One row per task of the tokenising stage.
-    sizes = stored.groupBy("task").agg((F.max("place") + 1).cast("bigint").alias("n")).orderBy("task").collect()
+    sizes = stored.groupBy("task").agg(F.max(F.col("place") + F.size("n_tokens")).cast("bigint").alias("n")).orderBy("task").collect()
     total, start = 0, []
     for r in sizes:
         start.append((r["task"], total))
         total += r["n"]
     if not total:
-        return stored.select(
-            F.lit(0).cast("bigint").alias("slot"), F.lit(0).cast("bigint").alias("shard"), F.lit(0).cast("bigint").alias("offset"), "n_tokens", "docs", F.lit(0).cast("bigint").alias("checksum")
-        ).limit(0)
+        return docs.sparkSession.createDataFrame([], _PLACED)
+    by_use = ids_by_use(stored, length)
     offsets = docs.sparkSession.createDataFrame(start, "task int, first long")
-    numbered = stored.join(F.broadcast(offsets), "task").withColumn("slot", feistel(F.col("first") + F.col("place"), total, key))
+    numbered = _one_by_one(stored, by_use, length).join(F.broadcast(offsets), "task").withColumn("slot", feistel(F.col("first") + F.col("place"), total, key))
     placed = numbered.select("slot", F.expr(f"slot div {shard}").alias("shard"), "n_tokens", "docs", "packed")
     shards = -(-total // shard)
     dealt = placed.repartition(shards, "shard").sortWithinPartitions("shard", "slot")
@@ -169,7 +210,7 @@ def materialise(
         for batch in batches:
             sums = []
             for s, n in zip(batch["shard"], batch["packed"], strict=True):
-                blob = _unpack(n, size)
+                blob = by_use[_unpack(n, length)].tobytes()
                 out.add(int(s), blob)
                 sums.append(zlib.crc32(blob))
             yield pd.DataFrame(
@@ -177,7 +218,7 @@ def materialise(
             )
         out.close()
 
-    return dealt.mapInPandas(write, "slot long, shard long, offset long, n_tokens int, docs array<long>, checksum long")
+    return dealt.mapInPandas(write, _PLACED)
 
 
 def _filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
