@@ -191,15 +191,16 @@ def test_feistel_is_a_permutation_for_any_count(spark):
         assert sorted(got) == list(range(n))
 
 
-def test_shards_hold_every_token_in_slot_order(spark, docs, tmp_path):
+@pytest.mark.parametrize("length", [4, 32])
+def test_shards_hold_every_token_in_slot_order(spark, docs, tmp_path, length):
     folder = str(tmp_path / "shards")
-    rows = training_order.materialise(docs, folder, length=32, shard=8).collect()
+    rows = training_order.materialise(docs, folder, length=length, shard=8).collect()
     assert sorted(r.slot for r in rows) == list(range(len(rows)))
-    blocks = training_order.read_slots(folder, 0, len(rows), length=32, shard=8)
-    resumed = training_order.read_slots(folder, 5, len(rows) - 5, length=32, shard=8)
+    blocks = training_order.read_slots(folder, 0, len(rows), length=length, shard=8)
+    resumed = training_order.read_slots(folder, 5, len(rows) - 5, length=length, shard=8)
     assert (blocks[5:] == resumed).all()
     for r in rows:
-        assert zlib.crc32(blocks[r.slot].tobytes()) == r.checksum and r.shard == r.slot // 8 and r.offset == r.slot % 8 * 64
+        assert zlib.crc32(blocks[r.slot].tobytes()) == r.checksum and r.shard == r.slot // 8 and r.offset == r.slot % 8 * 2 * length
     encode = training_order.tokenizer(training_order.RANKS).encode_ordinary
     want = sum(len(encode(r.text)) + 1 for r in docs.collect() if r.text)
     assert sum(r.n_tokens for r in rows) == want
