@@ -113,9 +113,9 @@ def link_buckets(shared: DataFrame, verify: Callable[[DataFrame], DataFrame], st
     spark = shared.sparkSession
     edges = spark.createDataFrame([], "a long, b long")
     roots = shared.select(F.col("node").alias("id"), F.col("node").alias("root")).distinct()
-    tried = edges
+    tried, rows = edges, shared
     for star in range(stars + 1):
-        placed = shared.join(roots.withColumnRenamed("id", "node"), "node").select("band", "node", "root")
+        placed = rows.join(roots.withColumnRenamed("id", "node"), "node").select("band", "node", "root")
         open_ = (
             placed.groupBy("band")
             .agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"))
@@ -123,6 +123,8 @@ def link_buckets(shared: DataFrame, verify: Callable[[DataFrame], DataFrame], st
             .select("band", "size")
         )
         placed = cut_lineage(placed.join(open_, "band"), "open")
+        # A bucket that lies in one component stays in it, so later rounds leave it out.
+        rows = placed.select("node", "band")
         if star < stars:
             pairs = _with_centres(placed, star)
         else:
