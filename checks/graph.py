@@ -123,7 +123,7 @@ def traversal_stats(spark, sf):
 
 CRAWL_SQL = f"""
 sessions AS (
-  SELECT source AS seed, min(lang) AS language FROM documents GROUP BY source HAVING avg(n_chars) >= 2300
+  SELECT source AS seed, min(lang) AS language FROM documents GROUP BY source
 ),
 found AS (
   SELECT seed, d.source || '/' || doc_id AS url, s.language, {words_sql('text')} AS ws FROM documents d JOIN sessions s ON d.source = s.seed
@@ -135,11 +135,11 @@ crawl AS (
 
 
 def crawled(spark, sf):
-    """Sessions are the sources with long documents on average; the others were not crawled."""
+    """Every source is a session."""
     docs = table(spark, sf, "documents")
-    work = docs.groupBy(F.col("source").alias("url")).agg(F.min("lang").alias("language"), F.avg("n_chars").alias("n"))
+    work = docs.groupBy(F.col("source").alias("url")).agg(F.min("lang").alias("language"))
     pages = docs.select(F.col("source").alias("seed"), F.concat("source", F.lit("/"), "doc_id").alias("url"), "text")
-    return crawl.crawl_chunks(work.where("n >= 2300"), pages, now=1704067200.5)
+    return crawl.crawl_chunks(work, pages, now=1704067200.5)
 
 
 @check("crawl_chunks", f"""WITH {CRAWL_SQL}

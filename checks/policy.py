@@ -278,11 +278,14 @@ def url_normalized(spark, sf):
 
 
 @check("url_base_domain", f"""
-SELECT url, CASE WHEN n % 2 = 1 THEN list_reverse(string_split({host_sql('url')}, '.'))[3] || '.co.uk' ELSE {domain_sql('url')} END AS domain
-FROM (SELECT page_id AS n, CASE WHEN page_id % 2 = 1 THEN 'http://www.sub.h' || page_id || '.co.uk:81/x' ELSE url END AS url FROM pages)""")
+SELECT url, {domain_sql('url')} AS domain FROM pages
+UNION ALL
+SELECT british AS url, list_reverse(string_split({host_sql('british')}, '.'))[3] || '.co.uk' AS domain
+FROM (SELECT 'http://www.sub.h' || page_id || '.co.uk:81/x' AS british FROM pages)""")
 def url_base_domain(spark, sf):
+    """Every given URL, and one with a two-part suffix for each page."""
     british = F.concat(F.lit("http://www.sub.h"), "page_id", F.lit(".co.uk:81/x"))
-    rows = table(spark, sf, "pages").select(F.when(F.col("page_id") % 2 == 1, british).otherwise(F.col("url")).alias("url"))
+    rows = table(spark, sf, "pages").select(F.explode(F.array("url", british)).alias("url"))
     return rows.select("url", urls.base_domain("url").alias("domain"))
 
 
