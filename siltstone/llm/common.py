@@ -103,26 +103,24 @@ def crowded_buckets(bands: DataFrame) -> DataFrame:
     return cut_lineage(bands.where(maybe_in(F.col("band"), key_bitmap(crowded, "band"))).join(crowded, "band").distinct(), "buckets")
 
 
-def link_buckets(shared: DataFrame, verify: Callable[[DataFrame], DataFrame], stars: int, small: int) -> DataFrame:
-    """(id, root) of every node in `shared` (node, band): components of the pairs (a, b) that `verify` keeps.
+def link_buckets(
+    shared: DataFrame, verify: Callable[[DataFrame], DataFrame], rest: Callable[[DataFrame], DataFrame], stars: int, small: int, block: int
+) -> DataFrame:
+    """(id, root) of every node in `shared` (node, band): components of the similar pairs that share a band.
 
     Each of `stars` rounds compares every node with one centre per bucket, if they are
-    in different components; at last the pairs still apart in buckets of at most
-    `small` nodes are compared.
+    in different components; then the pairs still apart in buckets of at most `small`
+    nodes are compared. `verify` keeps of such pairs (a, b) the similar ones. Larger
+    buckets that are still open go to `rest` in pairs of blocks of about `block`
+    nodes; it gives links (a, b) between components, and no pair is left out.
     """
     spark = shared.sparkSession
     edges = spark.createDataFrame([], "a long, b long")
-    roots = shared.select(F.col("node").alias("id"), F.col("node").alias("root")).distinct()
+    nodes = shared.select(F.col("node").alias("id")).distinct()
+    roots = nodes.withColumn("root", F.col("id"))
     tried, rows = edges, shared
     for star in range(stars + 1):
-        placed = rows.join(roots.withColumnRenamed("id", "node"), "node").select("band", "node", "root")
-        open_ = (
-            placed.groupBy("band")
-            .agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"))
-            .where("lo < hi")
-            .select("band", "size")
-        )
-        placed = cut_lineage(placed.join(open_, "band"), "open")
+        placed = _open_buckets(rows, roots)
         # A bucket that lies in one component stays in it, so later rounds leave it out.
         rows = placed.select("node", "band")
         if star < stars:
@@ -140,10 +138,52 @@ def link_buckets(shared: DataFrame, verify: Callable[[DataFrame], DataFrame], st
         if kept.isEmpty():
             continue
         edges = edges.unionByName(kept)
-        found = components(edges)
-        roots = shared.select(F.col("node").alias("id")).distinct().join(found, "id", "left").select("id", F.coalesce("root", "id").alias("root"))
-        roots = cut_lineage(roots, "roots")
-    return roots
+        roots = _relabelled(nodes, edges)
+    large = _open_buckets(rows, roots).where(F.col("size") > small)
+    if large.isEmpty():
+        return roots
+    kept = cut_lineage(rest(_block_pairs(large, block)).distinct(), "rest")
+    return roots if kept.isEmpty() else _relabelled(nodes, edges.unionByName(kept))
+
+
+def _open_buckets(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """(band, node, root, size) of the buckets whose nodes are in different components."""
+    placed = rows.join(roots.withColumnRenamed("id", "node"), "node").select("band", "node", "root")
+    open_ = (
+        placed.groupBy("band")
+        .agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"))
+        .where("lo < hi")
+        .select("band", "size")
+    )
+    return cut_lineage(placed.join(open_, "band"), "open")
+
+
+def _relabelled(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    found = components(edges)
+    return cut_lineage(nodes.join(found, "id", "left").select("id", F.coalesce("root", "id").alias("root")), "roots")
+
+
+def _block_pairs(large: DataFrame, block: int) -> DataFrame:
+    """(band, i, j, at, node, root): the nodes of block `at`, once for each pair of blocks i <= j to compare.
+
+    The nodes of a bucket's largest component are known to each other, so their blocks
+    meet only the blocks of the nodes outside it.
+    """
+    shares = large.groupBy("band", "root").agg(F.count("*").alias("n"))
+    main = shares.groupBy("band").agg(F.max(F.struct("n", "root")).alias("m")).select("band", F.col("m.root").alias("main"), F.col("m.n").alias("inside"))
+    sized = large.join(main, "band").select(
+        "band",
+        "node",
+        "root",
+        (F.col("root") == F.col("main")).alias("known"),
+        F.ceil(F.col("inside") / block).cast("int").alias("n_in"),
+        F.ceil((F.col("size") - F.col("inside")) / block).cast("int").alias("n_out"),
+    )
+    spot = F.xxhash64("node", F.lit("block"))
+    at = F.when(F.col("known"), F.col("n_out") + F.pmod(spot, "n_in")).otherwise(F.pmod(spot, "n_out")).cast("int")
+    last = F.when(F.col("known"), F.col("n_out")).otherwise(F.col("n_out") + F.col("n_in")) - 1
+    met = sized.select("band", "node", "root", at.alias("at"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
+    return met.select("band", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"), "at", "node", "root")
 
 
 def _with_centres(placed: DataFrame, star: int) -> DataFrame:

@@ -10,11 +10,10 @@ register with the probability Jaccard of their weighted shingles:
 
 Bands of registers propose pairs, the exact J on whole shingle lists decides them,
 and components of verified pairs are the classes. Inside a bucket of a band, texts
-are compared with a few centres (a star each round); in buckets of a bounded size the
-pairs that are still in different components are compared one by one afterwards. So a
-group of copies costs a few comparisons per copy. A pair that meets only in larger
-buckets, agrees with none of their centres and shares no centre's class is not
-compared; README has the measured recall. Equal word sequences are one node from the start.
+are compared with a few centres (a star each round); pairs that are still in different
+components are compared afterwards, one by one in small buckets and by blocks of texts
+in larger ones. So a group of copies costs a few comparisons per copy, and no pair that
+shares a band is left out. Equal word sequences are one node from the start.
 
 With 25 bands of 5 registers a pair at J = 0.8 is missed with probability 5e-5.
 
@@ -41,6 +40,10 @@ BANDS, ROWS = 25, 5
 STARS = 3
 # Buckets of at most so many nodes are compared pair by pair in the end.
 SMALL = 32
+# Larger ones in blocks of about so many.
+BLOCK = 512
+# Shingles whose overlaps are counted at a time.
+SLICE = 4096
 _U = np.uint64
 
 
@@ -177,7 +180,75 @@ def verified(pairs: DataFrame, lists: DataFrame, similarity: float) -> DataFrame
     return cut_lineage(joined.mapInPandas(decide, "a long, b long"), "verified")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, stars: int = STARS, small: int = SMALL) -> DataFrame:
+def overlaps(left: list[tuple[np.ndarray, np.ndarray]], right: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, ...]:
+    """For each pair of lists: the number of common shingles, and their weight in the left and in the right list."""
+    sides = []
+    for lists in (left, right):
+        owner = np.repeat(np.arange(len(lists)), [len(s) for s, _ in lists])
+        sides.append((owner, np.concatenate([s for s, _ in lists]), np.concatenate([w for _, w in lists])))
+    common = np.intersect1d(sides[0][1], sides[1][1])
+    placed = []
+    for owner, items, weight in sides:
+        order = np.argsort(items, kind="stable")
+        order = order[np.isin(items[order], common)]
+        placed.append((owner[order], np.searchsorted(common, items[order]), weight[order]))
+    count, in_left, in_right = np.zeros((3, len(left), len(right)))
+    for start in range(0, len(common), SLICE):
+        ones, weights = [], []
+        for (owner, spot, weight), n in zip(placed, (len(left), len(right)), strict=True):
+            part = slice(*np.searchsorted(spot, [start, start + SLICE]))
+            dense = np.zeros((2, n, SLICE), np.float32)
+            dense[0, owner[part], spot[part] - start] = 1
+            dense[1, owner[part], spot[part] - start] = weight[part]
+            ones.append(dense[0])
+            weights.append(dense[1])
+        count += ones[0] @ ones[1].T
+        in_left += weights[0] @ ones[1].T
+        in_right += ones[0] @ weights[1].T
+    return count, in_left, in_right
+
+
+def linked(blocks: DataFrame, lists: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that join the components of the nodes in each pair of blocks.
+
+    Overlaps bound the similarity of every pair of texts (and are it, where no shingle
+    repeats); the exact similarity decides what the bound lets through. A task
+    gives the links of a spanning forest, never all pairs.
+    """
+
+    def find(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.reset_index(drop=True)
+        texts = [shingle_counts(h) for h in part["h"]]
+        node, root = part["node"].to_numpy(), part["root"].to_numpy()
+        i, j = (np.flatnonzero(part["at"] == part[side]) for side in ("i", "j"))
+        count, in_left, in_right = overlaps([texts[k] for k in i], [texts[k] for k in j])
+        size = np.array([len(s) for s, _ in texts], float)
+        total = np.array([w.sum() for _, w in texts], float)
+        # J is at most the common share of either text.
+        bound = np.minimum(in_left / total[i][:, None], in_right / total[j])
+        plain = (size == total)[i][:, None] & (size == total)[j]
+        bound = np.where(plain, count / (size[i][:, None] + size[j] - count), bound)
+        likely = (bound >= similarity - 1e-6) & (root[i][:, None] != root[j])
+        above = dict.fromkeys(root.tolist())
+
+        def top(r: int) -> int:
+            while above[r] is not None:
+                r = above[r]
+            return r
+
+        links = []
+        for x, y in zip(*np.nonzero(likely), strict=True):
+            a, b = i[x], j[y]
+            ra, rb = top(root[a]), top(root[b])
+            if ra != rb and probability_jaccard(texts[a], texts[b]) >= similarity - 1e-9:
+                above[max(ra, rb)] = min(ra, rb)
+                links.append((min(node[a], node[b]), max(node[a], node[b])))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    return blocks.join(lists, "node").groupBy("band", "i", "j").applyInPandas(find, "a long, b long")
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, stars: int = STARS, small: int = SMALL, block: int = BLOCK) -> DataFrame:
     """(doc_id, text_key, class_id, class_key) per row of `docs`.
 
     `class_id`: the smallest doc_id of the class; `text_key`, `class_key`: hashes of the row's text and of that one's.
@@ -187,7 +258,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, stars: int
     bands = found.where("bands is not null").select("node", F.explode("bands").alias("band"))
     shared = crowded_buckets(bands)
     lists = word_lists(docs, members, shared.select("node").distinct())
-    roots = link_buckets(shared, lambda pairs: verified(pairs, lists, similarity), stars, small)
+    roots = link_buckets(
+        shared, lambda pairs: verified(pairs, lists, similarity), lambda blocks: linked(blocks, lists, similarity), stars, small, block
+    )
     classes = members.join(roots.withColumnRenamed("id", "node"), "node", "left").select(
         "doc_id", "text_key", F.coalesce("root", "node").alias("root")
     )

@@ -115,6 +115,31 @@ def test_near_duplicates_are_the_brute_force_classes(docs):
     assert near_dedup.near_duplicates(empty(docs)).isEmpty()
 
 
+def test_large_buckets_are_compared_by_blocks(spark, docs):
+    rng = random.Random(11)
+    base = prose(rng, 120).split()
+    edited = []
+    for i in range(40):
+        w = list(base)
+        for _ in range(rng.randint(0, 5)):
+            w[rng.randrange(len(w))] = f"e{rng.randrange(6)}"
+        edited.append((1000 + i, " ".join(w), "en", "s", 1, 1, "n"))
+    some = docs.unionByName(spark.createDataFrame(edited, DOCS))
+    want = brute_classes([(r.doc_id, r.text) for r in some.select("doc_id", "text").collect()], 0.8)
+    got = {}
+    for r in near_dedup.near_duplicates(some, stars=0, small=1, block=7).collect():
+        got.setdefault((r.class_id, r.class_key), []).append(r.doc_id)
+    assert sorted(sorted(g, key=str) for g in got.values()) == want
+
+
+def test_overlaps_count_common_shingles():
+    a = (np.array([1, 3, 5], np.uint64), np.array([1, 2, 1]))
+    b = (np.array([3, 5, 9], np.uint64), np.array([4, 1, 1]))
+    none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    count, left, right = near_dedup.overlaps([a, none], [b, a])
+    assert count.tolist() == [[2, 3], [0, 0]] and left.tolist() == [[3, 4], [0, 0]] and right.tolist() == [[5, 4], [0, 0]]
+
+
 def test_registers_agree_with_probability_jaccard():
     rng = np.random.default_rng(3)
     a = near_dedup.shingle_counts(rng.integers(0, 50, 400))
@@ -282,6 +307,11 @@ def test_fuzzy_lines_are_the_brute_force_components(spark, docs):
                 root = [a if r == b else r for r in root]
     want = {lines[x][:2] for x in range(len(lines)) if any(root[y] == root[x] for y in range(x))}
     assert {tuple(r) for r in line_dedup.repeated_lines(some).collect()} == want
+    for method in ({}, {"stars": 0, "small": 1, "block": 3}):
+        classes = line_dedup.line_classes(some, **method)
+        joined = line_dedup.lines(some).join(classes, "node", "left").withColumn("root", F.coalesce("root", "node")).collect()
+        label = {(r.doc_id, r.line_no): r.root for r in joined}
+        assert all((label[lines[x][:2]] == label[lines[y][:2]]) == (root[x] == root[y]) for x in range(len(lines)) for y in range(x))
     out = line_dedup.without_repeats(some.unionByName(docs))
     assert out.columns == docs.columns and out.count() == 12 + docs.count()
     assert line_dedup.repeated_lines(empty(docs)).isEmpty()
