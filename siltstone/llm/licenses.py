@@ -1,18 +1,21 @@
-"""License scans: sparse TF-IDF cosine to templates, then inheritance along directories.
-
-Evidence of a file is its header: every line of the whole text that speaks of a
-licence, copyright or permission; of a licence file (LICENSE, COPYING and the like)
-it is the whole text. Terms are weighted by tf * idf, idf over the templates, which
-are the only terms a cosine can meet; a file's norm runs over all its evidence terms,
-and terms no template has weigh as the rarest. Files meet templates by a join on terms.
+"""License scans: sparse TF-IDF cosine of passages to templates, then inheritance along directories.
+
+Passages of a file, licence file or not, are the stretches of its words that hold a
+word of a licence, copyright or permission, are no longer than the template they meet,
+and begin and end with such a word or with one of the template's; line ends do not
+count. The best cosine over all of them is the template's, so the length of the file
+around a notice changes nothing. Terms are weighted by tf * idf, idf over the
+templates; terms no template has weigh as the rarest. Words near a licence word meet
+templates by a join on terms, once per distinct neighbourhood in the whole table.
 A file whose best cosine is below `threshold` inherits from the nearest ancestor
 directory that holds a licence file with a verdict: ancestors of each distinct
 directory are joined by path, then files by directory.
 
-Defined cases: null and empty texts and texts without evidence have no verdict of
+Defined cases: null and empty texts and texts without a licence word have no verdict of
 their own; null paths inherit nothing; ties between templates go to the first name,
 between licence files of one directory to the better cosine, then the first name;
-repeated rows are judged alike; a template table without rows gives no verdict.
+repeated rows are judged alike; a template table without rows gives no verdict; a
+licence may have several templates.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import let
 from .common import cut_lineage, table, words
 
 THRESHOLD = 0.6
@@ -41,35 +45,63 @@ def templates(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(TEMPLATES), "license string, text string")
 
 
-def evidence(path: Column, text: Column) -> Column:
-    """The lines that speak of a licence; a licence file's whole text."""
-    name = F.substring_index(F.coalesce(path, F.lit("")), "/", -1)
-    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: x.rlike(CUE))
-    return F.when(name.rlike(LICENSE_FILE) & text.rlike(CUE), F.coalesce(text, F.lit(""))).otherwise(F.array_join(lines, "\n"))
-
-
 def _terms(rows: DataFrame, key: str, text: str) -> DataFrame:
     """(key, term, tf), tf = 1 + ln(count)."""
     return rows.select(key, F.explode(words(text)).alias("term")).groupBy(key, "term").agg((1 + F.log(F.count("*"))).alias("tf"))
 
 
+def _near_cues(text: Column, reach: int) -> Column:
+    """Per licence word: the words less than `reach` places from it, and its place among them."""
+
+    def listed(w: Column) -> Column:
+        cues = F.filter(F.sequence(F.lit(1), F.size(w)), lambda i: F.get(w, i - 1).rlike(CUE))
+        first = lambda c: F.greatest(c - (reach - 1), F.lit(1))
+        return F.transform(cues, lambda c: F.struct(F.slice(w, first(c), c + reach - first(c)).alias("near"), (c - first(c)).alias("cue")))
+
+    return let(words(text), listed)
+
+
+def _stretches(rows: DataFrame) -> DataFrame:
+    """One row per stretch, `since` to `until`, of each passage and template: at most `length` words that hold the cue."""
+    # Places of the template's terms and of the cue; a stretch begins and ends at one of them.
+    ends = F.array_union(F.col("spots"), F.array("cue"))
+    since = F.filter(ends, lambda x: (x <= F.col("cue")) & (x > F.col("cue") - F.col("length")))
+    until = F.filter(ends, lambda x: (x >= F.col("cue")) & (x < F.col("since") + F.col("length")))
+    begun = rows.select("passage", "template", "near", "cue", "spots", "length", F.explode(since).alias("since"))
+    return begun.select("passage", "template", "near", "since", F.explode(until).alias("until"))
+
+
 def own_licenses(files: DataFrame, known: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(evidence_key, license, score) of distinct evidence texts that reach the threshold; `files`: evidence_key, evidence."""
-    t = cut_lineage(_terms(known, "license", "text"), "templates")
-    count = known.select("license").distinct().agg(F.count("*").alias("n"))
+    """(evidence_key, license, score) of distinct texts that reach the threshold; `files`: evidence_key, evidence."""
+    named = known.select("license", "text", F.xxhash64("license", "text").alias("template"), F.size(words("text")).alias("length"))
+    named = cut_lineage(named.dropDuplicates(["template"]), "templates")
+    t = cut_lineage(_terms(named, "template", "text").join(named.select("template", "license", "length"), "template"), "template-terms")
+    count = named.select("license").distinct().agg(F.count("*").alias("n"))
     idf = t.groupBy("term").agg(F.countDistinct("license").alias("df")).withColumn("idf", F.log((count.scalar() + 1) / F.col("df")) + 1)
     idf = cut_lineage(idf.select("term", "idf"), "idf")
     rarest = count.select(F.log(F.col("n") + 1) + 1).scalar()
     wt = t.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norms = wt.groupBy("license").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("template_norm"))
-    wt = wt.join(norms, "license").select("license", "term", (F.col("w") / F.col("template_norm")).alias("share"))
-    wf = _terms(files, "evidence_key", "evidence").join(idf, "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", rarest))
-    wf = cut_lineage(wf.select("evidence_key", "term", "w"), "weights")
-    norm = wf.groupBy("evidence_key").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = wf.join(wt, "term").groupBy("evidence_key", "license").agg(F.sum(F.col("w") * F.col("share")).alias("dot"))
-    scored = dots.join(norm, "evidence_key").select("evidence_key", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
-    best = scored.groupBy("evidence_key").agg(F.min(F.struct((-F.col("score")).alias("back"), F.col("license"))).alias("b"))
-    return best.select("evidence_key", F.col("b.license").alias("license"), (-F.col("b.back")).alias("score")).where(F.col("score") >= threshold)
+    norms = wt.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("template_norm"))
+    wt = cut_lineage(wt.join(norms, "template").select("template", "length", "term", (F.col("w") / F.col("template_norm")).alias("share")), "shares")
+    reach = named.agg(F.max("length").alias("n")).first()["n"] or 1
+    spoken = files.select("evidence_key", F.inline(_near_cues(F.col("evidence"), reach)))
+    spoken = spoken.withColumn("passage", F.xxhash64("near", "cue"))
+    links = cut_lineage(spoken.select("evidence_key", "passage", "near", "cue"), "links")
+    passages = cut_lineage(links.groupBy("passage").agg(F.first("near").alias("near"), F.first("cue").alias("cue")), "passages")
+    spots = passages.select("passage", F.posexplode("near").alias("at", "term")).join(wt, "term")
+    spots = spots.groupBy("passage", "template").agg(F.first("length").alias("length"), F.collect_set("at").alias("spots"))
+    stretches = _stretches(spots.join(passages, "passage"))
+    stretch = ["passage", "template", "since", "until"]
+    read = stretches.select(*stretch, F.explode(F.slice("near", F.col("since") + 1, F.col("until") - F.col("since") + 1)).alias("term"))
+    wf = read.groupBy(*stretch, "term").agg((1 + F.log(F.count("*"))).alias("tf")).join(idf, "term", "left")
+    wf = wf.withColumn("w", F.col("tf") * F.coalesce("idf", rarest)).join(wt.select("template", "term", "share"), ["template", "term"], "left")
+    scored = wf.groupBy(*stretch).agg(F.sum(F.col("w") * F.col("share")).alias("dot"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    scored = scored.groupBy("passage", "template").agg(F.round(F.max(F.col("dot") / F.col("norm")), 6).alias("score")).where(F.col("score") >= threshold)
+    scored = scored.join(named.select("template", "license"), "template")
+    best = F.min(F.struct((-F.col("score")).alias("back"), F.col("license"))).alias("b")
+    judged = scored.groupBy("passage").agg(best).select("passage", "b.license", (-F.col("b.back")).alias("score"))
+    best_of = links.select("evidence_key", "passage").join(judged, "passage").groupBy("evidence_key").agg(best)
+    return best_of.select("evidence_key", F.col("b.license").alias("license"), (-F.col("b.back")).alias("score"))
 
 
 def scan(files: DataFrame, known: DataFrame, key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
@@ -78,10 +110,10 @@ def scan(files: DataFrame, known: DataFrame, key: str = "doc_id", threshold: flo
     `origin`: 'own', the directory it is inherited from, or null.
     """
     rows = files.select(F.col(key).alias("file"), F.col("path").alias("path"), F.col("text").alias("text"))
-    rows = rows.select("file", "path", evidence(F.col("path"), F.col("text")).alias("evidence"))
-    rows = rows.withColumn("evidence_key", F.when(F.length("evidence") > 0, F.xxhash64("evidence")))
-    spoken = rows.where("evidence_key is not null").groupBy("evidence_key").agg(F.min("evidence").alias("evidence"))
-    verdicts = cut_lineage(own_licenses(cut_lineage(spoken, "evidence"), known, threshold), "verdicts")
+    rows = rows.select("file", "path", F.when(F.col("text").rlike(CUE), F.col("text")).alias("evidence"))
+    rows = rows.withColumn("evidence_key", F.when(F.col("evidence").isNotNull(), F.xxhash64("evidence")))
+    spoken = rows.where("evidence_key is not null").select("evidence_key", "evidence")
+    verdicts = cut_lineage(own_licenses(spoken, known, threshold), "verdicts")
     name, directory = F.substring_index("path", "/", -1), F.regexp_replace("path", "/?[^/]*$", "")
     thin = rows.select("file", "path", directory.alias("directory"), name.alias("name"), "evidence_key")
     judged = cut_lineage(thin.join(verdicts, "evidence_key", "left").drop("evidence_key"), "judged")

@@ -281,6 +281,17 @@ def test_license_cosine_and_inheritance(spark):
     assert licenses.scan(empty(files), licenses.templates(spark)).isEmpty()
 
 
+def test_license_notices_count_whatever_surrounds_them(spark):
+    rng = random.Random(12)
+    page = lambda notice: f"{prose(rng, 400)}\n{prose(rng, 30)} {notice} {prose(rng, 30)}\n{prose(rng, 400)}"
+    files = spark.createDataFrame(
+        [(1, "p/LICENSE", page("Licensed under the Apache License,\nVersion 2.0.")), (2, "p/a/x.txt", "nothing"), (3, "q/f.c", page("Released under the MIT License.")),
+         (4, "q/LICENSE", page("all rights by permission of mit")), (5, "q/y.txt", "nothing"), (6, "r/f.c", "Copyright 2020 Example Company Inc.\nAll rights reserved.\n" + page("Licensed under CC BY 4.0."))],
+        "doc_id long, path string, text string")
+    got = {r.doc_id: (r.license, r.origin, r.score) for r in licenses.scan(files, licenses.templates(spark)).collect()}
+    assert got == {1: ("Apache-2.0", "own", 1.0), 2: ("Apache-2.0", "p", None), 3: ("MIT", "own", 1.0), 4: (None, None, None), 5: (None, None, None), 6: ("CC-BY-4.0", "own", 1.0)}
+
+
 def brute_shingles(line):
     w = [x for x in line.strip(" ").lower().split(" ") if x]
     out = set()
