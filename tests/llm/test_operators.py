@@ -328,6 +328,21 @@ def test_fuzzy_lines_are_the_brute_force_components(spark, docs):
     assert line_dedup.repeated_lines(empty(docs)).isEmpty()
 
 
+def test_every_character_of_a_line_counts(spark):
+    lines = [
+        "https://example.org/reports/2020/alpha-and-beta", "https://example.org/tables/1999/gamma.or.delta",
+        "1 2 3 4 5 6 7 8", "1 2 3 4 9 9 9 9", "price of item: 1299", "price of item: 1344",
+        "日本語の文章はここから始まる長い文です今日は晴れ", "日本語の文章はここから始まる長い文でも中身が違う話", "ab", "AB", "abc",
+        "a line with an emoji \U0001f600 inside it, to be read whole", "a line with an emoji \U0001f600 inside it, to be read whole.",
+    ]
+    some = spark.createDataFrame([(1, "\n".join(lines))], "doc_id long, text string")
+    assert sorted(r.line_no for r in line_dedup.repeated_lines(some).collect()) == [9, 12]
+    read = spark.createDataFrame([(x,) for x in lines], "line string").select("line", line_dedup._stretches(F.col("line")).alias("s")).collect()
+    for r in read:
+        low = r.line.lower()
+        assert r.s == ([low[i : i + 5] for i in range(len(low) - 4)] or [low])
+
+
 def test_bm25_equals_scoring_everything(docs):
     rows = {}
     for r in docs.where("doc_id is not null").dropDuplicates(["doc_id"]).collect():
