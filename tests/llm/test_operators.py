@@ -343,6 +343,21 @@ def test_every_character_of_a_line_counts(spark):
         assert r.s == ([low[i : i + 5] for i in range(len(low) - 4)] or [low])
 
 
+def test_lines_with_a_word_replaced_are_found(spark):
+    rng = random.Random(21)
+    full = lambda t: {t[i : i + 5] for i in range(len(t) - 4)}
+    pairs = []
+    for _ in range(150):
+        w = prose(rng, rng.randint(14, 40)).split()
+        v = list(w)
+        v[rng.randrange(len(w))] = "zz"
+        pairs.append((" ".join(w), " ".join(v)))
+    near = [k for k, (x, y) in enumerate(pairs) if len(full(x) & full(y)) / len(full(x) | full(y)) >= 0.8]
+    some = spark.createDataFrame([(k, "\n".join(p)) for k, p in enumerate(pairs)], "doc_id long, text string")
+    # A pair at 0.8 shares no band with probability 8e-4.
+    assert len(near) > 100 and [tuple(r) for r in line_dedup.repeated_lines(some).orderBy("doc_id").collect()] == [(k, 1) for k in near]
+
+
 def test_bm25_equals_scoring_everything(docs):
     rows = {}
     for r in docs.where("doc_id is not null").dropDuplicates(["doc_id"]).collect():
