@@ -1,21 +1,23 @@
 """Benchmark decontamination by spaced seeds, in DataFrame functions only.
 
-A mask selects eight of twelve or more token positions; the others may differ. The
-hash of the selected tokens at every position of every text is joined with the hashes
-of the benchmark items, and each hit is verified on its diagonal (text position minus
-item position): the whole item is laid along the text, and the text is contaminated
+A mask selects three to six token positions; the others may differ. The hash of the
+selected tokens at every position of every text is joined with the hashes of the
+benchmark items, and each hit is verified on its diagonal (text position minus item
+position): the whole item is laid along the text, and the text is contaminated
 when some stretch of `overlap` tokens (the whole item, if that is shorter) agrees in
 at least `agreement` of its places.
 
-All masks select places 0, 1 and 3, so one short hash per position, looked up in a
-bitmap of fixed size, rules out nearly every position before the masks are applied.
-The bitmap may pass a place for nothing, never lose one, and the equi-join on full
+An item's length names its masks. At the default overlap and agreement they miss
+nothing: wherever the allowed substitutions stand in a stretch, a mask fits between
+them somewhere (the tests go through all patterns). At a lower agreement they may miss.
+
+A bitmap of fixed size over the items' hashes rules out nearly every position before
+the join. It may pass a place for nothing, never lose one, and the equi-join on full
 hashes decides. Positions travel without their text; only texts with a hit are read
 again for the verification, one row per distinct text.
 
 Defined cases: null, empty and wordless texts and items are never contaminated or
-contaminating; an item of fewer than five words is ignored, and one shorter than the
-shortest mask is joined by its whole token sequence, without tolerance; repeated rows
+contaminating; an item of fewer than five words is ignored; repeated rows
 are judged alike; rows with a null doc_id are judged like others; other columns are
 not read; empty tables give an empty result.
 """
@@ -27,14 +29,14 @@ from pyspark.sql import functions as F
 
 from .common import cut_lineage, key_bitmap, maybe_in, table, word_hashes
 
-# Selected places of each mask; the first three are shared.
-SHARED = (0, 1, 3)
-MASKS = (
-    (0, 1, 3, 4, 6, 8, 9, 11),
-    (0, 1, 3, 5, 6, 7, 10, 12),
-    (0, 1, 3, 4, 7, 9, 12, 13),
-)
-SPAN = 14
+# Shortest item -> its masks. Found by search: for each length from there to the next
+# entry (20 for the last) every choice of substitutions that leaves 80 % leaves a mask whole.
+MASKS = {
+    5: ((0, 1, 3), (0, 2, 4)),
+    10: ((0, 1, 2, 4, 5), (0, 1, 5, 6, 7), (0, 2, 3, 6, 8)),
+    15: ((0, 1, 3, 4, 5, 6), (0, 1, 2, 7, 9, 10), (0, 1, 2, 3, 5, 6), (0, 2, 3, 4, 8, 10)),
+}
+SPAN = 1 + max(m[-1] for masks in MASKS.values() for m in masks)
 OVERLAP = 20
 AGREEMENT = 0.8
 # Shorter items are no evidence of a leak.
@@ -42,7 +44,7 @@ SHORTEST_ITEM = 5
 
 
 def _windows(rows: DataFrame, tokens: str, keep: list[str]) -> DataFrame:
-    """One row per position: `at` and the tokens t0 to t13 from there on, null past the end."""
+    """One row per position: `at` and the tokens t0 to t10 from there on, null past the end."""
     shifted = [F.slice(F.col(tokens), k + 1, F.greatest(F.size(tokens) - k, F.lit(0))).alias(f"t{k}") for k in range(SPAN)]
     places = F.sequence(F.lit(0), F.size(tokens) - 1).alias("at")
     long = rows.where(F.size(tokens) >= SHORTEST_ITEM)
@@ -53,32 +55,34 @@ def _hash(places: tuple[int, ...], salt: int) -> Column:
     return F.xxhash64(*[F.col(f"t{p}") for p in places], F.lit(salt))
 
 
-def _marks(masks: dict[int, tuple[int, ...]]) -> Column:
-    """(mask, hash) of each mask that fits at a position."""
-    marks = [F.when(F.col(f"t{m[-1]}").isNotNull(), F.struct(F.lit(k).alias("mask"), _hash(m, k).alias("hash"))) for k, m in masks.items()]
+def _marks(masks: dict[int, tuple[int, ...]], hashes: Column | None = None) -> Column:
+    """(mask, hash) of each mask that fits at a position, if the bitmap `hashes` may hold it."""
+    marks = []
+    for k, m in masks.items():
+        fits = F.col(f"t{m[-1]}").isNotNull()
+        fits = fits if hashes is None else fits & maybe_in(_hash(m, k), hashes)
+        marks.append(F.when(fits, F.struct(F.lit(k).alias("mask"), _hash(m, k).alias("hash"))))
     return F.explode(F.array_compact(F.array(*marks)))
 
 
 def seed_hits(texts: DataFrame, items: DataFrame) -> DataFrame:
     """(text_key, item_id, diagonal) of every seed that a text (text_key, tokens) shares with an item (item_id, item)."""
-    shortest = MASKS[0][-1] + 1
-    masks = dict(enumerate(MASKS))
-    # Fewer lengths than the shortest mask has places.
-    sizes = sorted(r["n"] for r in items.where(F.size("item") < shortest).select(F.size("item").alias("n")).distinct().collect())
-    short = {-n: tuple(range(n)) for n in sizes}
-    anchor = _hash(SHARED, -1000)
-    spots = cut_lineage(
-        _windows(items, "item", ["item_id", F.size("item").alias("n")])
-        .withColumn("anchor", anchor)
-        .select("item_id", "n", "at", "anchor", _marks(masks | short).alias("s"))
-        .where((F.col("s.mask") >= 0) | (F.col("s.mask") == -F.col("n")))
-        .select("item_id", F.col("at").alias("item_at"), "anchor", "s.mask", "s.hash"),
-        "seeds",
-    )
-    anchors, hashes = key_bitmap(spots.select("anchor").distinct(), "anchor"), key_bitmap(spots.select("hash").distinct(), "hash")
-    places = _windows(texts, "tokens", ["text_key"]).where(maybe_in(anchor, anchors))
-    marks = places.select("text_key", "at", _marks(masks | short).alias("s")).select("text_key", "at", "s.mask", "s.hash")
-    met = marks.where(maybe_in(F.col("hash"), hashes)).join(spots, ["hash", "mask"])
+    bounds = sorted(MASKS)
+    kind = F.lit(bounds[0])
+    for least in bounds[1:]:
+        kind = F.when(F.size("item") >= least, F.lit(least)).otherwise(kind)
+    # As many rows as `MASKS` has entries at most; texts are read for the masks that some item has.
+    kinds = [r["kind"] for r in items.select(kind.alias("kind")).distinct().collect()]
+    masks = {least: {100 * least + k: m for k, m in enumerate(MASKS[least])} for least in sorted(kinds)}
+    spots = items.sparkSession.createDataFrame([], "item_id string, item_at int, mask int, hash long").withColumn("item_id", F.col("item_id").cast(items.schema["item_id"].dataType))
+    for least, some in masks.items():
+        seeds = _windows(items.where(kind == least), "item", ["item_id"]).select("item_id", F.col("at").alias("item_at"), _marks(some).alias("s"))
+        spots = spots.unionByName(seeds.select("item_id", "item_at", "s.mask", "s.hash"))
+    spots = cut_lineage(spots, "seeds")
+    hashes = key_bitmap(spots.select("hash").distinct(), "hash")
+    every = {k: m for some in masks.values() for k, m in some.items()} or {-1: (0,)}
+    marks = _windows(texts, "tokens", ["text_key"]).select("text_key", "at", _marks(every, hashes).alias("s")).select("text_key", "at", "s.mask", "s.hash")
+    met = marks.join(spots, ["hash", "mask"])
     return met.select("text_key", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct()
 
 

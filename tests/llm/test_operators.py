@@ -169,6 +169,42 @@ def test_decontamination_finds_planted_items_with_substitutions(spark, docs):
     assert decontaminate.contaminated(empty(docs), bench).isEmpty()
 
 
+def test_seeds_hit_every_pattern_of_allowed_substitutions():
+    itertools = __import__("itertools")
+    for n in range(decontaminate.SHORTEST_ITEM, decontaminate.OVERLAP + 1):
+        masks = decontaminate.MASKS[max(k for k in decontaminate.MASKS if k <= n)]
+        places = [{at + p for p in m} for m in masks for at in range(n - m[-1])]
+        for spoiled in itertools.combinations(range(n), n - -(-n * 4 // 5)):
+            assert any(p.isdisjoint(spoiled) for p in places), (n, spoiled)
+
+
+def test_decontamination_equals_a_scan_of_all_diagonals(spark):
+    rng = random.Random(31)
+    items = [prose(rng, n).split() for n in (5, 6, 9, 10, 12, 12, 14, 15, 15, 17, 19, 20, 34)]
+    texts = []
+    for item in items:
+        for extra in (0, 0, 0, 0, 0, 1):
+            n, start = min(20, len(item)), rng.randint(0, max(0, len(item) - 20))
+            part = item[start : start + n]
+            for i in rng.sample(range(n), n - -(-n * 4 // 5) + extra):
+                part[i] = f"z{i}"
+            texts.append([*(f"a{rng.random()}".replace(".", "") for _ in range(8)), *part, *prose(rng, 30).split()])
+
+    def overlaps(text, item):
+        need = min(20, len(item))
+        for d in range(-len(item) + 1, len(text)):
+            same = [text[d + i] == item[i] for i in range(len(item)) if 0 <= d + i < len(text)]
+            if any(sum(same[k : k + need]) >= -(-need * 4 // 5) for k in range(len(same) - need + 1)):
+                return True
+        return False
+
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    want = {i for i, t in enumerate(texts) if any(overlaps(t, x) for x in items)}
+    left = {r.doc_id for r in decontaminate.drop_contaminated(frame, bench).collect()}
+    assert len(want) >= 5 * len(items) and left == set(range(len(texts))) - want
+
+
 def fill(budget, caps, weights):
     """Water filling by repeated division, the plain way."""
     share, left, open_ = dict.fromkeys(caps, 0.0), budget, {c for c in caps if weights.get(c, 0) > 0}
