@@ -39,10 +39,30 @@ TEMPLATES = (
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
+# Identifiers, and sentences of the licences' own notices and texts. Passages meet them one by one.
+NOTICES = (
+    # Not MIT: its one rare word is German for "with", and its identifier meets the short notice.
+    *((name, f"SPDX-License-Identifier: {name}") for name, _ in TEMPLATES if name != "MIT"),
+    # Neighbours that would else count as the licence they resemble.
+    *((name, f"SPDX-License-Identifier: {name}") for name in ("BSD-2-Clause", "GPL-2.0", "LGPL-3.0", "AGPL-3.0", "CC-BY-SA-4.0")),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
+    ("Apache-2.0", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction"),
+    ("MIT", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    ("GPL-3.0", "it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("MPL-2.0", "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+)
 
 
 def templates(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(TEMPLATES), "license string, text string")
+    return spark.createDataFrame([*TEMPLATES, *NOTICES], "license string, text string")
 
 
 def _terms(rows: DataFrame, key: str, text: str) -> DataFrame:

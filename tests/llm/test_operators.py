@@ -328,6 +328,23 @@ def test_license_notices_count_whatever_surrounds_them(spark):
     assert got == {1: ("Apache-2.0", "own", 1.0), 2: ("Apache-2.0", "p", None), 3: ("MIT", "own", 1.0), 4: (None, None, None), 5: (None, None, None), 6: ("CC-BY-4.0", "own", 1.0)}
 
 
+def test_ordinary_license_headers_have_verdicts(spark):
+    headers = [
+        ("Apache-2.0", "Copyright (c) 2020 Example Company Inc. All rights reserved. Licensed under the Apache License, Version 2.0."),
+        ("Apache-2.0", "// Licensed under the Apache License, Version 2.0 (the \"License\");\n// you may not use this file except in compliance with the License.\n// You may obtain a copy of the License at"),
+        ("Apache-2.0", "# SPDX-License-Identifier: Apache-2.0"), ("MIT", "/* SPDX-License-Identifier: MIT */"), ("GPL-3.0", "# SPDX-License-Identifier: GPL-3.0"),
+        ("MIT", "Copyright (c) 2019 Jo Doe\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\n"
+         "in the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software"),
+        ("GPL-3.0", "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version."),
+        ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+        (None, "Copyright (c) 2020 Example Company Inc. All rights reserved."), (None, "You need permission to enter, mit freundlichen Grüßen"), (None, "SPDX-License-Identifier: ISC"),
+        ("MIT", "The MIT License (MIT)"), ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"), ("CC-BY-SA-4.0", "SPDX-License-Identifier: CC-BY-SA-4.0"), (None, "ein Buch mit Copyright von 2020"),
+    ]
+    files = spark.createDataFrame([(i, f"p{i}/a.c", f"{h}\ncode") for i, (_, h) in enumerate(headers)], "doc_id long, path string, text string")
+    got = {r.doc_id: r.license for r in licenses.scan(files, licenses.templates(spark)).collect()}
+    assert got == {i: name for i, (name, _) in enumerate(headers)}
+
+
 def brute_shingles(line):
     w = [x for x in line.strip(" ").lower().split(" ") if x]
     out = set()
