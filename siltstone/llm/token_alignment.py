@@ -8,7 +8,8 @@ logarithm of the longest chain to each component's terminal token, which labels
 groups: the smallest runs of tokens that both sides cut alike. Two tokens whose byte
 ranges overlap are a link.
 
-Texts are handled in blocks of about `block_bytes`, which are stored: ids of linked pairs
+Texts are handled in blocks of about `block_bytes`; a word that a block repeats is tokenised
+once, since no token reaches over the space before it. Blocks are stored: ids of linked pairs
 as places in the block's own list of distinct pairs. The numbers of documents per
 pair are one shuffle of those lists (a pair costs a block one row, however many texts hold
 it), and come back to the blocks by a join on the pair, so no table of pairs is broadcast
@@ -23,11 +24,15 @@ empty result. A text is never cut: one longer than a block is a block of its own
 
 from __future__ import annotations
 
+import array
 import hashlib
+import json
 import os
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,12 +42,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import cut_lineage, table
+from .training_order import PATTERN
 
 BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
 BLOCK_BYTES = 2 << 20
-# Bytes of text given to a tokenizer at a time.
-CALL_BYTES = 1 << 18
+# Characters of text given to a tokenizer at a time, if texts or words are shorter.
+CALL_BYTES = 1 << 12
 
 
 def _byte_letters() -> dict[str, int]:
@@ -53,21 +59,44 @@ def _byte_letters() -> dict[str, int]:
 
 
 class ByteLevel:
-    """A byte-level vocabulary in a tokenizer file; encodes " " + text."""
+    """A byte-level vocabulary in a tokenizer file; encodes " " + text.
+
+    Where the file's merges make its ids one after the other, a merge's rank is the id it
+    makes, and a rank-based encoder over the same vocabulary gives the same tokens
+    in less time; else the file's own model is run.
+    """
 
     def __init__(self, path: str) -> None:
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        letters = _byte_letters()
+        vocab = file["model"]["vocab"] | {t["content"]: t["id"] for t in file["added_tokens"]}
+        special = {t["id"] for t in file["added_tokens"]}
+        self.bytes = [b""] * (max(vocab.values()) + 1)
+        for token, i in vocab.items():
+            self.bytes[i] = token.encode() if i in special else bytes(letters[c] for c in token)
+        merges = [m.split(" ") if isinstance(m, str) else m for m in file["model"]["merges"]]
+        cuts = file["pre_tokenizer"] or {}
+        if (
+            all(vocab.get(a + b) == 256 + i for i, (a, b) in enumerate(merges))
+            and cuts.get("type") == "ByteLevel" and cuts.get("use_regex") and not cuts.get("add_prefix_space") and not file["normalizer"]
+        ):
+            import tiktoken
+
+            ranks = {self.bytes[i]: i for i in vocab.values() if i not in special}
+            model = tiktoken.Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self.encode = lambda texts: [model.encode_ordinary(" " + t) for t in texts]
+        else:
+            self.encode = self.by_file(path)
+
+    @staticmethod
+    def by_file(path: str) -> Callable[[list[str]], list[list[int]]]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share the cores
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
-        letters = _byte_letters()
-        self.bytes = [b""] * self.model.get_vocab_size()
-        for token, i in self.model.get_vocab().items():
-            self.bytes[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        model = Tokenizer.from_file(path)
+        model.encode_special_tokens = True
+        return lambda texts: [e.ids for e in model.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
 
 class Pieces:
@@ -81,6 +110,8 @@ class Pieces:
         for i in range(self.model.get_piece_size()):
             piece = self.model.id_to_piece(i)
             self.bytes.append(bytes([int(piece[1:-1], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode())
+        # No piece has a space mark behind another character.
+        self.whole_words = all("▁" not in self.model.id_to_piece(i).lstrip("▁") for i in range(self.model.get_piece_size()))
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
@@ -123,21 +154,9 @@ class Block:
 
     @classmethod
     def of(cls, texts: list[str | None], byte_bpe: str, piece_bpe: str) -> Block:
-        sides = []
-        for kind, path in ((ByteLevel, byte_bpe), (Pieces, piece_bpe)):
-            one, spelled, _, _ = _loaded(kind, path)
-            ids: list[list[int]] = []
-            for part in _parts(texts, CALL_BYTES):
-                ids += one.encode([t or "" for t in part])
-            sides.append([x if t and b"".join([spelled[i] for i in x]) == b" " + t.encode() else [] for t, x in zip(texts, ids, strict=True)])
-        both = [bool(x and y) for x, y in zip(*sides, strict=True)]
-        flat, sizes, ends = [], [], []
-        for (kind, path), side in zip(((ByteLevel, byte_bpe), (Pieces, piece_bpe)), sides, strict=True):
-            side = [x if ok else [] for ok, x in zip(both, side, strict=True)]
-            sizes.append(np.array([len(x) for x in side], dtype=np.int64))
-            flat.append(np.fromiter((i for x in side for i in x), dtype=np.int64, count=int(sizes[-1].sum())))
-            ends.append(np.cumsum(_loaded(kind, path)[2][flat[-1]]))
-        return cls(*flat, *sizes, *ends, *labels(*ends))
+        found = _by_chunk(texts, byte_bpe, piece_bpe) or _by_text(texts, byte_bpe, piece_bpe)
+        ends = [np.cumsum(_loaded(kind, path)[2][ids]) for (kind, path), (ids, _) in zip(_kinds(byte_bpe, piece_bpe), found, strict=True)]
+        return cls(*[ids for ids, _ in found], *[sizes for _, sizes in found], *ends, *labels(*ends))
 
     def groups(self) -> np.ndarray:
         """Groups per text."""
@@ -173,12 +192,99 @@ class Block:
         return ["".join(out[e - n : e].tolist())[:-1] for e, n in zip(ends, self.n_a + self.n_b, strict=True)]
 
 
-def _parts(texts: list[str | None], size: int) -> Iterator[list[str | None]]:
+def _kinds(byte_bpe: str, piece_bpe: str) -> tuple[tuple[type, str], tuple[type, str]]:
+    return (ByteLevel, byte_bpe), (Pieces, piece_bpe)
+
+
+def _by_text(texts: list[str | None], byte_bpe: str, piece_bpe: str) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(ids, tokens per text) of both sides, each text tokenised whole."""
+    sides = []
+    for kind, path in _kinds(byte_bpe, piece_bpe):
+        one, spelled, _, _ = _loaded(kind, path)
+        ids: list[list[int]] = []
+        for part in _parts(texts, CALL_BYTES):
+            ids += one.encode([t or "" for t in part])
+        sides.append([x if t and b"".join([spelled[i] for i in x]) == b" " + t.encode() else [] for t, x in zip(texts, ids, strict=True)])
+    both = [bool(x and y) for x, y in zip(*sides, strict=True)]
+    out = []
+    for side in sides:
+        side = [x if ok else [] for ok, x in zip(both, side, strict=True)]
+        sizes = np.array([len(x) for x in side], dtype=np.int64)
+        out.append((np.fromiter(chain.from_iterable(side), dtype=np.int64, count=int(sizes.sum())), sizes))
+    return out
+
+
+# A place where both tokenizers cut whatever stands around it: before a space that follows
+# something other than white space and is followed by more than spaces.
+_CUT = re.compile(r"(?<=\S)(?= +[^ ])")
+
+
+# White space other than these makes the search for a space behind white space worthwhile.
+_RARE = re.compile(r"[^\S \n\r\t]")
+
+
+class _Numbered(dict):
+    """Numbers its keys in the order they are met."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = number = len(self)
+        return number
+
+
+def _chunks(text: str) -> list[str]:
+    """" " + text, cut before spaces as far as that changes no token; a chunk is given without its first space."""
+    plain = text[0] != " " and text[-1] != " " and not any(w in text for w in ("  ", "\n ", "\t ", "\r ")) and not _RARE.search(text)
+    return text.split(" ") if plain else [c[1:] for c in _CUT.split(" " + text)]
+
+
+def _by_chunk(texts: list[str | None], byte_bpe: str, piece_bpe: str) -> list[tuple[np.ndarray, np.ndarray]] | None:
+    """The same as `_by_text`, with each distinct chunk of the block tokenised once; None if that can't be done.
+
+    No token of either side reaches from behind a non-space into a space: the byte-level
+    pattern matches no such stretch, and no piece holds a space mark behind another
+    character (`whole_words`). So a text's tokens are its chunks' tokens, one after the other.
+    """
+    if not _loaded(Pieces, piece_bpe)[0].whole_words:
+        return None
+    index = _Numbered()
+    flat, counts = array.array("q"), np.zeros(len(texts), np.int64)
+    for k, t in enumerate(texts):
+        if t and "▁" not in t:  # such a letter is never spelled
+            parts = _chunks(t)
+            counts[k] = len(parts)
+            flat.extend(map(index.__getitem__, parts))
+    chunks = list(index)
+    last = np.cumsum([len(c.encode()) + 1 for c in chunks], dtype=np.int64)
+    joined = [" ".join(part) for part in _parts(chunks, CALL_BYTES, open_end=False)]
+    whole = "".join([" " + j for j in joined]).encode()
+    of = np.frombuffer(flat, np.int64) if flat else np.zeros(0, np.int64)
+    ends = np.cumsum(counts)
+    out = []
+    for kind, path in _kinds(byte_bpe, piece_bpe):
+        one, spelled, lengths, _ = _loaded(kind, path)
+        ids = list(chain.from_iterable(one.encode(joined)))
+        if b"".join([spelled[i] for i in ids]) != whole:
+            return None
+        ids = np.array(ids, dtype=np.int64)
+        token_ends = np.cumsum(lengths[ids])
+        stop = np.searchsorted(token_ends, last) + 1
+        if len(last) and not np.array_equal(token_ends[stop - 1], last):
+            return None
+        start = np.concatenate([[0], stop[:-1]]).astype(np.int64)[: len(stop)]
+        size = (stop - start)[of]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        at = np.repeat(start[of] - upto[:-1], size) + np.arange(upto[-1])
+        out.append((ids[at], upto[ends] - upto[ends - counts]))
+    return out
+
+
+def _parts(texts: list[str | None], size: int, open_end: bool = True) -> Iterator[list[str | None]]:
+    """Runs of about `size` characters; without `open_end` nothing follows a text that is empty or ends in white space."""
     part, held = [], 0
     for t in texts:
         part.append(t)
         held += len(t or "")
-        if held >= size:
+        if held >= size or not open_end and not (t and not t[-1].isspace()):
             yield part
             part, held = [], 0
     if part:

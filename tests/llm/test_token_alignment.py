@@ -119,3 +119,27 @@ def test_long_chain_and_long_text(spark):
 def test_byte_letters_cover_every_byte():
     letters = ta._byte_letters()
     assert sorted(letters.values()) == list(range(256)) and letters["Ġ"] == 32 and letters["Ċ"] == 10
+
+
+def test_chunks_give_the_tokens_of_whole_texts():
+    rng = random.Random(3)
+    parts = ["  ", "\n ", " \n", "\n\n ", "\t", "a", "foo", "'s", "é", "日本", " ", "   ", "1", "!", "<|endoftext|>", "\x1c", "　", "\xa0 ", "<s>", " ", "▁"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(1500)] + [None, ""]
+    for k in range(0, len(texts), 50):
+        some = texts[k : k + 50]
+        chunked, whole = ta._by_chunk(some, ta.BYTE_BPE, ta.PIECE_BPE), ta._by_text(some, ta.BYTE_BPE, ta.PIECE_BPE)
+        assert chunked is not None
+        for a, b in zip(chunked, whole):
+            assert all(np.array_equal(x, y) for x, y in zip(a, b))
+
+
+def test_rank_encoder_gives_the_tokens_of_the_file():
+    one = ta.ByteLevel(ta.BYTE_BPE)
+    by_file = one.by_file(ta.BYTE_BPE)
+    rng = random.Random(4)
+    texts = [t for t in TEXTS if t]
+    for _ in range(4000):
+        made = b"".join(rng.choice(one.bytes) for _ in range(rng.randint(1, 5)))
+        texts.append(made.decode("utf-8", "ignore"))
+    texts += ["".join(chr(rng.choice((rng.randrange(0x300), rng.randrange(0xD800)))) for _ in range(9)) for _ in range(2000)]
+    assert one.encode(texts) == by_file(texts)
