@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from siltstone.plans import silver as S
+from siltstone.plans import silver_delta
 from siltstone.scale import new_path
 from siltstone.schema import BRONZE, enforce
 from siltstone.sources import lake as L
@@ -172,3 +173,19 @@ def kb_roundtrip(spark, sf):
     L.export_kb(kb, path)
     back = L.import_kb(spark, path, kb.schema)
     return back.select("chunk_id", "source_url", "language", F.length("content").cast("long").alias("n"))
+
+
+@check("silver_by_delta", f"""WITH {DEDUPED_SQL}
+SELECT chunk_id, source, content_hash, content_type, sha256(substr(content, 1, 500)) AS prefix_hash, {sql_time('ingested_ts', 'ingest_day', 'ingest_hour')}
+FROM classified""")
+def silver_by_delta(spark, sf):
+    """Three bronze batches, the last records first, one of them applied twice."""
+    root = new_path(spark, "silver") + "/records"
+    rows = lake(spark, sf)
+    for number, part in enumerate((2, 0, 1)):
+        some = rows.where(F.pmod(F.xxhash64("chunk_id"), F.lit(3)) == part)
+        for _ in range(1 + (number == 1)):
+            silver_delta.apply_batch(spark, some, root, number, buckets=16)
+    return silver_delta.silver_now(spark, root).select(
+        "chunk_id", "source", "content_hash", "content_type", "prefix_hash", *text_time("ingested_ts", "ingest_day", "ingest_hour")
+    )

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions import rules, urls
 from siltstone.functions.vectors import normalise_embedding
-from siltstone.operators import gate, links, records
+from siltstone.operators import gate, links, policies, records
 from siltstone.scale import new_path
 from siltstone.schema import RELEVANCE_CONFIG
 from siltstone.sources import config
@@ -377,3 +377,17 @@ SELECT count(score) AS n, round(avg(score), 6) AS avg_score, round(min(score), 6
 def score_stats(spark, sf):
     stats = links.score_stats(links.score_urls(variants(spark, sf), SCORERS))
     return stats.select("n", *[F.round(c, 6).alias(c) for c in ("avg_score", "min_score", "max_score")])
+
+
+@check("keyword_policy_table", """
+WITH w AS (SELECT item_id, regexp_extract_all(lower(text), '[a-z]{5,}', 0) AS ws FROM benchmark),
+p AS (SELECT 'item ' || item_id AS policy, ws[1:2] AS include, ws[-1:] AS exclude FROM w),
+d AS (SELECT doc_id, lower(text) AS text FROM documents)
+SELECT doc_id, policy FROM d JOIN p
+ON list_bool_or(list_transform(include, lambda t: contains(text, t))) AND NOT coalesce(list_bool_or(list_transform(exclude, lambda t: contains(text, t))), FALSE)""")
+def keyword_policy_table(spark, sf):
+    """A policy for every benchmark item: two of its words wanted, its last one not."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{5,}"), F.lit(0))
+    items = table(spark, sf, "benchmark").select(F.concat(F.lit("item "), "item_id").alias("policy"), words.alias("ws"))
+    rules_ = items.select("policy", F.slice("ws", 1, 2).alias("include_terms"), F.slice("ws", -1, 1).alias("exclude_terms"))
+    return policies.policy_matches(table(spark, sf, "documents"), rules_, key="doc_id", content="text")

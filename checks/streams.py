@@ -8,7 +8,8 @@ from siltstone.scale import new_path
 from siltstone.schema import DISCOVERY
 from siltstone.sources import topics
 from siltstone.sources.lake import read_bronze, write_bronze
-from siltstone.streaming import jobs
+from siltstone.sources.visited import Visited
+from siltstone.streaming import event_time, first_seen, jobs
 
 from .fixtures import BRONZE_SQL, bronze
 from .policy import KEYWORD_SQL, POLICY, STRIP_SQL, VERDICTS_SQL, verdicts
@@ -204,3 +205,93 @@ def bronze_batch_replay(spark, sf):
     write_bronze(to_bronze_record(docs.where("doc_id % 3 <> 0"), 86400.25), root, batch=7)
     write_bronze(to_bronze_record(docs.limit(0), 86400.25), root, batch=8)
     return read_bronze(spark, root).select("chunk_id", "source_url", "ingested_at", "language")
+
+
+@check("stream_first_seen", """
+WITH sent AS (
+  SELECT url, page_id + 2000000000 AS "offset", 'late' AS language, 0 AS wave FROM pages
+  UNION ALL SELECT url, page_id + 1000000000, 'mid', 1 FROM pages WHERE page_id % 2 = 0
+  UNION ALL SELECT url, page_id, 'en', 2 FROM pages WHERE page_id % 5 = 0)
+SELECT url, arg_min(language, "offset") AS language, min("offset") AS "offset", count(DISTINCT wave) - 1 AS corrections
+FROM sent GROUP BY url""")
+def stream_first_seen(spark, sf):
+    """Three waves, the latest messages first, each in a run of its own: state is restored between them."""
+    pages = table(spark, sf, "pages")
+    base = new_path(spark, "first-seen")
+    session = spark.newSession()
+    session.conf.set(first_seen.PROVIDER, first_seen.ROCKSDB)
+    waves = [
+        (pages, 2_000_000_000, F.struct("url", F.lit("late").alias("language"))),
+        (pages.where("page_id % 2 = 0"), 1_000_000_000, F.struct("url", F.lit("mid").alias("language"))),
+        (pages.where("page_id % 5 = 0"), 0, F.struct("url")),
+    ]
+    for some, offset, value in waves:
+        topics.write_topic(topic_rows(some, "discovery_queue", F.col("page_id") + offset, F.to_json(value)), "json", f"{base}/topics")
+        source = topics.read_topic(session, "json", f"{base}/topics", ["discovery_queue"], stream=True)
+        first_seen.first_seen_job(session, source, f"{base}/seen", f"{base}/checkpoint").awaitTermination()
+    return first_seen.settled(spark.read.parquet(f"{base}/seen")).select("url", "language", "offset", "corrections")
+
+
+@check("stream_discovery_compacted", """
+SELECT url, 1 AS times, 1 AS messages, TRUE AS visited, TRUE AS indexed FROM pages GROUP BY url""")
+def stream_discovery_compacted(spark, sf):
+    """Many small micro-batches, every page sent twice, with an index made anew after every three of them."""
+    pages = table(spark, sf, "pages")
+    base = new_path(spark, "compacted")
+    for k in range(2):
+        sent = topic_rows(pages, "discovery_queue", F.col("page_id") + k * 1_000_000_000, F.to_json(F.struct("url")))
+        topics.write_topic(sent.repartition(5, "offset"), "json", f"{base}/topics")
+        jobs.discovery(
+            spark,
+            topics.read_topic(spark, "json", f"{base}/topics", ["discovery_queue"], stream=True, max_per_trigger=1),
+            f"{base}/visited", f"{base}/work", f"{base}/checkpoint", f"{base}/dead", compact_every=3, messages_path=f"{base}/out", per_bucket=100,
+        ).awaitTermination()
+    times = spark.read.parquet(f"{base}/work").groupBy("url").agg(F.count(F.lit(1)).alias("times"))
+    sent = topics.read_topic(spark, "json", f"{base}/out", ["visited_urls"]).groupBy(F.col("key").alias("url")).agg(F.count(F.lit(1)).alias("messages"))
+    visited = Visited(spark, f"{base}/visited")
+    index = visited.current()
+    seen = visited.urls(10).withColumn("visited", F.lit(True))
+    return (
+        times.join(sent, "url", "full").join(seen, "url", "full")
+        .select("url", "times", "messages", "visited", F.lit(index.upto >= 5 and index.buckets > 0).alias("indexed"))
+    )
+
+
+# Sent after all events: some a long time late, some ahead of them.
+EVENT_TIME_SQL = """
+first_wave AS (SELECT event_type, ts FROM events),
+second_wave AS (
+  SELECT event_type, ts - INTERVAL 40 DAY AS ts FROM events WHERE event_id % 7 = 0
+  UNION ALL SELECT event_type, ts + INTERVAL 60 DAY FROM events WHERE event_id % 5 = 0),
+marks AS (SELECT max(ts) AS first_mark FROM first_wave),
+placed AS (
+  SELECT event_type, ts, FALSE AS late FROM first_wave
+  UNION ALL SELECT event_type, ts, date_trunc('hour', ts) + INTERVAL 1 HOUR <= first_mark - INTERVAL 2 HOUR FROM second_wave, marks)"""
+
+
+def event_time_job(spark, sf):
+    events = table(spark, sf, "events").select("event_id", "event_type", "ts")
+    base = new_path(spark, "event-time")
+    late = events.where("event_id % 7 = 0").withColumn("ts", F.col("ts") - F.expr("INTERVAL 40 DAYS"))
+    ahead = events.where("event_id % 5 = 0").withColumn("ts", F.col("ts") + F.expr("INTERVAL 60 DAYS"))
+    for wave in (events, late.unionByName(ahead)):
+        wave.write.mode("append").parquet(f"{base}/in")
+        source = spark.readStream.schema(events.schema).parquet(f"{base}/in")
+        event_time.count_windows(spark, source, "ts", ["event_type"], f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return f"{base}/out"
+
+
+@check("event_time_counts", f"""WITH {EVENT_TIME_SQL}
+SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS window_start, event_type, count(*) AS n,
+  date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM placed) - INTERVAL 2 HOUR AS closed
+FROM placed WHERE NOT late GROUP BY ALL""")
+def event_time_counts(spark, sf):
+    counts = event_time.counted(spark, event_time_job(spark, sf), ["event_type"])
+    return counts.withColumn("window_start", F.unix_seconds("window_start"))
+
+
+@check("event_time_late", f"""WITH {EVENT_TIME_SQL}
+SELECT event_type, count(*) AS n, CAST(floor(min(epoch(ts))) AS BIGINT) AS first_ts FROM placed WHERE late GROUP BY event_type""")
+def event_time_late(spark, sf):
+    late = event_time.late_rows(spark, event_time_job(spark, sf))
+    return late.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.unix_seconds(F.min("ts").cast("timestamp")).alias("first_ts"))

@@ -61,3 +61,29 @@ def cosine_clusters(spark, sf):
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), F.col("text"))
     rows = table(spark, sf, "embeddings").join(docs, "vec_id", "left").withColumn("text", F.coalesce("text", F.lit("")))
     return V.clusters(rows, 0.58, min_words=100, top_k=8, text="text")
+
+
+# Every vector beside a longer copy of itself, under a larger id: cosine 1.
+DOUBLED_SQL = f"""{VECTORS_SQL},
+doubled AS (SELECT vec_id, v FROM e UNION ALL SELECT vec_id + 1000000, list_transform(v, lambda x: x * 4) FROM e)"""
+
+
+def doubled(spark, sf):
+    e = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    longer = e.select((F.col("vec_id") + 1_000_000).alias("vec_id"), F.transform("embedding", lambda x: (x * 4).cast("float")).alias("embedding"))
+    return e.unionByName(longer)
+
+
+@check("embedding_dedup_bands", f"""WITH {DOUBLED_SQL}
+SELECT vec_id FROM doubled d WHERE NOT EXISTS (
+  SELECT 1 FROM doubled o WHERE o.vec_id < d.vec_id AND list_cosine_similarity(o.v, d.v) >= 0.95 - 1e-9)""")
+def embedding_dedup_bands(spark, sf):
+    return V.dedup(doubled(spark, sf), 0.95, method="bands").select("vec_id")
+
+
+@check("cosine_clusters_bands", f"""WITH RECURSIVE {DOUBLED_SQL},
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM doubled a JOIN doubled b ON a.vec_id <> b.vec_id AND 1 - list_cosine_similarity(a.v, b.v) <= 0.05 + 1e-9),
+reach(id, r) AS (SELECT vec_id, vec_id FROM doubled UNION SELECT reach.id, links.b FROM reach JOIN links ON reach.r = links.a)
+SELECT id AS vec_id, min(r) AS cluster FROM reach GROUP BY id""")
+def cosine_clusters_bands(spark, sf):
+    return V.similarity_labels(doubled(spark, sf), 0.05, method="bands")

@@ -33,6 +33,7 @@ from .operators.frontier import counters, first_seen, session_summary, unvisited
 from .operators.gate import Policy, ask_and_gate, keyword_filter, keyword_policies, relevance_gate, score_relevance  # noqa: E402
 from .operators.links import filter_chain, filter_stats, intrinsic_score, score_stats, score_urls, seed_admission  # noqa: E402
 from .operators.pages import link_citations, link_preview, page_links, page_metadata, page_text, seed_discovery  # noqa: E402
+from .operators.policies import policy_matches  # noqa: E402
 from .operators.ranking import bm25, bm25_filter, new_terms, saturation_history, top_k  # noqa: E402
 from .operators.records import group_flush, to_bronze_record  # noqa: E402
 from .operators.terms import corpus_stats, semantic_records, term_stats, topic_keywords, trigram_counts, trigrams  # noqa: E402
@@ -40,10 +41,14 @@ from .operators.traversal import best_first, bfs, traversal_stats  # noqa: E402
 from .operators.vectors import clusters, dedup, gaps, similarity_labels, top_k_similar  # noqa: E402
 from .plans.crawl import chunk_messages, crawl_chunks, seed_messages, visited_messages  # noqa: E402
 from .plans.silver import classified, deduped, hashed, pieces, row_count, sample, silver, silver_sql, time_buckets, vertical  # noqa: E402
+from .plans.silver_delta import apply_batch, silver_now  # noqa: E402
 from .schema import BRONZE, DISCOVERY, TOPIC, enforce  # noqa: E402
 from .sources.config import active_config, read_configs, read_seeds, seed_urls  # noqa: E402
 from .sources.lake import export_kb, file_inventory, import_kb, read_bronze, with_ingested_date, write_bronze  # noqa: E402
 from .sources.topics import decode, encode, next_offsets, read_topic, write_topic, write_topic_stream  # noqa: E402
+from .sources.visited import Visited  # noqa: E402
+from .streaming.event_time import count_windows, counted, late_rows, window_counts  # noqa: E402
+from .streaming.first_seen import earliest_messages, first_seen_job, settled  # noqa: E402
 from .streaming.jobs import IdleMonitor, discovery, first_seen_stream, ingest  # noqa: E402
 
 __version__ = "0.1.0"

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from ..functions.text import let
 
 # label -> (pattern, characters of which one must occur, whether a digit must occur).
-# Repeats that a later character decides about are bounded, so junk text costs linear time and no stack.
-# The patterns use no look-around, so any engine with linear-time matching can check them.
+# A value is whole, however long. A repeat that a later character decides about is tried
+# from the beginning of its run only and never given back in parts, so junk text costs linear time and no stack.
 PATTERNS: dict[str, tuple[str, str, bool]] = {
-    "email": (r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,255}\.[A-Za-z]{2,24}", "@", False),
+    "email": (r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "@", False),
     "phone_intl": (r"\+[0-9]{1,3}[ .-]?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){2,4}", "+", True),
     "phone_us": (r"\(?[2-9][0-9]{2}\)?[ .-][2-9][0-9]{2}[ .-][0-9]{4}", "", True),
     "url": (r"https?://[^\s\"'<>]+", ":", False),
@@ -23,7 +23,7 @@ PATTERNS: dict[str, tuple[str, str, bool]] = {
     "ipv6": (r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}", ":", False),
     "uuid": (r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[1-5][0-9A-Fa-f]{3}-[89ABab][0-9A-Fa-f]{3}-[0-9A-Fa-f]{12}", "-", True),
     "currency": (r"(?:USD|EUR|GBP|[$€£¥])\s?[0-9]+(?:,[0-9]{3})*(?:\.[0-9]{1,2})?", "$€£¥DRP", True),
-    "percentage": (r"[0-9]{1,18}(?:\.[0-9]{1,18})?\s?%", "%", True),
+    "percentage": (r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++)?\s?%", "%", True),
     "number": (r"[0-9]+(?:,[0-9]{3})*(?:\.[0-9]+)?", "", True),
     "date_iso": (r"[0-9]{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])", "-", True),
     "date_us": (r"(?:0?[1-9]|1[0-2])/(?:0?[1-9]|[12][0-9]|3[01])/[0-9]{4}", "/", True),

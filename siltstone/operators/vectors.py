@@ -33,6 +33,9 @@ MAX_QUERIES = 1024
 PLACE_ROWS = 1024
 # Float noise: similarities this close to a threshold count as reaching it.
 EPSILON = 1e-9
+# Bands at most, and bits of a band at most.
+MAX_BANDS = 64
+MAX_BITS = 24
 # Slack on angles, on the safe side wherever a comparison may be skipped.
 SLACK = 1e-6
 
@@ -170,16 +173,25 @@ def _tile_pairs(tiled: DataFrame) -> DataFrame:
     return tiled.select("id", "vec", "cell", F.inline(pairs))
 
 
-def _compare(
-    points: DataFrame, threshold: float, answer: Callable[[np.ndarray, np.ndarray, np.ndarray], pd.DataFrame], schema
-) -> tuple[DataFrame, DataFrame]:
+Answer = Callable[[np.ndarray, np.ndarray, np.ndarray], pd.DataFrame]
+
+
+def _compare(points: DataFrame, threshold: float, answer: Answer, schema, method: str, recall: float) -> tuple[DataFrame, DataFrame]:
     """Run `answer(left ids, right ids, hits)` on every pair of tiles that may hold neighbours.
 
     Also returns the placed table, for what is known without a comparison.
     """
+    if method == "bands":
+        return _compare_bands(points, threshold, answer, schema, recall)
+    if method != "exact":
+        raise ValueError("method must be 'exact' or 'bands'")
     angle = math.acos(max(-1.0, min(1.0, threshold)))
     placed = cut_lineage(_placed(points, _pivots(points, points.count()), angle), "cells")
+    pairs = _tile_pairs(_tiled(placed, TILE_ROWS))
+    return pairs.groupBy("cell", "a", "b", "guest").applyInPandas(_pair_of_tiles(threshold, answer, schema), schema), placed
 
+
+def _pair_of_tiles(threshold: float, answer: Answer, schema) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def run(group: pd.DataFrame) -> pd.DataFrame:
         left = group[group["side"] == 0]
         right = group[group["side"] == 1]
@@ -191,8 +203,77 @@ def _compare(
         lv, rv = np.array(left["vec"].tolist()), np.array(right["vec"].tolist())
         return answer(left["id"].to_numpy(), right["id"].to_numpy(), lv @ rv.T >= threshold - EPSILON)
 
-    pairs = _tile_pairs(_tiled(placed, TILE_ROWS))
-    return pairs.groupBy("cell", "a", "b", "guest").applyInPandas(run, schema), placed
+    return run
+
+
+def bands_for(threshold: float, recall: float) -> tuple[int, int]:
+    """(bands, bits): the longest bands of which `MAX_BANDS` or fewer reach the recall at the threshold."""
+    agree = 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi
+    for bits in range(MAX_BITS, 0, -1):
+        whole = agree**bits
+        if whole < 1e-6:
+            continue
+        bands = 1 if whole >= recall else math.ceil(math.log(1 - recall) / math.log(1 - whole))
+        if bands <= MAX_BANDS:
+            return bands, bits
+    raise ValueError(f"{MAX_BANDS} bands cannot reach a recall of {recall} at {threshold}: use method='exact'")
+
+
+def _banded(points: DataFrame, bands: int, bits: int) -> DataFrame:
+    """(id, vec, cell): every vector of unit length once per band; `cell` is the band's bits, its number and the vector's length."""
+    schema = T.StructType(
+        [points.schema["id"], T.StructField("vec", T.ArrayType(T.DoubleType())), T.StructField("cell", T.LongType())]
+    )
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in (b[i : i + PLACE_ROWS] for b in batches for i in range(0, len(b), PLACE_ROWS)):
+            for dims, part in batch.groupby(batch["vec"].map(len)):
+                unit = _unit(part["vec"])
+                # The same planes in every task, by seed.
+                planes = np.random.default_rng(dims).normal(size=(dims, bands * bits))
+                signs = (unit @ planes > 0).reshape(len(unit), bands, bits)
+                cell = signs @ (1 << np.arange(bits, dtype=np.int64)) + (np.arange(bands) << bits)
+                cell += dims << (bits + MAX_BANDS.bit_length())
+                yield pd.DataFrame(
+                    {"id": np.repeat(part["id"].to_numpy(), bands), "vec": [v for v in unit for _ in range(bands)], "cell": cell.ravel()}
+                )
+
+    return points.mapInPandas(run, schema)
+
+
+def _compare_bands(points: DataFrame, threshold: float, answer: Answer, schema, recall: float) -> tuple[DataFrame, DataFrame]:
+    """The same by buckets. Small buckets share groups of about a tile; larger ones are cut into tiles."""
+    placed = cut_lineage(_banded(points, *bands_for(threshold, recall)), "bands")
+    sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Only what meets somebody is moved; the sizes are as many as buckets, so the join is Spark's to choose.
+    shared = cut_lineage(placed.join(sizes, "cell"), "buckets")
+    half = TILE_ROWS // 2
+    few = shared.where(F.col("n") <= half)
+    groups = few.count() // TILE_ROWS + 1
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("cell", kind="stable")
+        ids, cells = rows["id"].to_numpy(), rows["cell"].to_numpy()
+        found = [pd.DataFrame(columns=schema.names)]
+        ends = np.append(np.flatnonzero(np.diff(cells)) + 1, len(cells))
+        start = 0
+        for end in ends:
+            unit = np.array(rows["vec"].iloc[start:end].tolist())
+            hits = unit @ unit.T >= threshold - EPSILON
+            if hits.sum() > len(unit):
+                found.append(answer(ids[start:end], ids[start:end], hits))
+            start = end
+        return pd.concat(found[1:] or found, ignore_index=True)
+
+    small = few.withColumn("_group", F.pmod(F.xxhash64("cell"), F.lit(groups))).groupBy("_group").applyInPandas(run, schema)
+    no = F.lit(False)
+    tiled = shared.where(F.col("n") > half).select(
+        "id", "vec", "cell", F.lit(True).alias("home"), no.alias("core"), F.lit(0).alias("nc"), F.lit(0).alias("nv"),
+        F.ceil(F.col("n") / F.lit(half)).cast("int").alias("no"),
+    )
+    tiled = tiled.withColumn("tile", F.pmod(F.xxhash64("id"), F.col("no")).cast("int"))
+    large = _tile_pairs(tiled).groupBy("cell", "a", "b", "guest").applyInPandas(_pair_of_tiles(threshold, answer, schema), schema)
+    return small.unionByName(large), placed.select("id", "cell", no.alias("core"))
 
 
 def _core_first(placed: DataFrame) -> DataFrame:
@@ -203,10 +284,13 @@ def _core_first(placed: DataFrame) -> DataFrame:
     return cores.join(first, "cell").select("id", "first")
 
 
-def dedup(df: DataFrame, threshold: float, key: str = "vec_id", vec: str = "embedding") -> DataFrame:
+def dedup(
+    df: DataFrame, threshold: float, key: str = "vec_id", vec: str = "embedding", method: str = "exact", recall: float = 0.95
+) -> DataFrame:
     """Drop a vector when one of smaller key has cosine ≥ `threshold` to it.
 
-    Vectors without length have no direction and stay.
+    Vectors without length have no direction and stay. `method="bands"` finds a pair at the
+    threshold with probability `recall`, nearer ones more often, and no pair below it.
     """
     points = cut_lineage(_distinct(df, key, vec), "points")
     schema = T.StructType([points.schema["id"]])
@@ -217,7 +301,7 @@ def dedup(df: DataFrame, threshold: float, key: str = "vec_id", vec: str = "embe
         ids = np.concatenate([right[(hits & smaller).any(axis=0)], left[(hits & larger).any(axis=1)]])
         return pd.DataFrame({"id": np.unique(ids)})
 
-    found, placed = _compare(points, threshold, later, schema)
+    found, placed = _compare(points, threshold, later, schema, method, recall)
     core = _core_first(placed).where(F.col("id") != F.col("first")).select("id")
     near = found.unionByName(core).distinct()
     kept = points.select("id").join(near, "id", "left_anti")
@@ -226,7 +310,9 @@ def dedup(df: DataFrame, threshold: float, key: str = "vec_id", vec: str = "embe
     return alone.unionByName(df.where(~_usable(vec)))
 
 
-def similarity_labels(df: DataFrame, max_dist: float, key: str = "vec_id", vec: str = "embedding") -> DataFrame:
+def similarity_labels(
+    df: DataFrame, max_dist: float, key: str = "vec_id", vec: str = "embedding", method: str = "exact", recall: float = 0.95
+) -> DataFrame:
     """(key, cluster): single-linkage clusters cut at cosine distance `max_dist`.
 
     A cluster is a connected component of the graph distance ≤ `max_dist`, named
@@ -259,7 +345,7 @@ def similarity_labels(df: DataFrame, max_dist: float, key: str = "vec_id", vec:
             return pd.DataFrame(columns=schema.names)
         return pd.DataFrame({"src": np.concatenate(src), "dst": np.concatenate(dst)})
 
-    found, placed = _compare(points, 1.0 - max_dist, stars, schema)
+    found, placed = _compare(points, 1.0 - max_dist, stars, schema, method, recall)
     core = _core_first(placed).where(F.col("id") != F.col("first")).select(F.col("id").alias("src"), F.col("first").alias("dst"))
     labels = connected_components(found.unionByName(core))
     named = points.join(labels, "id", "left").select("vec", F.coalesce("component", "id").alias("cluster"))
@@ -280,6 +366,8 @@ def clusters(
     key: str = "vec_id",
     vec: str = "embedding",
     text: str | None = None,
+    method: str = "exact",
+    recall: float = 0.95,
 ) -> DataFrame:
     """(key, cluster, size, n_words): semantic clusters, filtered by words, largest first.
 
@@ -292,7 +380,7 @@ def clusters(
         rows = rows.where(cosine(vec, direction) >= sim_threshold)
     n_words = F.size(words(text)) if text else F.lit(0)
     labels = cut_lineage(
-        similarity_labels(rows, max_dist, key, vec).join(rows.select(key, n_words.cast("long").alias("_words")), key),
+        similarity_labels(rows, max_dist, key, vec, method, recall).join(rows.select(key, n_words.cast("long").alias("_words")), key),
         "clusters",
     )
     sizes = (

@@ -74,6 +74,12 @@ def write_topic(df: DataFrame, format: str, location: str, options: dict[str, st
         raise ValueError("format must be 'kafka' or 'json'")
 
 
+def replace_messages(df: DataFrame, location: str, topic: str, batch: int) -> None:
+    """Message rows of `topic` in the file form, in a folder of the micro-batch's own; a replay replaces it."""
+    writer = df.drop("topic").write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.json(f"{location}/topic={topic}/batch={batch}")
+
+
 def write_topic_stream(
     df: DataFrame, format: str, location: str, checkpoint: str, options: dict[str, str] | None = None, drain: bool = True
 ) -> StreamingQuery:
@@ -105,7 +111,8 @@ def decoded(df: DataFrame, schema: T.StructType, required: Sequence[str] = (), v
     for name in required:
         error = error.when(F.col(f"_data.{name}").isNull(), F.lit(f"missing {name}"))
     return (
-        df.withColumn("_data", data)
+        # Filters are not pushed below a generator, so the parser stands in the plan once.
+        df.select("*", F.explode_outer(F.array(data)).alias("_data"))
         .withColumn("error", error)
         .withColumn("data", F.struct(*[F.col(f"_data.{f.name}").alias(f.name) for f in schema.fields]))
         .drop("_data")
@@ -115,7 +122,7 @@ def decoded(df: DataFrame, schema: T.StructType, required: Sequence[str] = (), v
 def decode(
     df: DataFrame, schema: T.StructType, required: Sequence[str] = (), value: str = "value"
 ) -> tuple[DataFrame, DataFrame]:
-    """(good rows with `data`, dead letters with `error`)."""
+    """(good rows with `data`, dead letters with `error`); a payload is parsed once, whatever reads it."""
     rows = decoded(df, schema, required, value)
     return rows.where(F.col("error").isNull()).drop("error"), rows.where(F.col("error").isNotNull()).drop("data")
 

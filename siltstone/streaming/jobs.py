@@ -20,7 +20,9 @@ from ..operators.gate import Policy, ask_and_gate, keyword_filter, relevance_gat
 from ..operators.records import to_bronze_record
 from ..schema import BRONZE, DISCOVERY, relaxed
 from ..sources.lake import write_bronze
-from ..sources.topics import decode
+from ..plans.crawl import VISITED_TOPIC, visited_messages
+from ..sources.topics import decode, replace_messages
+from ..sources.visited import PER_BUCKET, Visited
 
 IDLE_POLLS = 10
 
@@ -90,27 +92,37 @@ def discovery(
     checkpoint: str,
     dead_path: str,
     drain: bool = True,
+    compact_every: int | None = 100,
+    messages_path: str | None = None,
+    per_bucket: int = PER_BUCKET,
 ) -> StreamingQuery:
     """Messages to first-seen URLs: a work list (url, language) and the visited table.
 
-    The earliest message of a URL wins by (timestamp, partition, offset).  Of
-    the visited table only the URLs of this micro-batch are looked up: the big
-    side is scanned and filtered, never shuffled, while the batch is bounded by
-    the source's `max_per_trigger`.
+    The earliest message of a URL wins by (timestamp, partition, offset).  Of the
+    visited table only what this micro-batch's URLs may be in is read (`Visited`); its
+    index is made anew every `compact_every` micro-batches, from those that are
+    committed.  `messages_path` also gets a visited message for every new URL, as a
+    file topic with a folder per micro-batch.
     """
     _ensure(spark, visited_path, _VISITED)
     _ensure(spark, work_path, _WORK)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
+        visited = Visited(session, visited_path, per_bucket)
+        visited.compact_if_due(batch_id, compact_every)
         good, dead = decode(batch, DISCOVERY, required=("url",))
-        fresh = first_seen(_messages(good))
-        earlier = session.read.schema(_VISITED).parquet(visited_path).where(F.col("batch") != batch_id)
-        seen = earlier.select("url").join(fresh.select("url"), "url", "left_semi")
-        _replace_batch(fresh.join(seen, "url", "left_anti").select("url", "language"), work_path, batch_id)
+        fresh = first_seen(_messages(good)).persist()
+        try:
+            seen = visited.among(fresh.select("url"), batch_id)
+            _replace_batch(fresh.join(seen, "url", "left_anti").select("url", "language"), work_path, batch_id)
+        finally:
+            fresh.unpersist()
         # The visited table is fed from what was written, so both always agree.
-        done = session.read.schema(_WORK).parquet(work_path).where(F.col("batch") == batch_id)
+        done = session.read.schema(_WORK.replace(", batch bigint", "")).parquet(f"{work_path}/batch={batch_id}")
         _replace_batch(done.select("url"), visited_path, batch_id)
+        if messages_path is not None:
+            replace_messages(visited_messages(done), messages_path, VISITED_TOPIC, batch_id)
         _replace_batch(dead.select("topic", "partition", "offset", "value", "error"), dead_path, batch_id)
 
     return _run(source, step, checkpoint, drain)
@@ -150,14 +162,18 @@ def ingest(
     The cheap filter runs before the verdict.  Verdicts come from a table or a
     `scorer`; without either every survivor passes.  `now` defaults to the latest
     timestamp of the micro-batch's messages.  What cannot be decoded goes to
-    `dead_path`.
+    `dead_path`, and so does a micro-batch of which no message has a time.
     """
     if verdicts is not None and scorer is not None:
         raise ValueError("give verdicts or scorer, not both")
     def step(batch: DataFrame, batch_id: int) -> None:
-        latest = batch.agg((F.unix_micros(F.max("timestamp")) / F.lit(1e6)).alias("t")).first()["t"] if now is None else None
-        stamp = now if now is not None else float(latest or 0.0)
+        stamp = now
+        if stamp is None:
+            stamp = batch.agg((F.unix_micros(F.max("timestamp")) / F.lit(1e6)).alias("t")).first()["t"]
         good, dead = decode(batch, relaxed(BRONZE), required=("source_url",))
+        if stamp is None:
+            timeless = good.withColumn("error", F.lit("no message has a time"))
+            dead, good, stamp = dead.unionByName(timeless, allowMissingColumns=True), good.where(F.lit(False)), 0.0
         chunks = good.select("data.*").withColumn("content", F.coalesce("content", F.lit("")))
         if scorer is not None:
             passed = ask_and_gate(chunks, scorer, policy)

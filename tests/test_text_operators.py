@@ -188,3 +188,25 @@ def test_entities_of_junk_text_take_linear_time(frame):
     start = time.time()
     E.entities(frame(list(enumerate(junk)), "id long, content string")).write.format("noop").mode("overwrite").save()
     assert time.time() - start < 30
+
+
+def test_entity_values_are_whole(frame):
+    local, digits, top = "a" * 80, "7" * 23, "m" * 40
+    rows = [
+        (1, f"write {local}@host.example.org, or x@y.{top}."), (2, f"{digits}% and 1.{digits} % and 1.2.3%"), (3, "q@w.er%x@y.org and a@b and c@d.e"),
+    ]
+    got = {}
+    for r in E.entities(frame(rows, "id long, content string"), labels=["email", "percentage"]).collect():
+        assert dict(rows)[r.id][r.start : r.end] == r.value
+        got.setdefault(r.id, []).append(r.value)
+    assert got == {
+        1: [f"{local}@host.example.org", f"x@y.{top}"], 2: [f"{digits}%", f"1.{digits} %", "2.3%"], 3: ["q@w.er", "%x@y.org"],
+    }
+
+
+def test_a_megabyte_of_junk_takes_seconds(frame):
+    for junk in ("a" * 1_000_000, "1" * 1_000_000, "a.b-" * 250_000, "@" * 1_000_000, "1." * 500_000, "x@" + "a." * 500_000):
+        df = frame([(1, junk)], "id long, content string")
+        start = time.time()
+        E.entities(df, labels=["email", "percentage"]).write.format("noop").mode("overwrite").save()
+        assert time.time() - start < 6, junk[:10]

@@ -124,3 +124,34 @@ def test_connected_components(spark, edges):
             if a != b:
                 label[a] = label[b] = min(label[a], label[b])
     assert got == label
+
+
+@pytest.mark.parametrize("tile_rows", [8, 4096])
+def test_bands_find_nearly_all_and_nothing_else(spark, monkeypatch, tile_rows):
+    monkeypatch.setattr(V, "TILE_ROWS", tile_rows)
+    points = cloud(4, 260, dim=24)
+    similar = np.nan_to_num(similarities(points), nan=-1)
+    hits = similar >= 0.95 - 1e-9
+    exact = {i for i in range(len(points)) if not hits[i, :i].any()} | {260, 261}
+    got = {r.vec_id for r in V.dedup(table(spark, points), 0.95, method="bands", recall=0.97).collect()}
+    assert got >= exact and len(got - exact) <= 0.05 * (262 - len(exact)) + 1
+    labels = {r.vec_id: r.cluster for r in V.similarity_labels(table(spark, points), 0.05, method="bands", recall=0.97).collect()}
+    want = components_of(hits)
+    assert all(want[i] == want[c] for i, c in labels.items())
+    assert sum(labels[i] == want[i] for i in labels) >= 0.95 * len(labels)
+
+
+def test_bands_for_a_threshold():
+    for threshold in (0.5, 0.8, 0.95, 0.999):
+        bands, bits = V.bands_for(threshold, 0.95)
+        agree = 1 - np.arccos(threshold) / np.pi
+        assert bands <= V.MAX_BANDS and 1 - (1 - agree**bits) ** bands >= 0.95
+    with pytest.raises(ValueError):
+        V.bands_for(-1.0, 0.95)
+
+
+def test_bands_with_no_rows_and_other_methods(spark):
+    none = table(spark, cloud(1, 20)).where(F.lit(False))
+    assert V.dedup(none, 0.9, method="bands").isEmpty() and V.similarity_labels(none, 0.1, method="bands").isEmpty()
+    with pytest.raises(ValueError):
+        V.dedup(none, 0.9, method="other")
