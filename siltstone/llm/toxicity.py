@@ -1,13 +1,19 @@
 """Noisy-channel deobfuscation and toxicity scores.
 
 1. A character trigram model is counted over every text of the corpus.
-2. Spans that look disguised (leetspeak inside a word, letters drawn out, letters
-   spelled with separators) become lattices: each observed character may stand for
-   several letters, a repeated letter may be dropped, a separator may be nothing or
-   a word break. Viterbi picks the likeliest reading under channel and model.
-3. A logistic regression over words of the *restored* text gives the score. Its
-   words are those with enough support among toxic rows, counted over distinct
-   texts so that copies of one text do not vote twice.
+2. Whatever may be disguised becomes a lattice: a token with a sign or digit beside letters, a
+   repeated letter or a separator inside, a run of three or more single characters, and two short
+   tokens that together begin like a word of the model. A sign may stand for several
+   letters, a repeated letter may be one or two, a separator may be nothing or a
+   break. Viterbi picks the likeliest reading under channel and model.
+3. A logistic regression over words of the *restored* text and their beginnings (4 to 6
+   letters, so inflected and compound forms count together) gives the score. Its
+   features stand in at least `support` toxic texts of the sample, counted
+   over distinct texts so that copies of one text do not vote twice.
+
+A lattice has a bounded number of states, plain letters between two doubtful places
+are copied at once, and readings are cached per task up to a number of characters: time is
+linear in the text, and memory does not grow with it.
 
 Defined cases: null and empty texts score as a text without any word; rows with a
 null id are held out (crc32 of the empty string is 0); repeated rows are scored
@@ -20,7 +26,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -40,16 +46,30 @@ LEET = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e",
 }
-SEPARATORS = " .-_*"
-# Channel log-probabilities: sign read as a letter, kept as itself, letter dropped from a run, separator dropped or kept as a break.
-SIGN, KEEP, DROP, JOIN, BREAK = -1.0, -7.0, -1.5, -0.2, -5.0
+# Separators inside a word; the second kind hardly ever stands between whole words.
+SEPARATORS = " .-/,:'*_~^"
+ODD_SEPARATORS = "*_~^"
+# Channel log-probabilities: sign read as a letter, kept as itself (at the edge of a token, inside), letter dropped from a run.
+SIGN, KEEP_EDGE, KEEP, DROP = -1.0, -1.0, -7.0, -1.5
+# Separator dropped or kept between single characters, between pieces if odd, and between other pieces.
+SPELLED, ODD, PIECES = (-0.2, -8.0), (-1.5, 0.0), (-4.0, 0.0)
+# Kept beside the first or last single character of a run, which may be a word of its own.
+RUN_EDGE = -0.5
+# Word beginnings that are features.
+BEGINNINGS = (4, 5, 6)
+# Characters of readings a task keeps; longer tokens than SHORT are not kept.
+CACHED, SHORT = 1 << 22, 64
 
 _SIGNS = re.escape("".join(LEET))
-_SPELLED = re.compile(r"(?<!\w)(?:[^\W_]([ .\-_*]))(?:[^\W_]\1){2,}[^\W_](?!\w)")
-_LEET = re.compile(rf"(?<![^\s\"'])[^\W_{_SIGNS}]*[{_SIGNS}]+[^\W\d_](?:[\w{_SIGNS}]*[\w@$€])?|[^\W\d_]+[01345789](?!\w)")
-_DRAWN = re.compile(r"[^\W_]*([^\W\d_])\1\1[^\W_]*")
+_SEPS = re.escape(SEPARATORS)
+_SINGLE = rf"(?:[^\W_]|[{_SIGNS}])"
+_SPELLED = re.compile(rf"(?<![\w{_SIGNS}]){_SINGLE}(?:[{_SEPS}]{{1,2}}{_SINGLE}){{2,}}(?![\w{_SIGNS}])")
+# A stretch that one word may hide in: alphanumerics, signs, and separators between them.
+_CORE = re.compile(rf"[^\W_{_SIGNS}]*(?:[{_SIGNS}]|[^\W_])(?:[{_SEPS}]{{0,2}}(?:[^\W_]|[{_SIGNS}]))*")
+_DOUBT = re.compile(rf"[{_SIGNS}]|([^\W\d_])\1|[^\W_][{_SEPS}]{{1,2}}[^\W_]")
+_LETTER = re.compile(r"[^\W\d_]")
+_UNIT = re.compile(rf"(?P<sign>([{_SIGNS}])\2*)|(?P<sep>[{_SEPS}]+)|(?P<run>([^\W\d_])\5+)|(?P<plain>(?:([^\W\d_])(?!\7))+)|(?P<other>.)", re.S)
 _WORD = re.compile(r"[^\W_]+")
-_HAS_SIGN = re.compile(rf"[{_SIGNS}]")
 
 
 def _class_table() -> np.ndarray:
@@ -112,73 +132,173 @@ def language_model(docs: DataFrame, text: str = "text") -> np.ndarray:
     return np.log(p3).astype(np.float32)
 
 
+class Kept(dict):
+    """A cache that forgets everything once its keys hold `size` characters."""
+
+    def __init__(self, size: int = CACHED) -> None:
+        super().__init__()
+        self.size, self.held = size, 0
+
+    def put(self, key: str, value):
+        if len(key) <= SHORT:
+            self.held += len(key) + 32
+            if self.held > self.size:
+                self.clear()
+                self.held = len(key) + 32
+            self[key] = value
+        return value
+
+
 class Decoder:
-    """Restores disguised spans; the model is a fixed-size table."""
+    """Restores disguised stretches; the model is a fixed-size table.
+
+    `known`: says whether a word has features; two short tokens are read as one only then.
+    """
 
-    def __init__(self, model: np.ndarray) -> None:
+    def __init__(self, model: np.ndarray, known: Callable[[str], bool] | None = None) -> None:
         self.model = model.tolist()
+        self.known = known
         self.code = {c: i + 1 for i, c in enumerate(LETTERS)}
-        self.decode = lru_cache(maxsize=100_000)(self._decode)
+        self.read = Kept()
 
     def _class(self, c: str) -> int:
         return self.code.get(c) or (DIGIT if c.isdigit() else OTHER if c.isalpha() else 0)
 
-    def _decode(self, span: str, spelled: bool) -> str:
-        """Viterbi over (last two classes); a state keeps its best score and a link to its path.
-
-        A run of one letter is read at its last place as one, two or all of its letters,
-        so the lattice has a bounded number of edges per observed character.
-        """
-        model = self.model
-        states = {(0, 0): (0.0, None)}
+    def units(self, span: str) -> Iterator[list[tuple[str, float]] | str]:
+        """The lattice: plain letters as a string, a doubtful place as its readings with their cost."""
+        pieces = [len(p) for p in re.split(rf"[{_SEPS}]+", span)]
         at, n = 0, len(span)
-        while at < n:
-            c, end = span[at], at + 1
-            while end < n and span[end] == c:
-                end += 1
-            run = end - at
-            if spelled and c in SEPARATORS:
-                options = [("", JOIN), (" ", BREAK)]
-            elif c in LEET:
-                options = [(x * k, SIGN * run + DROP * (run - k)) for x in LEET[c] for k in {1, min(run, 2)}] + [(c * run, KEEP * run)]
-            elif c.isalpha() and run > 2:
-                options = [(c, DROP * 2), (c * 2, DROP * 2)]
+        for m in _UNIT.finditer(span):
+            text, kind = m.group(), m.lastgroup
+            if kind == "plain" or kind == "other":
+                yield text
+            elif kind == "run":
+                c = text[0]
+                yield [(c, DROP * min(2, len(text) - 1)), (c * 2, 0.0 if len(text) == 2 else 2 * DROP)]
+            elif kind == "sign":
+                c, run = text[0], len(text)
+                edge = m.start() == 0 or m.end() == n
+                keep = KEEP_EDGE if edge and not c.isdigit() else KEEP * min(run, 2)
+                yield [(x * k, SIGN * min(run, 4) + DROP * min(run - k, 4)) for x in LEET[c] for k in sorted({1, min(run, 2)})] + [(text, keep)]
+            else:
+                left, right = pieces[at], pieces[min(at + 1, len(pieces) - 1)]
+                if left == 1 and right == 1:
+                    join, split = SPELLED
+                    if at in (0, len(pieces) - 2):
+                        split = RUN_EDGE
+                else:
+                    join, split = ODD if set(text) <= set(ODD_SEPARATORS) else PIECES
+                at += 1
+                yield [("", join), (text, split)]
+
+    def cost(self, state: tuple[int, int], text: str) -> tuple[tuple[int, int], float]:
+        """The state after `text`, and its log-probability under the model."""
+        a, b = state
+        total = 0.0
+        for c in text:
+            k = self._class(c)
+            total += self.model[a][b][k]
+            a, b = b, k
+        return (a, b), total
+
+    def decode(self, span: str) -> str:
+        """Viterbi over (last two classes); a state keeps its best score and a link to its path."""
+        found = self.read.get(span)
+        return found if found is not None else self.read.put(span, self._decode(span))
+
+    def _decode(self, span: str) -> str:
+        out: list[str] = []
+        states: dict = {(0, 0): (0.0, None)}
+
+        def settle() -> None:
+            # One state is left: what leads to it is certain.
+            ((state, (_, path)),) = states.items()
+            certain = []
+            while path:
+                path, piece = path
+                certain.append(piece)
+            out.extend(reversed(certain))
+            states[state] = (0.0, None)
+
+        for unit in self.units(span):
+            if isinstance(unit, str):
+                at = 0
+                while len(states) > 1 and at < len(unit):
+                    states = self._step(states, [(unit[at], 0.0)])
+                    at += 1
+                if len(states) == 1 and at < len(unit):
+                    settle()
+                    ((state, _),) = states.items()
+                    out.append(unit[at:])
+                    states = {self.cost(state, unit[max(at, len(unit) - 2) :])[0]: (0.0, None)}
             else:
-                options = [(c * run, 0.0)]
-            reached: dict = {}
-            for (a, b), (score, path) in states.items():
-                for out, cost in options:
-                    x, y, s = a, b, score + cost
-                    for o in out:
-                        k = self._class(o)
-                        s += model[x][y][k]
-                        x, y = y, k
-                    best = reached.get((x, y))
-                    if best is None or s > best[0]:
-                        reached[(x, y)] = (s, (path, out))
-            states, at = reached, end
+                states = self._step(states, unit)
         best, path = -math.inf, None
         for (a, b), (score, link) in states.items():
-            if (s := score + model[a][b][0]) > best:
+            if (s := score + self.model[a][b][0]) > best:
                 best, path = s, link
-        out = []
-        while path:
-            path, piece = path
-            out.append(piece)
-        return "".join(reversed(out))
+        states = {(0, 0): (best, path)}
+        settle()
+        return "".join(out)
+
+    def _step(self, states: dict, options: list[tuple[str, float]]) -> dict:
+        reached: dict = {}
+        for state, (score, path) in states.items():
+            for text, channel in options:
+                after, likely = self.cost(state, text)
+                s = score + channel + likely
+                best = reached.get(after)
+                if best is None or s > best[0]:
+                    reached[after] = (s, (path, text) if text else path)
+        return reached
+
+    def _core(self, m: re.Match) -> str:
+        span = m.group()
+        return self.decode(span) if _DOUBT.search(span) and _LETTER.search(span) else span
 
     def _spelled(self, m: re.Match) -> str:
         span = m.group()
-        letters = set(span[::2])
-        return span if len(letters) == 1 else self.decode(span, True)
+        letters = set(span) - set(SEPARATORS)
+        return span if len(letters) == 1 or not _LETTER.search(span) else self.decode(span)
+
+    def token(self, token: str) -> str:
+        """A token without white space, in lower case, with its disguised stretches restored."""
+        return _CORE.sub(self._core, token) if _DOUBT.search(token) else token
+
+    def spelled(self, text: str) -> str:
+        """Runs of single characters restored."""
+        return _SPELLED.sub(self._spelled, text)
+
+    def pair(self, a: str, b: str) -> str | None:
+        """Two short tokens as one word, where the model has such a word and the lattice prefers it."""
+        if self.known is None or not self.known(a + b):
+            return None
+        read = self.decode(f"{a} {b}")
+        return read if " " not in read else None
 
     def restore(self, text: str | None) -> str:
-        """The whole text in lower case with its disguised spans restored."""
-        t = (text or "").lower()
-        t = _SPELLED.sub(self._spelled, t)
-        if _HAS_SIGN.search(t):
-            t = _LEET.sub(lambda m: self.decode(m.group(), False), t)
-        return _DRAWN.sub(lambda m: self.decode(m.group(), False), t)
+        """The whole text in lower case with its disguised stretches restored."""
+        parts = re.split(r"(\s+)", self.spelled((text or "").lower()))
+        out = [self.token(p) if i % 2 == 0 else p for i, p in enumerate(parts)]
+        for i in range(0, len(parts) - 2, 2):
+            if short(parts[i], parts[i + 2]) and (one := self.pair(parts[i], parts[i + 2])):
+                out[i], out[i + 1], out[i + 2] = one, "", ""
+        return "".join(out)
+
+
+def short(a: str, b: str) -> bool:
+    """May two tokens be pieces of one word?"""
+    return len(a) < 5 and len(b) < 5 and a.isalpha() and b.isalpha()
+
+
+def features(words: Iterable[str]) -> set[str]:
+    """Whole words of three letters or more as `=word`, and word beginnings."""
+    out = set()
+    for w in words:
+        if len(w) > 2:
+            out.add("=" + w)
+            out.update([w[:n] for n in BEGINNINGS if len(w) >= n])
+    return out
 
 
 def _sketch(words: list[str]) -> int:
@@ -192,8 +312,48 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
+class Scorer:
+    """Scores texts one by one; a token's features are looked up once while it is kept."""
+
+    def __init__(self, model: np.ndarray, weights: dict[str, float], bias: float) -> None:
+        self.weights, self.bias = weights, bias
+        # Words that can have a feature: whole ones, and those with the first letters of a beginning.
+        first = min(BEGINNINGS)
+        self.whole = {f[1:] for f in weights if f[0] == "="}
+        self.heads = {f[:first] for f in weights if f[0] != "="}
+        self.openers = {w[:n] for w in [*self.heads, *(w for w in self.whole if len(w) >= first)] for n in range(1, first + 1)}
+        self.decoder = Decoder(model, lambda word: len(word) >= first and (word[:first] in self.heads or word in self.whole))
+        self.found, self.pairs = Kept(), Kept()
+
+    def _of(self, words: Iterable[str]) -> tuple[str, ...]:
+        some = [w for w in words if w[: BEGINNINGS[0]] in self.heads or w in self.whole]
+        return tuple(f for f in features(some) if f in self.weights) if some else ()
+
+    def __call__(self, text: str | None) -> float:
+        held: set[str] = set()
+        tokens = self.decoder.spelled((text or "").lower()).split()
+        known, read, openers = self.found, self.decoder.token, self.openers
+        for t in set(tokens):
+            found = known.get(t)
+            if found is None:
+                found = known.put(t, self._of(_WORD.findall(read(t))))
+            if found:
+                held.update(found)
+        tokens.append("")
+        for i in [i for i, t in enumerate(tokens) if t in openers]:
+            a, b = tokens[i], tokens[i + 1]
+            found = self.pairs.get(key := f"{a} {b}")
+            if found is None:
+                one = self.decoder.pair(a, b) if short(a, b) else None
+                found = self.pairs.put(key, self._of([one]) if one else ())
+            if found:
+                held.update(found)
+        z = self.bias + math.fsum(self.weights[f] for f in held)
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
+
 class ToxicityModel:
-    """A character model, and words with weights; small enough to travel in a closure."""
+    """A character model, and features with weights; small enough to travel in a closure."""
 
     def __init__(self, model: np.ndarray, weights: dict[str, float], bias: float) -> None:
         self.model, self.weights, self.bias = model, weights, bias
@@ -203,27 +363,17 @@ class ToxicityModel:
 
         @F.pandas_udf("double")
         def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            decoder, known = Decoder(model), set(weights)
+            scorer = Scorer(model, weights, bias)
             for texts in batches:
-                out = []
-                for t in texts:
-                    z = bias + sum(weights[w] for w in known.intersection(_WORD.findall(decoder.restore(t))))
-                    out.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
-                yield pd.Series(out, dtype="float64")
+                yield pd.Series([scorer(t) for t in texts], dtype="float64")
 
         return apply(text)
 
 
-def fit(
-    docs: DataFrame,
-    labels: DataFrame,
-    fit_rows: int = 10_000,
-    max_words: int = 256,
-    min_support: float = 0.05,
-) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 10_000, max_features: int = 4096, support: int = 4) -> ToxicityModel:
     """Learn from rows that are not held out: at most `fit_rows` labelled ids, the first by a hash.
 
-    `min_support`: share of the toxic texts a word must occur in to be a feature.
+    `support`: toxic texts of the sample that a feature must occur in.
     """
     model = language_model(docs)
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -231,63 +381,64 @@ def fit(
         known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     )
     # `fit_rows` rows of two numbers: a proven bound.
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("toxic", "text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("toxic", F.xxhash64("doc_id", "text").alias("row"), "text")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         decoder = Decoder(model)
         for batch in batches:
             out = []
-            for toxic, t in zip(batch["toxic"], batch["text"], strict=True):
+            for toxic, row, t in zip(batch["toxic"], batch["row"], batch["text"], strict=True):
                 words = _WORD.findall(decoder.restore(t))
-                out.append((toxic, _sketch(words), sorted(set(words))))
-            yield pd.DataFrame(out, columns=["toxic", "sketch", "words"])
+                out.append((toxic, _sketch(words), row, sorted(features(set(words)))))
+            yield pd.DataFrame(out, columns=["toxic", "sketch", "row", "features"])
 
-    seen = cut_lineage(rows.repartition(24).mapInPandas(read, "toxic int, sketch long, words array<string>"), "toxic-rows")
-    one = seen.groupBy("toxic", "sketch").agg(F.count("*").alias("n"))
+    seen = cut_lineage(
+        rows.repartition(24).mapInPandas(read, "toxic int, sketch long, row long, features array<string>"), "toxic-rows"
+    )
+    one = seen.groupBy("toxic", "sketch").agg(F.min_by("features", "row").alias("features"))
     kinds = {r["toxic"]: r["n"] for r in one.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     pos, neg = kinds.get(1, 0), kinds.get(0, 0)
     if not pos or not neg:
         return ToxicityModel(model, {}, 30.0 if pos else -30.0)
-    support = (
-        seen.select("toxic", "sketch", F.explode("words").alias("word"))
-        .distinct()
-        .groupBy("word")
+    lift = F.log((F.col("p") + 0.5) / (pos + 1.0)) - F.log((F.col("q") + 0.5) / (neg + 1.0))
+    chosen = [
+        r["feature"]
+        for r in one.select("toxic", F.explode("features").alias("feature"))
+        .groupBy("feature")
         .agg(F.sum("toxic").alias("p"), F.sum(1 - F.col("toxic")).alias("q"))
-        .where(F.col("p") >= max(3, min_support * pos))
-        .withColumn("lift", F.log((F.col("p") + 0.5) / (pos + 1.0)) - F.log((F.col("q") + 0.5) / (neg + 1.0)))
-        .where("lift > 1.5")
-        .orderBy(F.desc("lift"), "word")
-        .limit(max_words)
-    )
-    chosen = [r["word"] for r in support.collect()]
+        .where(F.col("p") >= min(support, pos))
+        .withColumn("lift", lift)
+        .where("lift > 1")
+        .orderBy(F.desc(F.col("p") * F.col("lift")), "feature")
+        .limit(max_features)
+        .select("feature")
+        .collect()
+    ]
     if not chosen:
         return ToxicityModel(model, {}, math.log(pos / neg))
-    flags = (
-        seen.select("toxic", F.array_intersect("words", F.array(*[F.lit(w) for w in chosen])).alias("words")).toPandas()
-    )  # fit_rows rows of at most max_words words
-    place = {w: i for i, w in enumerate(chosen)}
-    x = np.zeros((len(flags), len(chosen)))
-    for i, found in enumerate(flags["words"]):
-        x[i, [place[w] for w in found]] = 1
-    weights, bias = _logistic(x, flags["toxic"].to_numpy(dtype=np.float64))
-    return ToxicityModel(model, dict(zip(chosen, map(float, weights), strict=True)), bias)
-
-
-def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.02, steps: int = 60) -> tuple[np.ndarray, float]:
-    """Newton's method with an L2 penalty on the weights."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    ridge = np.full(x.shape[1], penalty)
-    ridge[-1] = 1e-6
-    w = np.zeros(x.shape[1])
+    held = seen.select("toxic", F.array_intersect("features", F.lit(chosen)).alias("features")).toPandas()  # fit_rows rows
+    weights, bias = _logistic(held["features"], held["toxic"].to_numpy(dtype=np.float64), chosen)
+    return ToxicityModel(model, weights, bias)
+
+
+def _logistic(rows: Iterable, y: np.ndarray, names: list[str], penalty: float = 0.05, steps: int = 400) -> tuple[dict[str, float], float]:
+    """L2-penalised logistic regression on present features, by full gradients with a step per feature."""
+    place = {f: i for i, f in enumerate(names)}
+    # Rows come in any order; their sums must not depend on it.
+    sets = sorted((float(t), sorted(place[f] for f in r)) for t, r in zip(y, rows, strict=True))
+    y = np.array([t for t, _ in sets])
+    row = np.repeat(np.arange(len(sets)), [len(r) for _, r in sets])
+    col = np.array([i for _, r in sets for i in r], dtype=np.int64)
+    w, g2, b, b2 = np.zeros(len(names)), np.full(len(names), 1e-8), math.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)), 1e-8
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (p - y) + ridge * w
-        hess = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(ridge)
-        step = np.linalg.solve(hess, grad)
-        w -= step
-        if np.abs(step).max() < 1e-7:
-            break
-    return w[:-1], float(w[-1])
+        z = b + np.bincount(row, weights=w[col], minlength=len(y))
+        error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
+        g = np.bincount(col, weights=error[row], minlength=len(names)) + penalty * w
+        g2 += g * g
+        b2 += error.sum() ** 2
+        w -= 0.3 * g / np.sqrt(g2)
+        b -= 0.3 * error.sum() / math.sqrt(b2)
+    return dict(zip(names, map(float, w), strict=True)), float(b)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

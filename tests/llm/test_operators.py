@@ -40,17 +40,85 @@ def empty(docs):
     return docs.where(F.lit(False))
 
 
-def test_decoder_restores_disguised_words(spark):
+@pytest.fixture(scope="module")
+def insults(spark):
+    """A character model of prose in which some words are frequent."""
     rng = random.Random(1)
-    corpus = [(i, f"{prose(rng, 30)} idiot {prose(rng, 5)} stupid clown", None, None, 0, 0, None) for i in range(40)]
-    decoder = toxicity.Decoder(toxicity.language_model(spark.createDataFrame(corpus, DOCS)))
+    said = "idiot stupid clown loser trash worthless scum moron"
+    corpus = [(i, f"{prose(rng, 30)} {said} {prose(rng, 5)} such a man, you an here", None, None, 0, 0, None) for i in range(40)]
+    return toxicity.language_model(spark.createDataFrame(corpus, DOCS))
+
+
+def test_decoder_restores_disguised_words(insults):
+    decoder = toxicity.Decoder(insults)
     assert decoder.restore("you 1d10t!") == "you idiot!"
-    assert "idiot" in decoder.restore("such an i d i o t here").replace(" ", "")
+    assert decoder.restore("such an i d i o t here") == "such an idiot here"
     assert decoder.restore("stuuuupid") == "stupid"
     assert decoder.restore("a a a a a a") == "a a a a a a"
+    assert decoder.restore("in 2020, 15 % - $ 7") == "in 2020, 15 % - $ 7"
     assert decoder.restore(None) == "" and decoder.restore("") == ""
 
 
+@pytest.mark.parametrize(
+    "text, word",
+    [
+        ("(1d10t)", "idiot"), ("-1d10t", "idiot"), ("#l0s3r", "loser"), ("worthle55", "worthle"), ("worthl355", "worthl"), ("id107", "idiot"),
+        ("idio+", "idio"), ("t r @ s h", "trash"), ("s-t-u-p-!-d", "stupid"), ("id iot", "idiot"), ("sc*um", "scum"), ("stuupid", "stupid"),
+        ("iddiioott", "idiot"), ("i/d/i/o/t", "idiot"), ("i,d,i,o,t", "idiot"), ("i  d  i  o  t", "idiot"), ("i.d-i.o-t", "idiot"), ("$ c u m", "scum"),
+        ("such a i d i o t here", "idiot"), ("you/tr@sh", "trash"), ("m0r0n", "moron"), ("cl0wn", "clown"), ('"5tup1d"', "stupid"),
+    ],
+)
+def test_disguises(insults, text, word):
+    decoder = toxicity.Decoder(insults, lambda w: w[:4] in ("idio", "scum"))
+    assert any(w.startswith(word) for w in toxicity._WORD.findall(decoder.restore(text))), decoder.restore(text)
+
+
+def test_viterbi_equals_all_readings(insults):
+    """Every path of the lattice, one by one."""
+    import itertools
+
+    decoder = toxicity.Decoder(insults)
+    rng = random.Random(7)
+    spans = ["1d10t", "i d i o t", "st-u-pid", "aa1bb", "!!a", "a$$", "t r @ s h", "ll00", "i.d/i.o", "sc*um"]
+    spans += ["".join(rng.choice("aabdiost01@$!- ") for _ in range(rng.randint(3, 9))).strip() or "a" for _ in range(60)]
+    for span in spans:
+        units = [[(u, 0.0)] if isinstance(u, str) else u for u in decoder.units(span)]
+        scores = {}
+        for path in itertools.product(*units):
+            text = "".join(t for t, _ in path)
+            state, likely = decoder.cost((0, 0), text)
+            score = sum(c for _, c in path) + likely + decoder.model[state[0]][state[1]][0]
+            scores[text] = max(scores.get(text, -1e9), score)
+        assert scores[decoder._decode(span)] == pytest.approx(max(scores.values()), abs=1e-6), span
+
+
+def test_a_megabyte_without_a_space_takes_seconds(insults):
+    import time
+
+    rng = random.Random(3)
+    for text in ("".join(rng.choice("abcdefgh") for _ in range(1_000_000)), "a1" * 500_000, "a " * 500_000, "-a" * 500_000, "1" * 1_000_000):
+        scorer = toxicity.Scorer(insults, {"idio": 1.0}, 0.0)
+        start = time.process_time()
+        scorer(text)
+        assert time.process_time() - start < 12
+        assert scorer.found.held + scorer.pairs.held + scorer.decoder.read.held < 4 * toxicity.CACHED
+
+
+def test_scores_are_those_of_the_restored_text(insults):
+    """The scorer's look-ups by token against the features of the whole restored text."""
+    weights = {"idio": 2.0, "idiot": 0.5, "=scum": 1.5, "=idiot": 0.25, "worth": 3.0, "=clown": -1.0}
+    scorer = toxicity.Scorer(insults, weights, -1.0)
+    rng = random.Random(2)
+    bits = ["1d10t", "id iot", "i d i o t", "sc*um", "worthle55", "cl0wn", "idiotic", "the", "of", "ba do ki", "scum", "x", "(idiot)"]
+    for _ in range(200):
+        text = " ".join(rng.choice(bits) for _ in range(rng.randint(0, 8)))
+        decoder = toxicity.Decoder(insults, scorer.decoder.known)
+        found = toxicity.features(toxicity._WORD.findall(decoder.restore(text)))
+        # A pair is read beside its tokens, which have no features of their own when it is read as one.
+        z = -1.0 + sum(w for f, w in weights.items() if f in found)
+        assert scorer(text) == pytest.approx(1 / (1 + np.exp(-z))), text
+
+
 def test_toxicity_learns_without_held_out_rows_and_scores_every_row(spark, docs):
     rng = random.Random(2)
     rows = [(i, prose(rng, 40) + (" idiot" if i % 5 == 0 else ""), "en", "s", 1, 1, "n") for i in range(300)]
