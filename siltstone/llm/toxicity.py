@@ -55,21 +55,25 @@ SIGN, KEEP_EDGE, KEEP, DROP = -1.0, -1.0, -7.0, -1.5
 SPELLED, ODD, PIECES = (-0.2, -8.0), (-1.5, 0.0), (-4.0, 0.0)
 # Kept beside the first or last single character of a run, which may be a word of its own.
 RUN_EDGE = -0.5
-# Word beginnings that are features.
+# Word beginnings that are features; the shortest has four letters (`Scorer` looks words up by them).
 BEGINNINGS = (4, 5, 6)
 # Characters of readings a task keeps; longer tokens than SHORT are not kept.
-CACHED, SHORT = 1 << 22, 64
+CACHED, SHORT = 3 << 21, 64
 
 _SIGNS = re.escape("".join(LEET))
 _SEPS = re.escape(SEPARATORS)
 _SINGLE = rf"(?:[^\W_]|[{_SIGNS}])"
-_SPELLED = re.compile(rf"(?<![\w{_SIGNS}]){_SINGLE}(?:[{_SEPS}]{{1,2}}{_SINGLE}){{2,}}(?![\w{_SIGNS}])")
+# Three or more single characters, each a token of its own, perhaps with a separator before or behind it.
+_ONE = rf"[{_SEPS.replace(chr(92) + ' ', '')}]?{_SINGLE}[{_SEPS.replace(chr(92) + ' ', '')}]?"
+_SPELLED = re.compile(rf"(?<!\S){_ONE}(?:\s{{1,2}}{_ONE}){{2,}}(?!\S)")
 # A stretch that one word may hide in: alphanumerics, signs, and separators between them.
 _CORE = re.compile(rf"[^\W_{_SIGNS}]*(?:[{_SIGNS}]|[^\W_])(?:[{_SEPS}]{{0,2}}(?:[^\W_]|[{_SIGNS}]))*")
 _DOUBT = re.compile(rf"[{_SIGNS}]|([^\W\d_])\1|[^\W_][{_SEPS}]{{1,2}}[^\W_]")
 _LETTER = re.compile(r"[^\W\d_]")
-_UNIT = re.compile(rf"(?P<sign>([{_SIGNS}])\2*)|(?P<sep>[{_SEPS}]+)|(?P<run>([^\W\d_])\5+)|(?P<plain>(?:([^\W\d_])(?!\7))+)|(?P<other>.)", re.S)
+_REPEAT = re.compile(r"(.)\1+")
+_UNIT = re.compile(rf"(?P<sign>([{_SIGNS}])\2*)|(?P<sep>[{_SEPS}\s]+)|(?P<run>([^\W\d_])\5+)|(?P<plain>(?:([^\W\d_])(?!\7))+)|(?P<other>.)", re.S)
 _WORD = re.compile(r"[^\W_]+")
+_BREAKS = re.compile(rf"[{_SEPS}\s]+")
 
 
 def _class_table() -> np.ndarray:
@@ -166,7 +170,7 @@ class Decoder:
 
     def units(self, span: str) -> Iterator[list[tuple[str, float]] | str]:
         """The lattice: plain letters as a string, a doubtful place as its readings with their cost."""
-        pieces = [len(p) for p in re.split(rf"[{_SEPS}]+", span)]
+        pieces = [len(p) for p in _BREAKS.split(span)]
         at, n = 0, len(span)
         for m in _UNIT.finditer(span):
             text, kind = m.group(), m.lastgroup
@@ -258,8 +262,8 @@ class Decoder:
 
     def _spelled(self, m: re.Match) -> str:
         span = m.group()
-        letters = set(span) - set(SEPARATORS)
-        return span if len(letters) == 1 or not _LETTER.search(span) else self.decode(span)
+        singles = set(_BREAKS.sub("", span))
+        return span if len(singles) == 1 or not _LETTER.search(span) else self.decode(span)
 
     def token(self, token: str) -> str:
         """A token without white space, in lower case, with its disguised stretches restored."""
@@ -324,21 +328,36 @@ class Scorer:
         self.openers = {w[:n] for w in [*self.heads, *(w for w in self.whole if len(w) >= first)] for n in range(1, first + 1)}
         self.decoder = Decoder(model, lambda word: len(word) >= first and (word[:first] in self.heads or word in self.whole))
         self.found, self.pairs = Kept(), Kept()
+        # The same with every run of a letter as one letter.
+        self.single_heads = {_REPEAT.sub(r"\1", h) for h in self.heads}
+        self.single_whole = {_REPEAT.sub(r"\1", w) for w in self.whole}
+        self.short_heads = sorted({len(h) for h in self.single_heads} - {first})
+
+    def _found(self, token: str) -> tuple[str, ...]:
+        found = self.found.get(token)
+        return found if found is not None else self.found.put(token, self._of(_WORD.findall(self.decoder.token(token))))
 
     def _of(self, words: Iterable[str]) -> tuple[str, ...]:
-        some = [w for w in words if w[: BEGINNINGS[0]] in self.heads or w in self.whole]
+        some = [w for w in words if w[:4] in self.heads or w in self.whole]
         return tuple(f for f in features(some) if f in self.weights) if some else ()
 
     def __call__(self, text: str | None) -> float:
         held: set[str] = set()
-        tokens = self.decoder.spelled((text or "").lower()).split()
-        known, read, openers = self.found, self.decoder.token, self.openers
-        for t in set(tokens):
-            found = known.get(t)
-            if found is None:
-                found = known.put(t, self._of(_WORD.findall(read(t))))
-            if found:
-                held.update(found)
+        lowered = (text or "").lower()
+        tokens = lowered.split()
+        # What a run of single characters is made of.
+        if "xxx" in "".join(["x" if len(t) < 4 and (len(t) == 1 or not t.isalnum()) else " " for t in tokens]):
+            lowered = self.decoder.spelled(lowered)
+            tokens = lowered.split()
+        # Where nothing but repeated letters is in doubt, every reading is the same with its runs as
+        # one letter, and so is the beginning of every reading: most tokens need no reading at all.
+        singles, heads, whole = _REPEAT.sub(r"\1", lowered).split(), self.single_heads, self.single_whole
+        hopeful = {t for t, s in zip(tokens, singles, strict=True) if s[:4] in heads or s in whole or not t.isalpha()}
+        for n in self.short_heads:
+            hopeful.update([t for t, s in zip(tokens, singles, strict=True) if s[:n] in heads])
+        for t in hopeful:
+            held.update(self._found(t))
+        openers = self.openers
         tokens.append("")
         for i in [i for i, t in enumerate(tokens) if t in openers]:
             a, b = tokens[i], tokens[i + 1]
