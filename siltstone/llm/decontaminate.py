@@ -9,16 +9,17 @@ at least `agreement` of its places.
 
 An item's length names its masks. At the default overlap and agreement they miss
 nothing: wherever the allowed substitutions stand in a stretch, a mask fits between
-them somewhere (the tests go through all patterns). At a lower agreement they may miss.
+them somewhere (the tests go through all patterns). A lower agreement or a longer overlap, for
+which that does not hold, is refused. Items of one to four words must agree whole.
 
-A bitmap of fixed size over the items' hashes rules out nearly every position before
-the join. It may pass a place for nothing, never lose one, and the equi-join on full
+Two bitmaps of fixed size rule out nearly every position before the join: one over the
+first two tokens that a mask selects, tested at every position, and one over the whole hashes,
+tested where the first answers. They may pass a place for nothing, and never lose one, and the equi-join on full
 hashes decides. Positions travel without their text; only texts with a hit are read
 again for the verification, one row per distinct text.
 
 Defined cases: null, empty and wordless texts and items are never contaminated or
-contaminating; an item of fewer than five words is ignored; repeated rows
-are judged alike; rows with a null doc_id are judged like others; other columns are
+contaminating; repeated rows are judged alike; rows with a null doc_id are judged like others; other columns are
 not read; empty tables give an empty result.
 """
 
@@ -32,6 +33,10 @@ from .common import cut_lineage, key_bitmap, maybe_in, table, word_hashes
 # Shortest item -> its masks. Found by search: for each length from there to the next
 # entry (20 for the last) every choice of substitutions that leaves 80 % leaves a mask whole.
 MASKS = {
+    1: ((0,),),
+    2: ((0, 1),),
+    3: ((0, 1, 2),),
+    4: ((0, 1, 2, 3),),
     5: ((0, 1, 3), (0, 2, 4)),
     10: ((0, 1, 2, 4, 5), (0, 1, 5, 6, 7), (0, 2, 3, 6, 8)),
     15: ((0, 1, 3, 4, 5, 6), (0, 1, 2, 7, 9, 10), (0, 1, 2, 3, 5, 6), (0, 2, 3, 4, 8, 10)),
@@ -39,22 +44,24 @@ MASKS = {
 SPAN = 1 + max(m[-1] for masks in MASKS.values() for m in masks)
 OVERLAP = 20
 AGREEMENT = 0.8
-# Shorter items are no evidence of a leak.
-SHORTEST_ITEM = 5
 
 
 def _windows(rows: DataFrame, tokens: str, keep: list[str]) -> DataFrame:
     """One row per position: `at` and the tokens t0 to t10 from there on, null past the end."""
     shifted = [F.slice(F.col(tokens), k + 1, F.greatest(F.size(tokens) - k, F.lit(0))).alias(f"t{k}") for k in range(SPAN)]
     places = F.sequence(F.lit(0), F.size(tokens) - 1).alias("at")
-    long = rows.where(F.size(tokens) >= SHORTEST_ITEM)
-    return long.select(*keep, F.inline(F.arrays_zip(places, *shifted)))
+    return rows.where(F.size(tokens) > 0).select(*keep, F.inline(F.arrays_zip(places, *shifted)))
 
 
 def _hash(places: tuple[int, ...], salt: int) -> Column:
     return F.xxhash64(*[F.col(f"t{p}") for p in places], F.lit(salt))
 
 
+def _heads(masks: dict[int, tuple[int, ...]]) -> list[Column]:
+    """Hashes of the first two tokens that the masks select, once for each choice."""
+    return [_hash(h, -1 - h[-1]) for h in sorted({m[:2] for m in masks.values()})]
+
+
 def _marks(masks: dict[int, tuple[int, ...]], hashes: Column | None = None) -> Column:
     """(mask, hash) of each mask that fits at a position, if the bitmap `hashes` may hold it."""
     marks = []
@@ -65,23 +72,31 @@ def _marks(masks: dict[int, tuple[int, ...]], hashes: Column | None = None) -> C
     return F.explode(F.array_compact(F.array(*marks)))
 
 
-def seed_hits(texts: DataFrame, items: DataFrame) -> DataFrame:
+def seed_hits(texts: DataFrame, items: DataFrame, overlap: int = OVERLAP) -> DataFrame:
     """(text_key, item_id, diagonal) of every seed that a text (text_key, tokens) shares with an item (item_id, item)."""
     bounds = sorted(MASKS)
     kind = F.lit(bounds[0])
     for least in bounds[1:]:
-        kind = F.when(F.size("item") >= least, F.lit(least)).otherwise(kind)
+        kind = F.when(F.least(F.size("item"), F.lit(overlap)) >= least, F.lit(least)).otherwise(kind)
     # As many rows as `MASKS` has entries at most; texts are read for the masks that some item has.
     kinds = [r["kind"] for r in items.select(kind.alias("kind")).distinct().collect()]
     masks = {least: {100 * least + k: m for k, m in enumerate(MASKS[least])} for least in sorted(kinds)}
-    spots = items.sparkSession.createDataFrame([], "item_id string, item_at int, mask int, hash long").withColumn("item_id", F.col("item_id").cast(items.schema["item_id"].dataType))
+    spots = items.sparkSession.createDataFrame([], "item_id string, item_at int, mask int, hash long, heads array<long>")
+    spots = spots.withColumn("item_id", F.col("item_id").cast(items.schema["item_id"].dataType))
     for least, some in masks.items():
-        seeds = _windows(items.where(kind == least), "item", ["item_id"]).select("item_id", F.col("at").alias("item_at"), _marks(some).alias("s"))
-        spots = spots.unionByName(seeds.select("item_id", "item_at", "s.mask", "s.hash"))
+        places = _windows(items.where(kind == least), "item", ["item_id"])
+        seeds = places.select("item_id", F.col("at").alias("item_at"), F.array(*_heads(some)).alias("heads"), _marks(some).alias("s"))
+        spots = spots.unionByName(seeds.select("item_id", "item_at", "s.mask", "s.hash", "heads"))
     spots = cut_lineage(spots, "seeds")
     hashes = key_bitmap(spots.select("hash").distinct(), "hash")
+    heads = key_bitmap(spots.select(F.explode("heads").alias("head")).distinct(), "head")
     every = {k: m for some in masks.values() for k, m in some.items()} or {-1: (0,)}
-    marks = _windows(texts, "tokens", ["text_key"]).select("text_key", "at", _marks(every, hashes).alias("s")).select("text_key", "at", "s.mask", "s.hash")
+    # The filter stands before the masks are hashed, so most positions cost a hash or two.
+    begins = F.lit(False)
+    for head in _heads(every):
+        begins = begins | maybe_in(head, heads)
+    begun = _windows(texts, "tokens", ["text_key"]).where(begins)
+    marks = begun.select("text_key", "at", _marks(every, hashes).alias("s")).select("text_key", "at", "s.mask", "s.hash")
     met = marks.join(spots, ["hash", "mask"])
     return met.select("text_key", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct()
 
@@ -91,10 +106,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, overlap: int = OVERLAP,
 
     `doc_at`, `item_at`: first token of the best stretch; `equal` of its `length` tokens agree.
     """
-    items = benchmark.select("item_id", word_hashes("text").alias("item")).where(F.size("item") >= SHORTEST_ITEM)
+    if agreement < AGREEMENT or overlap > OVERLAP:
+        raise ValueError(f"the masks miss nothing from an agreement of {AGREEMENT} and up to an overlap of {OVERLAP}")
+    items = benchmark.select("item_id", word_hashes("text").alias("item")).where(F.size("item") > 0)
     items = cut_lineage(items, "items")
     keyed = docs.select(F.xxhash64("text").alias("text_key"), "text")
-    hits = cut_lineage(seed_hits(keyed.select("text_key", word_hashes("text").alias("tokens")), items), "hits")
+    hits = cut_lineage(seed_hits(keyed.select("text_key", word_hashes("text").alias("tokens")), items, overlap), "hits")
     wanted = key_bitmap(hits.select("text_key").distinct(), "text_key")
     texts = (
         keyed.where(maybe_in(F.col("text_key"), wanted))

@@ -239,7 +239,7 @@ def test_decontamination_finds_planted_items_with_substitutions(spark, docs):
 
 def test_seeds_hit_every_pattern_of_allowed_substitutions():
     itertools = __import__("itertools")
-    for n in range(decontaminate.SHORTEST_ITEM, decontaminate.OVERLAP + 1):
+    for n in range(1, decontaminate.OVERLAP + 1):
         masks = decontaminate.MASKS[max(k for k in decontaminate.MASKS if k <= n)]
         places = [{at + p for p in m} for m in masks for at in range(n - m[-1])]
         for spoiled in itertools.combinations(range(n), n - -(-n * 4 // 5)):
@@ -248,7 +248,7 @@ def test_seeds_hit_every_pattern_of_allowed_substitutions():
 
 def test_decontamination_equals_a_scan_of_all_diagonals(spark):
     rng = random.Random(31)
-    items = [prose(rng, n).split() for n in (5, 6, 9, 10, 12, 12, 14, 15, 15, 17, 19, 20, 34)]
+    items = [[f"{w}{n}" for w in prose(rng, n).split()] for n in (1, 2, 3, 4, 5, 6, 9, 10, 12, 12, 14, 15, 15, 17, 19, 20, 34)]
     texts = []
     for item in items:
         for extra in (0, 0, 0, 0, 0, 1):
@@ -273,6 +273,41 @@ def test_decontamination_equals_a_scan_of_all_diagonals(spark):
     assert len(want) >= 5 * len(items) and left == set(range(len(texts))) - want
 
 
+def test_short_items_match_whole_and_other_rules_are_refused(spark):
+    texts = ["see w1 w2 w3 w4 here", "see w1 w2 w3 zz w4", "w9", "x w9 y", "w5 w6", "w5 x w6"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(0, "w1 w2, w3 W4"), (1, "w9"), (2, "w5 w6")], "item_id long, text string")
+    found = {r.doc_id for r in frame.join(decontaminate.contaminated(frame, bench), F.xxhash64("text") == F.col("text_key")).collect()}
+    assert found == {0, 2, 3, 4}
+    for wrong in ({"agreement": 0.7}, {"overlap": 30}):
+        with pytest.raises(ValueError):
+            decontaminate.contaminated(frame, bench, **wrong)
+
+
+@pytest.mark.parametrize("overlap", [6, 12])
+def test_shorter_overlaps_equal_a_scan(spark, overlap):
+    rng = random.Random(overlap)
+    item = [f"q{i}" for i in range(30)]
+    texts = []
+    for _ in range(40):
+        start = rng.randint(0, 30 - overlap)
+        part = item[start : start + overlap]
+        for i in rng.sample(range(overlap), rng.randint(0, overlap // 3)):
+            part[i] = f"z{i}"
+        texts.append([*prose(rng, 5).split(), *part, *prose(rng, 5).split()])
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
+    need = -(-overlap * 4 // 5)
+    want = set()
+    for i, t in enumerate(texts):
+        for d in range(-30, len(t)):
+            same = [t[d + k] == item[k] for k in range(30) if 0 <= d + k < len(t)]
+            if any(sum(same[k : k + overlap]) >= need for k in range(len(same) - overlap + 1)):
+                want.add(i)
+    left = {r.doc_id for r in decontaminate.drop_contaminated(frame, bench, overlap=overlap).collect()}
+    assert want and left == set(range(40)) - want
+
+
 def fill(budget, caps, weights):
     """Water filling by repeated division, the plain way."""
     share, left, open_ = dict.fromkeys(caps, 0.0), budget, {c for c in caps if weights.get(c, 0) > 0}
@@ -288,6 +323,26 @@ def fill(budget, caps, weights):
     return share
 
 
+@pytest.mark.parametrize("budget", [1, 9, 10, 13, 25, 37, 47, 60, 79, 80])
+def test_mixing_takes_the_budget_exactly_among_copies(spark, budget):
+    """Eight rows of ten tokens, two distinct ones, over more than one partition."""
+    rows = [(i % 2, " ".join(["w"] * 9 + [str(i % 2)]), "en", "src0", 1, 1, "n") for i in range(8)]
+    some = spark.createDataFrame(rows, DOCS).repartition(3)
+    weights = spark.createDataFrame([("domain", "crawl", 1.0)], "level string, name string, weight double")
+    got = mixing.mix(some, weights, F.lit(float(budget)), max_epochs=2).toPandas()
+    assert got["taken"].sum() == budget
+    assert (got["taken"] < got["tokens"]).sum() <= 1
+
+
+def test_mixing_gives_names_without_a_weight_their_default(spark):
+    names = [("src0", "en"), ("web", "en"), (None, None), ("src3", "pt"), ("src99999999999999", "en"), ("off", "en")]
+    rows = [(i, "w " * 10, lang, source, 1, 1, "n") for i, (source, lang) in enumerate(names)]
+    some = spark.createDataFrame(rows, DOCS)
+    weights = mixing.target_weights(spark).unionByName(spark.createDataFrame([("source", "off", 0.0)], "level string, name string, weight double"))
+    got = mixing.mix(some, weights, F.lit(1000.0), max_epochs=1).toPandas()
+    assert sorted(got["id"]) == [0, 1, 2, 3, 4] and got["taken"].sum() == 50
+
+
 def test_mixing_fills_siblings_before_ancestors_and_takes_exact_prefixes(spark):
     rng = random.Random(4)
     rows = [(i, " ".join(["w"] * rng.randint(1, 40)), rng.choice(("en", "de")), rng.choice(("src0", "src1", "src12")), 1, 1, "n") for i in range(400)]
@@ -481,9 +536,10 @@ def test_lines_with_a_word_replaced_are_found(spark):
 
 def test_bm25_equals_scoring_everything(docs):
     rows = {}
-    for r in docs.where("doc_id is not null").dropDuplicates(["doc_id"]).collect():
+    # Some ids are negative.
+    one = docs.where("doc_id is not null").dropDuplicates(["doc_id"]).withColumn("doc_id", F.col("doc_id") - 40)
+    for r in one.collect():
         rows[r.doc_id] = words(r.text)
-    one = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
     n, mean = len(rows), sum(map(len, rows.values())) / len(rows)
     got = {}
     for r in bm25_search.search(one, one.where("doc_id % 20 = 0"), k=5, shard=16, block=2).collect():
