@@ -15,10 +15,10 @@ the range that the end of the budget falls into is sorted. So a leaf that holds
 third of all rows is neither sorted nor gathered.
 
 Defined cases: null domains, languages and sources are nodes of their own; a node
-without a weight (or with one of zero or less, or null) gets nothing; null and
-wordless texts hold no token and are never taken; repeated rows are separate texts,
-ordered among themselves by their place in the hash (ties take all at one place in
-the order of doc_id); a budget beyond all capacity takes everything `max_epochs`
+that the weights do not name has its level's default weight, one with a weight of zero, less
+or null gets nothing; null and wordless texts hold no token and are never taken; repeated
+rows are separate texts at one place of the order: where the budget ends among them, as many
+of them as fit are taken whole and one in part; a budget beyond all capacity takes everything `max_epochs`
 times; an empty table gives an empty result; other columns are carried along.
 """
 
@@ -34,12 +34,14 @@ from .common import cut_lineage, table, words
 
 LEVELS = ("domain", "lang", "source")
 RANGES = 4096
+# Weight of a name that the weights do not have.
+DEFAULTS = {"domain": 0.2, "lang": 0.15, "source": 1.0}
 
 
 def domain_of(source: Column) -> Column:
     """The query's domains: the crawl that holds a third of the rows, and two groups of the other sources."""
-    number = F.regexp_extract(source, r"(\d+)$", 1).cast("int")
-    return F.when(number == 0, "crawl").when(number < 10, "reference").when(number >= 10, "community")
+    number = F.regexp_extract(source, r"(\d+)$", 1).try_cast("int")
+    return F.when(number == 0, "crawl").when(number < 10, "reference").when(number >= 10, "community").otherwise("other")
 
 
 def target_weights(spark: SparkSession) -> DataFrame:
@@ -50,16 +52,19 @@ def target_weights(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "level string, name string, weight double")
 
 
-def budgets(stock: DataFrame, weights: DataFrame, budget: Column, max_epochs: int, levels: Sequence[str] = LEVELS) -> DataFrame:
+def budgets(
+    stock: DataFrame, weights: DataFrame, budget: Column, max_epochs: int, levels: Sequence[str] = LEVELS, defaults: dict[str, float] = DEFAULTS
+) -> DataFrame:
     """`stock` (levels and tokens per leaf) with the leaf's budget `take`, a whole number.
 
     `budget`: column over a row with `total`, the tokens of the whole stock.
     """
     nodes = stock.withColumn("capacity", F.col("tokens") * F.lit(max_epochs))
     for depth, level in enumerate(levels):
-        named = weights.where(F.col("level") == level).groupBy("name").agg(F.max("weight").alias(f"w{depth}"))
-        nodes = nodes.join(named, nodes[level] == named["name"], "left").drop("name")
-        nodes = nodes.withColumn(f"w{depth}", F.when(F.col(f"w{depth}") > 0, F.col(f"w{depth}")))
+        named = weights.where(F.col("level") == level).groupBy("name").agg(F.max("weight").alias("_w")).withColumn("_named", F.lit(True))
+        nodes = nodes.join(named, nodes[level].eqNullSafe(named["name"]), "left")
+        own = F.when(F.col("_named"), F.col("_w")).otherwise(F.lit(float(defaults.get(level, 0.0))))
+        nodes = nodes.withColumn(f"w{depth}", F.when(own > 0, own)).drop("name", "_w", "_named")
     # A leaf below a node without weight can take nothing, so it is no capacity of its ancestors.
     live = F.lit(True)
     for depth in range(len(levels)):
@@ -153,15 +158,13 @@ def leaf_plan(rows: DataFrame, weights: DataFrame, budget: Column, max_epochs: i
     )
     ends = cut_lineage(ends, "ends")
     last = _join_leaves(part.select(*LEVELS, "key", "id", "tokens", "whole", "range"), ends).where("range = end_range")
-    order = W.partitionBy(*LEVELS).orderBy(_order(seed), "key", F.col("id").asc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
+    # Copies of a row share their place, and count together.
+    places = last.groupBy(*LEVELS, _order(seed).alias("order"), "key").agg(F.sum("tokens").alias("n"), F.first("end_rest").alias("end_rest"))
+    earlier = F.sum("n").over(W.partitionBy(*LEVELS).orderBy("order", "key").rowsBetween(W.unboundedPreceding, -1))
     cut = (
-        last.withColumn("earlier", F.coalesce(F.sum("tokens").over(order), F.lit(0)))
-        .where("earlier < end_rest and earlier + tokens >= end_rest")
-        .groupBy(*LEVELS)
-        .agg(
-            F.min(F.struct(_order(seed).alias("order"), F.col("key"))).alias("edge"),
-            F.min(F.col("end_rest") - F.col("earlier")).alias("edge_taken"),
-        )
+        places.withColumn("earlier", F.coalesce(earlier, F.lit(0)))
+        .where("earlier < end_rest and earlier + n >= end_rest")
+        .select(*LEVELS, F.struct("order", "key").alias("edge"), (F.col("end_rest") - F.col("earlier")).alias("edge_rest"))
     )
     return _join_leaves(leaves, cut, "left")
 
@@ -187,22 +190,40 @@ def _join_leaves(rows: DataFrame, leaves: DataFrame, how: str = "inner") -> Data
 def _taken(rows: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
     joined = _join_leaves(rows, plan.withColumnRenamed("tokens", "leaf_tokens").drop("rows", "take"))
     order = F.struct(_order(seed).alias("order"), F.col("key"))
-    last = (
-        F.when(F.col("edge").isNull() | (order > F.col("edge")), F.lit(0).cast("bigint"))
-        .when(order < F.col("edge"), F.col("tokens"))
-        .otherwise(F.col("edge_taken"))
-    )
+    joined = joined.withColumn("at_edge", F.coalesce(order == F.col("edge"), F.lit(False)))
+    before = F.when(order < F.col("edge"), F.col("tokens")).otherwise(F.lit(0).cast("bigint"))
+    inner = joined.where(~F.col("at_edge")).withColumn("last", F.coalesce(before, F.lit(0).cast("bigint")))
+    # One text per leaf, and its copies.
+    edge = _numbered(cut_lineage(joined.where("at_edge"), "edge-rows"))
+    left = F.col("edge_rest") - F.col("copy") * F.col("tokens")
+    edge = edge.withColumn("last", F.greatest(F.lit(0).cast("bigint"), F.least(F.col("tokens"), left)))
     epochs = F.transform(
         F.sequence(F.lit(0).cast("bigint"), F.col("whole")),
-        lambda e: F.struct(e.cast("int").alias("epoch"), F.when(e < F.col("whole"), F.col("tokens")).otherwise(last).alias("taken")),
+        lambda e: F.struct(e.cast("int").alias("epoch"), F.when(e < F.col("whole"), F.col("tokens")).otherwise(F.col("last")).alias("taken")),
     )
+    columns = ["row", "domain", "lang", "source", "id", "tokens"]
     return (
-        joined.select("row", "domain", "lang", "source", "id", "tokens", F.explode(epochs).alias("e"))
+        inner.select(*columns, F.explode(epochs).alias("e"))
+        .unionByName(edge.select(*columns, F.explode(epochs).alias("e")))
         .where("e.taken > 0")
         .select("row", "domain", "lang", "source", "id", F.col("e.epoch").alias("epoch"), "tokens", F.col("e.taken").alias("taken"))
     )
 
 
+def _numbered(stored: DataFrame) -> DataFrame:
+    """`copy`: numbers from 0 among a leaf's rows, counted by partition of the stored table, so no leaf's rows meet in one task."""
+    placed = stored.withColumn("_part", F.spark_partition_id())
+    by = [*LEVELS, "_part"]
+    sizes = placed.groupBy(*by).agg(F.count("*").alias("_n"))
+    upto = F.sum("_n").over(W.partitionBy(*LEVELS).orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
+    offsets = sizes.select(*[F.col(k).alias(f"_{k}") for k in LEVELS], F.col("_part").alias("_of"), F.coalesce(upto, F.lit(0)).alias("_before"))
+    same = placed["_part"] == offsets["_of"]
+    for k in LEVELS:
+        same = same & placed[k].eqNullSafe(offsets[f"_{k}"])
+    within = F.row_number().over(W.partitionBy(*by).orderBy("id")) - 1
+    return placed.withColumn("_within", within).join(offsets, same).withColumn("copy", F.col("_before") + F.col("_within"))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six tenths of the corpus's tokens, mixed to the target weights."""
     mixed = mix(table(spark, sf_dir, "documents"), target_weights(spark), F.col("total") * 0.6)
