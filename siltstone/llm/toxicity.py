@@ -389,10 +389,11 @@ class ToxicityModel:
         return apply(text)
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 10_000, max_features: int = 4096, support: int = 4) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 10_000, max_features: int = 4096, support: int = 4, lift: float = 2.0) -> ToxicityModel:
     """Learn from rows that are not held out: at most `fit_rows` labelled ids, the first by a hash.
 
-    `support`: toxic texts of the sample that a feature must occur in.
+    `support`: toxic texts of the sample that a feature must occur in; `lift`: how much more
+    often it must stand in toxic texts than in others, as a logarithm.
     """
     model = language_model(docs)
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -419,16 +420,16 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 10_000, max_features
     pos, neg = kinds.get(1, 0), kinds.get(0, 0)
     if not pos or not neg:
         return ToxicityModel(model, {}, 30.0 if pos else -30.0)
-    lift = F.log((F.col("p") + 0.5) / (pos + 1.0)) - F.log((F.col("q") + 0.5) / (neg + 1.0))
+    gain = F.log((F.col("p") + 0.5) / (pos + 1.0)) - F.log((F.col("q") + 0.5) / (neg + 1.0))
     chosen = [
         r["feature"]
         for r in one.select("toxic", F.explode("features").alias("feature"))
         .groupBy("feature")
         .agg(F.sum("toxic").alias("p"), F.sum(1 - F.col("toxic")).alias("q"))
         .where(F.col("p") >= min(support, pos))
-        .withColumn("lift", lift)
-        .where("lift > 1")
-        .orderBy(F.desc(F.col("p") * F.col("lift")), "feature")
+        .withColumn("gain", gain)
+        .where(F.col("gain") > lift)
+        .orderBy(F.desc(F.col("p") * F.col("gain")), "feature")
         .limit(max_features)
         .select("feature")
         .collect()
