@@ -69,6 +69,37 @@ def best_first_beam(spark, sf):
     return traversal.best_first(links, seeds, lambda u: composite_score(u, SCORERS), beam=6, max_depth=4)
 
 
+# Links as the tables have them: suppliers and the parts they deliver, in both directions.
+SUPPLY_SQL = """
+pairs AS (SELECT DISTINCT 's/' || l_suppkey AS s, 'p/' || l_partkey AS p FROM lineitem),
+edges AS (SELECT s AS src, p AS dst FROM pairs UNION ALL SELECT p, s FROM pairs),
+seeds AS (SELECT 's/' || min(s_suppkey) AS url FROM supplier GROUP BY s_nationkey % 5)"""
+
+
+def supply_edges(spark, sf):
+    lines = table(spark, sf, "lineitem")
+    ends = F.struct(F.concat(F.lit("s/"), "l_suppkey").alias("src"), F.concat(F.lit("p/"), "l_partkey").alias("dst"))
+    pairs = lines.select(ends.alias("e")).select("e.*").distinct()
+    seeds = table(spark, sf, "supplier").groupBy(F.col("s_nationkey") % 5).agg(F.concat(F.lit("s/"), F.min("s_suppkey")).alias("url"))
+    return pairs.unionByName(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst"))), seeds.select("url")
+
+
+@check("bfs_supply", f"WITH {SUPPLY_SQL}, {levels_sql(3, 'NOT ends_with(dst, chr(55))')}")
+def bfs_supply(spark, sf):
+    links, seeds = supply_edges(spark, sf)
+    return traversal.bfs(links, seeds, 3, allowed=lambda u: ~F.endswith(u, F.lit("7")))
+
+
+SUPPLY_SCORERS = [KeywordScorer(["p/1", "5"]), PathDepthScorer(optimal=3)]
+SUPPLY_SCORE = "(contains(dst, 'p/1')::INT + contains(dst, '5')::INT) / 2.0"
+
+
+@check("best_first_supply", f"WITH {SUPPLY_SQL}, {levels_sql(4, 'TRUE', f'ORDER BY {SUPPLY_SCORE} DESC, dst LIMIT 10')}")
+def best_first_supply(spark, sf):
+    links, seeds = supply_edges(spark, sf)
+    return traversal.best_first(links, seeds, lambda u: composite_score(u, SUPPLY_SCORERS), beam=10, max_depth=4)
+
+
 LOG_SQL = """
 log AS (
   SELECT 'https://e.example/' || user_id || '/' || event_id % 300 AS url, ts, user_id % 4 AS part, event_id,

@@ -4,8 +4,10 @@ from pyspark.sql import functions as F
 
 from siltstone.operators import adaptive as A
 from siltstone.operators import pages as P
+from siltstone.operators import postings
 from siltstone.operators import ranking as R
 from siltstone.operators import terms
+from siltstone.scale import new_path
 
 from .pages import DEPTH_SQL, LINKS_SQL, TITLE_SQL
 from .registry import check, table
@@ -50,6 +52,15 @@ def kb_top_k(spark, sf):
     return best.select("doc_id", F.round("score", 6).alias("score"))
 
 
+@check("kb_top_k_stored", f"WITH {TOP_SQL} SELECT doc_id, round(score, 6) AS score FROM top")
+def kb_top_k_stored(spark, sf):
+    """The same from stored postings."""
+    path = new_path(spark, "postings")
+    postings.build_postings(table(spark, sf, "documents"), path, text="text", buckets=32)
+    best = postings.stored_top_k(spark, path, QUERY, 5)
+    return best.select(F.col("key").alias("doc_id"), F.round("score", 6).alias("score"))
+
+
 NEW_TERMS_SQL = f"""
 firsts AS (
   SELECT term, min(doc_id) AS doc_id FROM (SELECT doc_id, unnest({tokens_sql('lower(text)')}) AS term FROM documents) GROUP BY term

@@ -295,3 +295,34 @@ SELECT event_type, count(*) AS n, CAST(floor(min(epoch(ts))) AS BIGINT) AS first
 def event_time_late(spark, sf):
     late = event_time.late_rows(spark, event_time_job(spark, sf))
     return late.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.unix_seconds(F.min("ts").cast("timestamp")).alias("first_ts"))
+
+
+@check("stream_counters", """
+SELECT 2 * count(*) + count(*) FILTER (WHERE page_id % 10 = 3) AS records, count(*) FILTER (WHERE page_id % 10 = 3) AS dead,
+  count(DISTINCT url) AS discovered, TRUE AS visited_is_near, TRUE AS observed_all FROM pages""")
+def stream_counters(spark, sf):
+    """The counters of a discovery job over several micro-batches, and what a listener saw of it."""
+    pages = table(spark, sf, "pages")
+    base = new_path(spark, "counters")
+    value = F.to_json(F.struct("url"))
+    sent = topic_rows(pages, "discovery_queue", F.col("page_id"), value).unionByName(
+        topic_rows(pages, "discovery_queue", F.col("page_id") + 1_000_000_000, value)
+    ).unionByName(topic_rows(pages.where("page_id % 10 = 3"), "discovery_queue", F.col("page_id") + 2_000_000_000, F.lit("{broken")))
+    topics.write_topic(sent.repartition(4, "offset"), "json", f"{base}/topics")
+    seen = jobs.RunCounters()
+    spark.streams.addListener(seen)
+    try:
+        query = jobs.discovery(
+            spark,
+            topics.read_topic(spark, "json", f"{base}/topics", ["discovery_queue"], stream=True, max_per_trigger=1),
+            f"{base}/visited", f"{base}/work", f"{base}/checkpoint", f"{base}/dead", counters_path=f"{base}/counters",
+        )
+        query.awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(seen)
+    row = jobs.run_counters(spark, f"{base}/counters")
+    near = F.abs(F.col("visited") - F.col("discovered")) <= F.col("discovered") * 0.03 + 1
+    return row.select(
+        "records", "dead", "discovered", near.alias("visited_is_near"), (F.col("records") == seen.records[str(query.id)]).alias("observed_all")
+    )

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from siltstone.functions.vectors import cosine_distance
+from siltstone.operators import gap_links
 from siltstone.operators import vectors as V
 
 from .registry import check, table
@@ -87,3 +88,23 @@ reach(id, r) AS (SELECT vec_id, vec_id FROM doubled UNION SELECT reach.id, links
 SELECT id AS vec_id, min(r) AS cluster FROM reach GROUP BY id""")
 def cosine_clusters_bands(spark, sf):
     return V.similarity_labels(doubled(spark, sf), 0.05, method="bands")
+
+
+def greedy_sql(k: int) -> str:
+    """Choice by choice: the odd vector that covers most even ones that are still open."""
+    out = ["""covered AS (
+  SELECT a.vec_id AS link, b.vec_id AS gap FROM e a JOIN e b ON a.vec_id % 2 = 1 AND b.vec_id % 2 = 0 AND 1 - list_cosine_similarity(a.v, b.v) <= 0.8 + 1e-9)"""]
+    for i in range(1, k + 1):
+        closed = " UNION ALL ".join(f"SELECT gap FROM covered JOIN c{j} USING (link)" for j in range(1, i)) or "SELECT NULL WHERE FALSE"
+        out.append(
+            f"c{i} AS MATERIALIZED (SELECT link, count(*) AS gain FROM covered WHERE gap NOT IN ({closed}) GROUP BY link ORDER BY gain DESC, link LIMIT 1)"
+        )
+    return ", ".join(out) + " " + " UNION ALL ".join(f"SELECT CAST({i} AS INTEGER) AS rank, link, gain FROM c{i}" for i in range(1, k + 1))
+
+
+@check("gap_filling_links", f"WITH {VECTORS_SQL}, {greedy_sql(4)}")
+def gap_filling_links(spark, sf):
+    e = table(spark, sf, "embeddings")
+    links = e.where("vec_id % 2 = 1").select(F.col("vec_id").alias("link_id"), F.col("embedding").alias("vector"))
+    gaps = e.where("vec_id % 2 = 0").select(F.col("vec_id").alias("gap_id"), F.col("embedding").alias("vector"))
+    return gap_links.gap_filling_links(gap_links.covers(links, gaps, 0.8), 4)

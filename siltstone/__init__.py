@@ -30,10 +30,12 @@ from .operators.chunking import (  # noqa: E402
 )
 from .operators.entities import entities, entity_counts  # noqa: E402
 from .operators.frontier import counters, first_seen, session_summary, unvisited  # noqa: E402
+from .operators.gap_links import covers, gap_filling_links  # noqa: E402
 from .operators.gate import Policy, ask_and_gate, keyword_filter, keyword_policies, relevance_gate, score_relevance  # noqa: E402
 from .operators.links import filter_chain, filter_stats, intrinsic_score, score_stats, score_urls, seed_admission  # noqa: E402
 from .operators.pages import link_citations, link_preview, page_links, page_metadata, page_text, seed_discovery  # noqa: E402
 from .operators.policies import policy_matches  # noqa: E402
+from .operators.postings import build_postings, stored_bm25, stored_top_k  # noqa: E402
 from .operators.ranking import bm25, bm25_filter, new_terms, saturation_history, top_k  # noqa: E402
 from .operators.records import group_flush, to_bronze_record  # noqa: E402
 from .operators.terms import corpus_stats, semantic_records, term_stats, topic_keywords, trigram_counts, trigrams  # noqa: E402
@@ -49,7 +51,7 @@ from .sources.topics import decode, encode, next_offsets, read_topic, write_topi
 from .sources.visited import Visited  # noqa: E402
 from .streaming.event_time import count_windows, counted, late_rows, window_counts  # noqa: E402
 from .streaming.first_seen import earliest_messages, first_seen_job, settled  # noqa: E402
-from .streaming.jobs import IdleMonitor, discovery, first_seen_stream, ingest  # noqa: E402
+from .streaming.jobs import IdleMonitor, RunCounters, discovery, first_seen_stream, ingest, run_counters  # noqa: E402
 
 __version__ = "0.1.0"
 __all__ = [name for name in dir() if not name.startswith("_") and name not in ("sys", "cloudpickle")]

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import urls as U
 from ..functions.text import literal_array, tokens
-from ..scale import skew_join
-from .ranking import new_terms, query_terms, top_k
+from ..scale import cut_lineage, skew_join
+from .ranking import counted, new_terms, new_terms_of, query_terms, scored, statistics, top_k
 
 # When an adaptive crawl stops, and how many links it follows.
 CONFIDENCE_THRESHOLD = 0.6
@@ -29,6 +29,10 @@ def coverage(df: DataFrame, terms: Sequence[str] | str, text: str = "content") -
         F.count(F.lit(1)).alias("n"),
         *[F.count_if(F.array_contains("_t", t)).alias(f"df{i}") for i, t in enumerate(wanted)],
     )
+    return _coverage(seen, wanted)
+
+
+def _coverage(seen: DataFrame, wanted: Sequence[str]) -> DataFrame:
     parts = [F.sqrt(F.col(f"df{i}") / F.greatest("n", F.lit(1))) for i in range(len(wanted))]
     total = parts[0]
     for p in parts[1:]:
@@ -44,9 +48,12 @@ def consistency(
     Only those `k` documents meet; `k` is a small parameter.  Fewer than two give 0.
     """
     best = top_k(df, query, k, key=key, text=text)
-    sets = best.select(F.array_distinct(tokens(F.lower(F.col(text)))).alias("_s"), F.col(key)).agg(
-        F.sort_array(F.collect_list(F.struct(key, "_s"))).alias("_sets")
-    )
+    return _mean_jaccard(best.select(key, F.array_distinct(tokens(F.lower(F.col(text)))).alias("_s")), k, key)
+
+
+def _mean_jaccard(best: DataFrame, k: int, key: str) -> DataFrame:
+    """`best`: at most `k` rows (key, _s)."""
+    sets = best.agg(F.sort_array(F.collect_list(F.struct(key, "_s"))).alias("_sets"))
     found = F.col("_sets")
 
     def jaccard(a: Column, b: Column) -> Column:
@@ -69,7 +76,11 @@ def consistency(
 
 def saturation(df: DataFrame, order: str = "doc_id", text: str = "content") -> DataFrame:
     """One row: 1 - new terms of the last page / new terms of the first, within 0…1."""
-    ends = new_terms(df, order, text).agg(
+    return _saturation(new_terms(df, order, text), order)
+
+
+def _saturation(counts: DataFrame, order: str) -> DataFrame:
+    ends = counts.agg(
         F.min_by("new_terms", order).alias("first"), F.max_by("new_terms", order).alias("last")
     )
     raw = F.when(F.col("first") > 0, F.lit(1.0) - F.col("last") / F.col("first")).otherwise(F.lit(0.0))
@@ -138,15 +149,21 @@ def confidence(
 ) -> DataFrame:
     """One row: coverage, consistency, saturation, confidence, and why to stop (or NULL).
 
-    `best_gain(gain)` is the table of pending links; its maximum is used.
+    `best_gain(gain)` is the table of pending links; its maximum is used. The texts are read
+    and tokenised once; lengths, counts of the query's terms and sets of terms are
+    written, and every part reads the columns of its own.
     """
-    pages = df.agg(F.count(F.lit(1)).alias("pages"))
+    wanted = query_terms(query)
+    once = cut_lineage(counted(df.select(order, text), wanted, text, distinct=True).drop(text), "page-terms")
+    pages = once.agg(F.count(F.lit(1)).alias("pages"))
     gain = best_gain.agg(F.max("gain").alias("g")).scalar() if best_gain is not None else F.lit(None).cast("double")
+    seen = once.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(f"_tf{i}") > 0).alias(f"df{i}") for i in range(len(wanted))])
+    best = scored(once, statistics(once, len(wanted)), len(wanted)).orderBy(F.desc(F.round("score", 9)), order).limit(k)
     row = pages.withColumns(
         {
-            "coverage": coverage(df, query, text).scalar(),
-            "consistency": consistency(df, query, k, text, order).scalar(),
-            "saturation": saturation(df, order, text).scalar(),
+            "coverage": _coverage(seen, wanted).scalar(),
+            "consistency": _mean_jaccard(best.select(order, F.col("_set").alias("_s")), k, order).scalar(),
+            "saturation": _saturation(new_terms_of(once.select(order, "_set"), order), order).scalar(),
             "best_gain": gain,
         }
     )

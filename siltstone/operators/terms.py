@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.text import clean_tokens, tokens, trigram_array
-from ..scale import skew_join
+from ..scale import cut_lineage, skew_join
 
 
 def with_tokens(df: DataFrame, text: str = "content", out: str = "tokens", lower: bool = False) -> DataFrame:
@@ -102,13 +102,18 @@ def corpus_stats(df: DataFrame, text: str = "content") -> DataFrame:
 
 
 def topic_keywords(df: DataFrame, n: int = 3, key: str = "doc_id", text: str = "content") -> DataFrame:
-    """The `n` terms of highest tf-idf per document; ties go to the smaller term."""
-    terms = (
+    """The `n` terms of highest tf-idf per document; ties go to the smaller term.
+
+    The texts are tokenised once: counts per document and term are written, and read
+    for the documents per term and for the scores.
+    """
+    counts = (
         with_tokens(df.select(key, text), text, "_tokens", lower=True)
         .select(key, F.explode(clean_tokens("_tokens")).alias("term"))
         .groupBy(key, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
+    terms = cut_lineage(counts, "terms")
     n_docs = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     spread = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     scored = skew_join(terms, spread, "term", spread=[key], counts="df").withColumn(

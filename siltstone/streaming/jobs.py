@@ -52,8 +52,42 @@ class IdleMonitor(StreamingQueryListener):
         self.idle.pop(str(event.id), None)
 
 
+class RunCounters(StreamingQueryListener):
+    """Adds up what running topic queries observe, by query id: the records read so far."""
+
+    def __init__(self) -> None:
+        self.records: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.records.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        seen = event.progress.observedMetrics.get("topic")
+        if seen is not None:
+            name = str(event.progress.id)
+            self.records[name] = self.records.get(name, 0) + seen["records"]
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def run_counters(spark: SparkSession, path: str) -> DataFrame:
+    """One row over all micro-batches of a discovery job's `counters_path`.
+
+    `records`, `dead`, `discovered` are exact; `visited` is the number of distinct URLs by a
+    mergeable sketch, within 2 % (one sketch of some kilobytes per micro-batch).
+    """
+    union = F.hll_sketch_estimate(F.hll_union_agg("urls"))
+    return spark.read.parquet(path).agg(
+        F.sum("records").alias("records"), F.sum("dead").alias("dead"), F.sum("discovered").alias("discovered"), union.alias("visited")
+    )
+
+
 def _run(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, drain: bool) -> StreamingQuery:
-    counted = stream.observe("topic", F.count(F.lit(1)).alias("records"), F.max("offset").alias("last_offset"))
+    counted = stream.observe("topic", F.count(F.lit(1)).alias("records"))
 
     def once(batch: DataFrame, batch_id: int) -> None:
         # Several writes follow; the source is read for the first of them only.
@@ -95,6 +129,7 @@ def discovery(
     compact_every: int | None = 100,
     messages_path: str | None = None,
     per_bucket: int = PER_BUCKET,
+    counters_path: str | None = None,
 ) -> StreamingQuery:
     """Messages to first-seen URLs: a work list (url, language) and the visited table.
 
@@ -102,7 +137,8 @@ def discovery(
     visited table only what this micro-batch's URLs may be in is read (`Visited`); its
     index is made anew every `compact_every` micro-batches, from those that are
     committed.  `messages_path` also gets a visited message for every new URL, as a
-    file topic with a folder per micro-batch.
+    file topic with a folder per micro-batch, and `counters_path` a row of its counts
+    (`run_counters` adds them up).
     """
     _ensure(spark, visited_path, _VISITED)
     _ensure(spark, work_path, _WORK)
@@ -123,6 +159,13 @@ def discovery(
         _replace_batch(done.select("url"), visited_path, batch_id)
         if messages_path is not None:
             replace_messages(visited_messages(done), messages_path, VISITED_TOPIC, batch_id)
+        if counters_path is not None:
+            one = F.count(F.lit(1))
+            row = _messages(good).agg(
+                batch.agg(one).scalar().alias("records"), dead.agg(one).scalar().alias("dead"),
+                done.agg(one).scalar().alias("discovered"), F.hll_sketch_agg("url").alias("urls"),
+            )
+            _replace_batch(row, counters_path, batch_id)
         _replace_batch(dead.select("topic", "partition", "offset", "value", "error"), dead_path, batch_id)
 
     return _run(source, step, checkpoint, drain)

@@ -123,3 +123,34 @@ def test_hot_keys_meet_their_copies_in_many_tasks(frame, spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_corpus_operators_tokenise_once(spark, tmp_path, monkeypatch):
+    """Every write and the final plan together read the texts no more than twice (once for tokens, once for a count)."""
+    from siltstone import scale
+    from siltstone.operators import adaptive, ranking, terms
+
+    path = str(tmp_path / "docs")
+    spark.createDataFrame([(i, f"some words of page {i} and more {i % 3}") for i in range(30)], "doc_id long, content string").write.parquet(path)
+    df = spark.read.parquet(path)
+    reads, real = [], scale.cut_lineage
+
+    def scans(frame):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        return sum("content#" in line and "Relation" in line for line in plan.splitlines()), plan
+
+    def cut(frame, name="step"):
+        reads.append(scans(frame)[0])
+        return real(frame, name)
+
+    for module in (adaptive, ranking, terms):
+        monkeypatch.setattr(module, "cut_lineage", cut)
+    for run in (
+        lambda: adaptive.confidence(df, "words page more", order="doc_id"),
+        lambda: ranking.saturation_history(df, "doc_id"),
+        lambda: terms.topic_keywords(df),
+    ):
+        reads.clear()
+        out = run()
+        assert sum(reads) + scans(out)[0] <= 2 and sum(reads) >= 1
+        out.collect()

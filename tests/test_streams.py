@@ -140,6 +140,32 @@ def test_idle_monitor():
     assert quiet == ["q"]
 
 
+def test_listeners_on_a_running_query(spark, tmp_path):
+    """A query without a drain works its backlog off, goes quiet and is stopped; the counters saw every record."""
+    import threading
+
+    base, quiet = str(tmp_path), threading.Event()
+    send(spark, f"{base}/topics", [(1, message("a")), (2, message("b")), (3, "{bad")])
+    session = spark.newSession()
+    session.conf.set("spark.sql.streaming.noDataProgressEventInterval", "200")
+    monitor, seen = jobs.IdleMonitor(lambda name: quiet.set(), limit=2), jobs.RunCounters()
+    for listener in (monitor, seen):
+        session.streams.addListener(listener)
+    source = topics.read_topic(session, "json", f"{base}/topics", ["discovery_queue"], stream=True)
+    query = jobs.discovery(
+        session, source, f"{base}/visited", f"{base}/work", f"{base}/checkpoint", f"{base}/dead", drain=False, counters_path=f"{base}/counters"
+    )
+    try:
+        assert quiet.wait(60)
+    finally:
+        query.stop()
+        for listener in (monitor, seen):
+            session.streams.removeListener(listener)
+    assert seen.records[str(query.id)] == 3
+    row = jobs.run_counters(spark, f"{base}/counters").first()
+    assert (row.records, row.dead, row.discovered, row.visited) == (3, 1, 2, 2)
+
+
 class Reader:
     """Records the options a Kafka source would get; the connector is not on this class path."""
 
