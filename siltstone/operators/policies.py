@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..scale import cut_lineage
 
@@ -47,11 +48,14 @@ def _maybe_in(key: Column, bitmap: Column) -> Column:
 
 
 def _stretches(lowered: Column, lengths: list[int]) -> Column:
-    """Hashes of all stretches of the given lengths, each once; they carry their length."""
+    """Hashes of all stretches of the given lengths, each once.
+
+    A match takes one character and looks at those behind it, so a text is walked once per length
+    however long it is; `substring` would walk it from its beginning for every place.
+    """
 
     def of(n: int) -> Column:
-        places = F.sequence(F.lit(1), F.greatest(F.length(lowered) - (n - 1), F.lit(1)))
-        return F.transform(places, lambda i: F.xxhash64(F.substring(lowered, i, F.lit(n))))
+        return F.transform(F.regexp_extract_all(lowered, F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1)), lambda x: F.xxhash64(x))
 
     lists = [of(n) for n in lengths]
     return F.array_distinct(F.concat(*lists)) if len(lists) > 1 else F.array_distinct(lists[0])
@@ -66,16 +70,17 @@ def policy_matches(df: DataFrame, policies: DataFrame, key: str = "chunk_id", co
     """
     terms = cut_lineage(policy_terms(policies).withColumn("start", F.xxhash64(F.substring("term", 1, GRAM))), "policy-terms")
     found = terms.where("term <> ''")
-    # GRAM numbers at most.
-    lengths = sorted(r["n"] for r in found.select(F.least(F.length("term"), F.lit(GRAM)).alias("n")).distinct().collect())
+    # GRAM + 1 numbers at most; 0 stands for empty terms.
+    lengths = sorted(r["n"] for r in terms.select(F.least(F.length("term"), F.lit(GRAM)).alias("n")).distinct().collect())
     lowered = df.select(F.col(key).alias("_key"), F.lower(F.coalesce(F.col(content), F.lit(""))).alias("_text"))
-    # An empty term is in every record; only then does every record meet its policies.
-    anywhere = terms.where("term = ''").select("policy", "excludes", F.lit(1).alias("one"))
-    held = lowered.select("_key", F.lit(1).alias("one")).join(anywhere, "one").drop("one")
-    if lengths:
+    held = lowered.sparkSession.createDataFrame([], T.StructType([lowered.schema["_key"], terms.schema["policy"], terms.schema["excludes"]]))
+    if 0 in lengths:
+        # An empty term is in every record; only then does every record meet its policies.
+        held = lowered.select("_key").crossJoin(terms.where("term = ''").select("policy", "excludes"))
+    if sizes := [n for n in lengths if n]:
         distinct = found.select("term", "start").distinct()
         bitmap = _bitmap(found.select("start"), "start")
-        starts = F.filter(_stretches(F.col("_text"), lengths), lambda h: _maybe_in(h, F.col("_bits")))
+        starts = F.filter(_stretches(F.col("_text"), sizes), lambda h: _maybe_in(h, F.col("_bits")))
         hits = (
             lowered.withColumn("_bits", bitmap)
             .select("_key", "_text", F.explode(starts).alias("start"))

@@ -65,3 +65,12 @@ def test_ten_thousand_policies_plan_in_seconds(spark):
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert time.time() - began < 15 and len(plan) < 40_000
     assert got(result) == brute(rows, policies)
+
+
+def test_a_long_text_takes_time_in_proportion(spark):
+    text = " ".join(f"w{i:x}" for i in range(60_000)) + " the needle ends"
+    table = spark.createDataFrame([("p", ["needle e"], ["absent"]), ("q", ["needle"], ["w1 w2"])], POLICIES)
+    result = policy_matches(spark.createDataFrame([("long", text)], "chunk_id string, content string"), table)
+    began = time.time()
+    assert got(result) == {("long", "p")}
+    assert time.time() - began < 15
