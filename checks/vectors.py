@@ -107,4 +107,4 @@ def gap_filling_links(spark, sf):
     e = table(spark, sf, "embeddings")
     links = e.where("vec_id % 2 = 1").select(F.col("vec_id").alias("link_id"), F.col("embedding").alias("vector"))
     gaps = e.where("vec_id % 2 = 0").select(F.col("vec_id").alias("gap_id"), F.col("embedding").alias("vector"))
-    return gap_links.gap_filling_links(gap_links.covers(links, gaps, 0.8), 4)
+    return gap_links.gap_filling_links(gap_links.Covers(links, gaps, 0.8), 4)

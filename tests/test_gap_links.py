@@ -45,3 +45,22 @@ def test_covers_equals_all_cosines(spark, monkeypatch):
     got = {tuple(r) for r in gap_links.covers(links, gaps, 0.6).collect()}
     unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
     assert got == {(i, j) for i, j in zip(*np.nonzero(unit(x) @ unit(y).T >= 0.4))}
+
+
+@pytest.mark.parametrize("most", [1, 1024])
+def test_choices_store_no_pairs(spark, monkeypatch, most):
+    monkeypatch.setattr(gap_links, "TILE_ROWS", 16)
+    monkeypatch.setattr(gap_links, "STEP_ROWS", 5)
+    monkeypatch.setattr(gap_links, "ROUND", 2)
+    monkeypatch.setattr(gap_links, "MOST", most)
+    written = {}
+    monkeypatch.setattr(gap_links, "cut_lineage", lambda df, name, cut=gap_links.cut_lineage: written.setdefault((name, len(written)), cut(df, name)))
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(size=(60, 4)), rng.normal(size=(50, 4))
+    links = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(90, None)], "link_id long, vector array<double>")
+    gaps = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(y)], "gap_id long, vector array<double>")
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    pairs = list(zip(*(a.tolist() for a in np.nonzero(unit(x) @ unit(y).T >= 0.4))))
+    got = gap_links.gap_filling_links(gap_links.Covers(links, gaps, 0.6), 9)
+    assert [tuple(r) for r in got.orderBy("rank").collect()] == greedy(pairs, 9)
+    assert len(pairs) > 60 and all(df.count() <= 60 for df in written.values())
