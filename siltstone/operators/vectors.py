@@ -26,7 +26,10 @@ from ..functions.vectors import cosine, norm
 from ..scale import cut_lineage, skew_join
 from .components import connected_components
 
-TILE_ROWS = 4096
+TILE_ROWS = 16384
+# Rows of a tile that are multiplied at a time, and rows of a bucket or a batch that meet at once.
+STEP_ROWS = 1024
+BUCKET_ROWS = 4096
 MAX_PIVOTS = 4096
 MAX_QUERIES = 1024
 # Rows placed at a time: bounds the matrix of angles to all pivots.
@@ -45,6 +48,22 @@ def _unit(values: pd.Series) -> np.ndarray:
     return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
+def _packed(m: np.ndarray) -> np.ndarray:
+    """Every row as bytes, in single precision where that loses nothing: vectors travel and wait like this."""
+    with np.errstate(over="ignore"):
+        short = m.astype(np.float32)
+    out = np.empty(len(m), dtype=object)
+    for i, exact in enumerate((short == m).all(axis=1)):
+        out[i] = b"f" + short[i].tobytes() if exact else b"d" + m[i].tobytes()
+    return out
+
+
+def _directions(values: np.ndarray) -> np.ndarray:
+    """The packed vectors at unit length."""
+    m = np.array([np.frombuffer(v, np.float32 if v[:1] == b"f" else np.float64, offset=1) for v in values], dtype=np.float64)
+    return m / np.linalg.norm(m, axis=1, keepdims=True)
+
+
 def _angles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(a @ b.T, -1.0, 1.0))
 
@@ -84,7 +103,7 @@ def _placed(points: DataFrame, pivots: np.ndarray, angle: float) -> DataFrame:
     schema = T.StructType(
         [
             T.StructField("id", id_type),
-            T.StructField("vec", T.ArrayType(T.DoubleType())),
+            T.StructField("vec", T.BinaryType()),
             T.StructField("cell", T.IntegerType()),
             T.StructField("home", T.BooleanType()),
             T.StructField("core", T.BooleanType()),
@@ -93,8 +112,8 @@ def _placed(points: DataFrame, pivots: np.ndarray, angle: float) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in (b[i : i + PLACE_ROWS] for b in batches for i in range(0, len(b), PLACE_ROWS)):
-            unit = _unit(batch["vec"])
-            angles = _angles(unit, pivots)
+            raw = np.array(batch["vec"].tolist(), dtype=np.float64)
+            angles = _angles(raw / np.linalg.norm(raw, axis=1, keepdims=True), pivots)
             own = angles.argmin(axis=1)
             nearest = angles[np.arange(len(own)), own]
             reach = angles <= (nearest + 2 * angle + SLACK)[:, None]
@@ -104,7 +123,7 @@ def _placed(points: DataFrame, pivots: np.ndarray, angle: float) -> DataFrame:
             yield pd.DataFrame(
                 {
                     "id": batch["id"].to_numpy()[row],
-                    "vec": list(unit[row]),
+                    "vec": _packed(raw)[row],
                     "cell": cell.astype(np.int32),
                     "home": home,
                     "core": home & (nearest[row] <= angle / 2 - SLACK),
@@ -200,8 +219,12 @@ def _pair_of_tiles(threshold: float, answer: Answer, schema) -> Callable[[pd.Dat
             right = left
         if not len(left) or not len(right):
             return pd.DataFrame(columns=schema.names)
-        lv, rv = np.array(left["vec"].tolist()), np.array(right["vec"].tolist())
-        return answer(left["id"].to_numpy(), right["id"].to_numpy(), lv @ rv.T >= threshold - EPSILON)
+        lv, rv = _directions(left["vec"].to_numpy()), _directions(right["vec"].to_numpy())
+        ids, others = left["id"].to_numpy(), right["id"].to_numpy()
+        # A step of rows at a time, so that memory holds no square of a tile.
+        steps = range(0, len(ids), STEP_ROWS)
+        parts = [answer(ids[i : i + STEP_ROWS], others, lv[i : i + STEP_ROWS] @ rv.T >= threshold - EPSILON) for i in steps]
+        return pd.concat(parts, ignore_index=True).drop_duplicates()
 
     return run
 
@@ -220,22 +243,23 @@ def bands_for(threshold: float, recall: float) -> tuple[int, int]:
 
 
 def _banded(points: DataFrame, bands: int, bits: int) -> DataFrame:
-    """(id, vec, cell): every vector of unit length once per band; `cell` is the band's bits, its number and the vector's length."""
+    """(id, vec, cell): every vector, packed, once per band; `cell` is the band's bits, its number and the vector's length."""
     schema = T.StructType(
-        [points.schema["id"], T.StructField("vec", T.ArrayType(T.DoubleType())), T.StructField("cell", T.LongType())]
+        [points.schema["id"], T.StructField("vec", T.BinaryType()), T.StructField("cell", T.LongType())]
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in (b[i : i + PLACE_ROWS] for b in batches for i in range(0, len(b), PLACE_ROWS)):
             for dims, part in batch.groupby(batch["vec"].map(len)):
-                unit = _unit(part["vec"])
+                raw = np.array(part["vec"].tolist(), dtype=np.float64)
+                unit = raw / np.linalg.norm(raw, axis=1, keepdims=True)
                 # The same planes in every task, by seed.
                 planes = np.random.default_rng(dims).normal(size=(dims, bands * bits))
                 signs = (unit @ planes > 0).reshape(len(unit), bands, bits)
                 cell = signs @ (1 << np.arange(bits, dtype=np.int64)) + (np.arange(bands) << bits)
                 cell += dims << (bits + MAX_BANDS.bit_length())
                 yield pd.DataFrame(
-                    {"id": np.repeat(part["id"].to_numpy(), bands), "vec": [v for v in unit for _ in range(bands)], "cell": cell.ravel()}
+                    {"id": np.repeat(part["id"].to_numpy(), bands), "vec": np.repeat(_packed(raw), bands), "cell": cell.ravel()}
                 )
 
     return points.mapInPandas(run, schema)
@@ -247,18 +271,19 @@ def _compare_bands(points: DataFrame, threshold: float, answer: Answer, schema,
     sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     # Only what meets somebody is moved; the sizes are as many as buckets, so the join is Spark's to choose.
     shared = cut_lineage(placed.join(sizes, "cell"), "buckets")
-    half = TILE_ROWS // 2
+    tile_rows = min(TILE_ROWS, BUCKET_ROWS)
+    half = tile_rows // 2
     few = shared.where(F.col("n") <= half)
-    groups = few.count() // TILE_ROWS + 1
+    groups = few.count() // tile_rows + 1
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("cell", kind="stable")
-        ids, cells = rows["id"].to_numpy(), rows["cell"].to_numpy()
+        ids, cells, packed = rows["id"].to_numpy(), rows["cell"].to_numpy(), rows["vec"].to_numpy()
         found = [pd.DataFrame(columns=schema.names)]
         ends = np.append(np.flatnonzero(np.diff(cells)) + 1, len(cells))
         start = 0
         for end in ends:
-            unit = np.array(rows["vec"].iloc[start:end].tolist())
+            unit = _directions(packed[start:end])
             hits = unit @ unit.T >= threshold - EPSILON
             if hits.sum() > len(unit):
                 found.append(answer(ids[start:end], ids[start:end], hits))
@@ -440,7 +465,7 @@ def top_k_similar(
         matrix = _unit(pd.Series([r["vec"] for r in held]))
 
         def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in (b[i : i + TILE_ROWS] for b in batches for i in range(0, len(b), TILE_ROWS)):
+            for batch in (b[i : i + BUCKET_ROWS] for b in batches for i in range(0, len(b), BUCKET_ROWS)):
                 yield _best(matrix @ _unit(batch["vec"]).T, batch["id"].to_numpy(), names, k)
 
         best = points.mapInPandas(scan, schema)
@@ -452,7 +477,7 @@ def top_k_similar(
 
 
 def _tiled_best(points: DataFrame, asked: DataFrame, k: int, schema: T.StructType) -> DataFrame:
-    n_points = max(1, math.ceil(points.count() / TILE_ROWS))
+    n_points = max(1, math.ceil(points.count() / min(TILE_ROWS, BUCKET_ROWS)))
     n_asked = max(1, math.ceil(asked.count() / MAX_QUERIES))
 
     def tiles(n: int) -> Column:

@@ -155,3 +155,10 @@ def test_bands_with_no_rows_and_other_methods(spark):
     assert V.dedup(none, 0.9, method="bands").isEmpty() and V.similarity_labels(none, 0.1, method="bands").isEmpty()
     with pytest.raises(ValueError):
         V.dedup(none, 0.9, method="other")
+
+
+def test_packed_vectors_are_the_same_vectors():
+    m = np.array([[0.5, 0.25, 3.0], [0.1, 0.2, 1e300], [1e-320, 1.0, 0.0]])
+    packed = V._packed(m)
+    assert [v[:1] for v in packed] == [b"f", b"d", b"d"]
+    assert (V._directions(packed) == m / np.linalg.norm(m, axis=1, keepdims=True)).all()
