@@ -30,6 +30,7 @@ TILE_ROWS = 16384
 # Rows of a tile that are multiplied at a time, and rows of a bucket or a batch that meet at once.
 STEP_ROWS = 1024
 BUCKET_ROWS = 4096
+SHARED_ROWS = 128
 MAX_PIVOTS = 4096
 MAX_QUERIES = 1024
 # Rows placed at a time: bounds the matrix of angles to all pivots.
@@ -267,7 +268,9 @@ def _banded(points: DataFrame, bands: int, bits: int) -> DataFrame:
 
 def _compare_bands(points: DataFrame, threshold: float, answer: Answer, schema, recall: float) -> tuple[DataFrame, DataFrame]:
     """The same by buckets. Small buckets share groups of about a tile; larger ones are cut into tiles."""
-    placed = cut_lineage(_banded(points, *bands_for(threshold, recall)), "bands")
+    bands, bits = bands_for(threshold, recall)
+    shift = bits + MAX_BANDS.bit_length()
+    placed = cut_lineage(_banded(points, bands, bits), "bands")
     sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     # Only what meets somebody is moved; the sizes are as many as buckets, so the join is Spark's to choose.
     shared = cut_lineage(placed.join(sizes, "cell"), "buckets")
@@ -282,11 +285,16 @@ def _compare_bands(points: DataFrame, threshold: float, answer: Answer, schema,
         found = [pd.DataFrame(columns=schema.names)]
         ends = np.append(np.flatnonzero(np.diff(cells)) + 1, len(cells))
         start = 0
-        for end in ends:
-            unit = _directions(packed[start:end])
-            hits = unit @ unit.T >= threshold - EPSILON
-            if hits.sum() > len(unit):
-                found.append(answer(ids[start:end], ids[start:end], hits))
+        for k, end in enumerate(ends):
+            # Neighbouring small buckets of one length of vectors are compared in one go.
+            more = k + 1 < len(ends) and ends[k + 1] - start <= SHARED_ROWS and cells[start] >> shift == cells[end] >> shift
+            if more:
+                continue
+            unit, own = _directions(packed[start:end]), cells[start:end]
+            hits = (unit @ unit.T >= threshold - EPSILON) & (own[:, None] == own[None, :])
+            some = np.flatnonzero(hits.sum(axis=1) > 1)
+            if len(some):
+                found.append(answer(ids[start:end][some], ids[start:end][some], hits[np.ix_(some, some)]))
             start = end
         return pd.concat(found[1:] or found, ignore_index=True)
 

@@ -162,3 +162,26 @@ def test_packed_vectors_are_the_same_vectors():
     packed = V._packed(m)
     assert [v[:1] for v in packed] == [b"f", b"d", b"d"]
     assert (V._directions(packed) == m / np.linalg.norm(m, axis=1, keepdims=True)).all()
+
+
+def test_small_buckets_share_a_comparison(spark, monkeypatch):
+    """Pairs of near copies, of two lengths: far fewer answers than buckets, and the same clusters."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(60):
+        v = rng.normal(size=8 if i % 3 else 5)
+        rows += [(i, v.tolist()), (1000 + i, (v * 2).tolist())]
+    answers = spark.sparkContext.accumulator(0)
+    seen = spark.sparkContext.accumulator(0)
+    real = V._directions
+
+    def counted(values):
+        answers.add(1)
+        seen.add(len(values))
+        return real(values)
+
+    monkeypatch.setattr(V, "_directions", counted)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {tuple(r) for r in V.similarity_labels(df, 0.001, method="bands").collect()}
+    assert got == {(i, i) for i in range(60)} | {(1000 + i, i) for i in range(60)}
+    assert answers.value * 20 < seen.value
