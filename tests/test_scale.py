@@ -78,3 +78,12 @@ def test_group_buffer(frame, n, ready):
     rows = group_flush(df, min_group=5).collect()
     assert {r.offset for r in rows if r.ready} == set(range(ready))
     assert group_flush(df).where("ready").count() == n
+
+
+def test_spread_text_bounds_a_task(spark):
+    rows = spark.range(200).coalesce(1).select("id", F.concat(F.lit("x" * 95), F.lpad(F.col("id").cast("string"), 5, "0")).alias("t"))
+    dealt = scale.spread_text(rows, "t", 1000)
+    sizes = [r["n"] for r in dealt.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert dealt.rdd.getNumPartitions() == 20 and max(sizes) < 40
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, rows.collect()))
+    assert scale.spread_text(rows, "t", 100_000) is rows

@@ -6,6 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from siltstone import scale
 from siltstone.operators import adaptive, frontier, links, pages, ranking, terms, traversal
 from siltstone.operators import entities as E
 
@@ -128,8 +129,7 @@ def test_semantic_records(frame):
 
 
 def test_bm25_by_hand(frame):
-    import math
-
+    
     df = frame([(1, "x x y"), (2, "y z"), (3, "z z z z")], "doc_id int, content string")
     got = {r.doc_id: r.score for r in ranking.bm25(df, "X q").collect()}
     idf = math.log(1 + 2.5 / 1.5)
@@ -210,3 +210,14 @@ def test_a_megabyte_of_junk_takes_seconds(frame):
         start = time.time()
         E.entities(df, labels=["email", "percentage"]).write.format("noop").mode("overwrite").save()
         assert time.time() - start < 6, junk[:10]
+
+
+def test_trigrams_are_combined_in_bounded_tasks(frame, monkeypatch):
+    monkeypatch.setattr(scale, "TASK_CHARS", 50)
+    df = frame([(i, "the cat sat on the mat" if i % 2 else "the cat sat") for i in range(40)], "doc_id int, content string").coalesce(1)
+    counts = terms.trigram_counts(df)
+    assert {r["gram"]: r["n"] for r in counts.collect()} == {
+        "the cat sat": 40, "cat sat on": 20, "sat on the": 20, "on the mat": 20
+    }
+    # The texts are dealt over tasks before a triple is made.
+    assert "hashpartitioning(_dealt" in counts._jdf.queryExecution().executedPlan().toString()
