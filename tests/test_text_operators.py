@@ -1,7 +1,9 @@
 """Entities, pages, links, terms and ranking on hand-written rows."""
 
+import math
 import re
 import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -129,7 +131,8 @@ def test_semantic_records(frame):
 
 
 def test_bm25_by_hand(frame):
-    
+    import math
+
     df = frame([(1, "x x y"), (2, "y z"), (3, "z z z z")], "doc_id int, content string")
     got = {r.doc_id: r.score for r in ranking.bm25(df, "X q").collect()}
     idf = math.log(1 + 2.5 / 1.5)
@@ -221,3 +224,26 @@ def test_trigrams_are_combined_in_bounded_tasks(frame, monkeypatch):
     }
     # The texts are dealt over tasks before a triple is made.
     assert "hashpartitioning(_dealt" in counts._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("frequent", [0, 2, 100])
+def test_topic_keywords_move_texts_and_rare_terms_only(frame, monkeypatch, frequent):
+    plans, cut = [], terms.cut_lineage
+
+    def recorded(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df, name)
+
+    monkeypatch.setattr(terms, "cut_lineage", recorded)
+    monkeypatch.setattr(terms, "FREQUENT_TERMS", frequent)
+    rows = [(1, "apple apple pear plum"), (1, "plum apple"), (2, "pear pear fig"), (None, "fig fig quince"), (3, None), (4, "")]
+    found = terms.topic_keywords(frame(rows, "doc_id int, content string"), 2)
+    tf = Counter((k, t) for k, text in rows for t in (text or "").split() if t not in ("the",))
+    df = Counter(t for _, t in tf)
+    scores = {}
+    for (k, t), n in tf.items():
+        scores.setdefault(k, []).append((-round(n * math.log(len(rows) / df[t]), 9), t, n))
+    want = {(k, place, t, n) for k, found_ in scores.items() for place, (_, t, n) in enumerate(sorted(found_)[:2], 1)}
+    assert {(r["doc_id"], r["rank"], r["term"], r["tf"]) for r in found.collect()} == want
+    # Words are counted where their texts lie, not shuffled by document and term.
+    assert not re.search(r"hashpartitioning\(doc_id#\d+, term#", plans[0])
