@@ -30,14 +30,15 @@ def hashed(df: DataFrame) -> DataFrame:
     return df.withColumn("content_hash", F.sha2("content", 256))
 
 
-def deduped(df: DataFrame) -> DataFrame:
+def deduped(df: DataFrame, placed_by: Sequence[str] = ()) -> DataFrame:
     """The earliest record per (source, content_hash); ties go to the smaller chunk id.
 
     `row_number = 1` lets Spark drop later copies in every map task before the
     shuffle, so boilerplate that fills a third of the lake still reaches one
-    reducer only once per task.
+    reducer only once per task. `placed_by` are functions of source and content_hash by which
+    `df` was repartitioned: then nothing is shuffled again.
     """
-    first = W.partitionBy("source", "content_hash").orderBy("ingested_at", "chunk_id")
+    first = W.partitionBy(*placed_by, "source", "content_hash").orderBy("ingested_at", "chunk_id")
     return df.withColumn("rn", F.row_number().over(first)).where(F.col("rn") == 1)
 
 

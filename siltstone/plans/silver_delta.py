@@ -51,9 +51,11 @@ def apply_batch(spark: SparkSession, delta: DataFrame, root: str, batch: int, bu
         if stored is not None:
             kept = _newest(stored.where(F.col("bucket").isin(touched)), batch)
             rows = rows.unionByName(kept.drop("batch"), allowMissingColumns=True)
-        rows = deduped(rows).drop("rn").withColumn("batch", F.lit(batch))
+        # Moved once, by bucket: copies meet where the bucket is written.
+        rows = rows.repartition(max(1, min(len(touched), 4096)), "bucket")
+        rows = deduped(rows, ["bucket"]).drop("rn").withColumn("batch", F.lit(batch))
         # One writer per bucket; only this batch's folders are replaced.
-        writer = rows.repartition(max(1, min(len(touched), 4096)), "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("bucket", "batch").parquet(root)
     finally:
         fresh.unpersist()

@@ -175,3 +175,12 @@ def test_a_payload_is_parsed_once(spark):
     for side in topics.decode(df, DISCOVERY, required=("url",)):
         plan = side._jdf.queryExecution().optimizedPlan().toString()
         assert plan.lower().count("from_json") + plan.count("JsonToStructs") == 1
+
+
+def test_silver_rows_placed_by_bucket_are_not_shuffled_again(frame):
+    rows = [("a", "x", "s1", 2.0), ("b", "x", "s1", 1.0), ("c", "x", "s2", 3.0), ("d", "y", "s1", 4.0), ("e", None, "s1", 5.0), ("f", None, "s1", 6.0)]
+    df = silver.hashed(frame(rows, "chunk_id string, content string, source string, ingested_at double"))
+    placed = df.withColumn("bucket", F.pmod(F.xxhash64("source", "content_hash"), F.lit(4)).cast("int")).repartition(3, "bucket")
+    kept = silver.deduped(placed, ["bucket"])
+    assert kept._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert sorted(r["chunk_id"] for r in kept.collect()) == ["b", "c", "d", "e"]
