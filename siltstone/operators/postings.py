@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
+from ..scale import text_parts
 from .ranking import query_terms
 
 BUCKETS = 256
@@ -26,11 +27,13 @@ def build_postings(df: DataFrame, path: str, key: str = "doc_id", text: str = "c
     no join; inside a bucket terms are sorted, so a file's row groups can be skipped by term.
     """
     words = tokens(F.lower(F.coalesce(F.col(text), F.lit(""))))
-    counted = df.select(F.col(key).alias("key"), F.size(words).alias("length"), words.alias("_words"))
-    # Counts of a document's terms are combined in the map task that holds it.
-    tf = counted.select("key", "length", F.explode("_words").alias("term")).groupBy("key", "length", "term").agg(F.count(F.lit(1)).alias("tf"))
+    counts_of = [F.col(key).alias("key"), F.size(words).alias("length"), words.alias("_words")]
+    counted = df.select(*counts_of)
+    # The texts, not their words, are brought together by key; their terms are counted where they then lie.
+    parts = max(text_parts(df, text), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    tf = df.repartition(parts, key).select(*counts_of).select("key", "length", F.explode("_words").alias("term")).groupBy("key", "length", "term").agg(F.count(F.lit(1)).alias("tf"))
     placed = tf.withColumn("bucket", _bucket("term", buckets)).repartition(
-        buckets, "bucket", F.pmod(F.xxhash64("key"), F.lit(SPLITS))
+        min(buckets * SPLITS, max(buckets, parts)), "bucket", F.pmod(F.xxhash64("key"), F.lit(SPLITS))
     )
     placed.sortWithinPartitions("bucket", "term", "key").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
     spark = df.sparkSession

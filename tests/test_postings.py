@@ -44,3 +44,13 @@ def test_empty_table(spark, tmp_path):
     postings.build_postings(none, str(tmp_path / "i"), buckets=4)
     spark_rows = spark.read.parquet(str(tmp_path / "i" / "lengths"))
     assert spark_rows.isEmpty()
+
+
+def test_a_bucket_is_sorted_by_more_than_one_task(frame, tmp_path, monkeypatch):
+    """The tasks that sort and write grow with the text, up to `SPLITS` a bucket."""
+    monkeypatch.setattr(postings, "text_parts", lambda df, text: 64)
+    df = frame([(i, " ".join(f"w{(i * 7 + j) % 50}" for j in range(20))) for i in range(200)], "doc_id int, content string")
+    postings.build_postings(df, str(tmp_path / "i"), buckets=4)
+    assert len(list((tmp_path / "i" / "postings").glob("bucket=*/*.parquet"))) > 16
+    stored = df.sparkSession.read.parquet(str(tmp_path / "i" / "postings"))
+    assert stored.agg({"tf": "sum"}).first()[0] == 200 * 20
