@@ -87,3 +87,14 @@ def test_spread_text_bounds_a_task(spark):
     assert dealt.rdd.getNumPartitions() == 20 and max(sizes) < 40
     assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, rows.collect()))
     assert scale.spread_text(rows, "t", 100_000) is rows
+
+
+@pytest.mark.parametrize("hot_rows", [1, 5, 10_000])
+def test_lookup_join_equals_a_join(frame, monkeypatch, hot_rows):
+    monkeypatch.setattr(scale, "HOT_ROWS", hot_rows)
+    monkeypatch.setattr(scale, "HOT_KEYS", 3)
+    keys = ["a"] * 30 + ["b"] * 7 + ["c", "d", "e", "\x000", None, "only left"]
+    left = frame(list(enumerate(keys)), "i int, k string")
+    right = frame([("a", 30, 1), ("b", 7, None), ("c", 1, 3), ("d", 1, 4), ("e", 1, 5), ("\x000", 1, 6), (None, 1, 7), ("only right", 1, 8)], "k string, n int, v int")
+    got = scale.lookup_join(left, right, "k", ["i"], "n").select("i", "k", "n", "v").collect()
+    assert sorted(map(str, got)) == sorted(map(str, left.join(right, "k").select("i", "k", "n", "v").collect()))

@@ -247,3 +247,19 @@ def test_topic_keywords_move_texts_and_rare_terms_only(frame, monkeypatch, frequ
     assert {(r["doc_id"], r["rank"], r["term"], r["tf"]) for r in found.collect()} == want
     # Words are counted where their texts lie, not shuffled by document and term.
     assert not re.search(r"hashpartitioning\(doc_id#\d+, term#", plans[0])
+
+
+def test_semantic_records_name_their_vectors(frame, monkeypatch):
+    monkeypatch.setattr(scale, "HOT_ROWS", 3)
+    texts = ["a b c d", "a b c", "a b c a b c", "x y", None, "q r s"]
+    df = frame([(f"c{i}", "u", "en", t) for i, t in enumerate(texts)], "chunk_id string, source_url string, language string, content string")
+    names = F.when(F.col("gram") == "q r s", 9).otherwise(F.when(F.col("gram").startswith("a"), 1).otherwise(2))
+    named = terms.trigram_counts(df).withColumn("vec_id", names)
+    store = frame([(1, [1.0, 2.0]), (2, [3.0]), (3, [4.0]), (9, None)], "vec_id int, embedding array<float>")
+    found = terms.semantic_records(df, vectors=named, store=store, counts="n")
+    whole = terms.semantic_records(df, vectors=named.drop("n").join(store, "vec_id"))
+    assert sorted(found.columns) == sorted(whole.columns)
+    order = sorted(whole.columns)
+    assert sorted(map(str, found.select(order).collect())) == sorted(map(str, whole.select(order).collect()))
+    with pytest.raises(ValueError):
+        terms.semantic_records(df, embedder=lambda s: [], store=store)
