@@ -571,3 +571,13 @@ def test_bitmap_never_loses_a_key(spark):
     assert keys.where(common.maybe_in(F.col("k"), common.key_bitmap(keys, "k", 1 << 10), 1 << 10)).count() == 5000
     other = spark.range(5000, 9000).select(F.xxhash64("id").alias("k"))
     assert other.where(common.maybe_in(F.col("k"), common.key_bitmap(keys, "k"))).count() < 20
+
+
+def test_a_shard_is_moved_once_for_all_queries(spark):
+    docs = spark.createDataFrame([(i, f"common w{i % 7} v{i % 11}") for i in range(60)], "doc_id long, text string")
+    # More shards than are filled, and a query a block.
+    found = bm25_search.search(docs, docs.where("doc_id % 6 = 0"), k=3, shard=1, block=1)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" not in plan and plan.count("explode(sequence") <= 1
+    whole = bm25_search.search(docs, docs.where("doc_id % 6 = 0"), k=3)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.collect())) and found.count() == 30
