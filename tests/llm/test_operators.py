@@ -534,6 +534,24 @@ def test_lines_with_a_word_replaced_are_found(spark):
     assert len(near) > 100 and [tuple(r) for r in line_dedup.repeated_lines(some).orderBy("doc_id").collect()] == [(k, 1) for k in near]
 
 
+def test_fuzzy_lines_shuffle_no_shingle_and_fetch_only_likely_lines(spark):
+    rng = random.Random(31)
+    full = lambda t: {t[i : i + 5] for i in range(len(t) - 4)}
+    texts = [prose(rng, rng.randint(20, 60)) for _ in range(60)]
+    # One in three is followed by a close one.
+    texts += [t + " " + prose(rng, 2) for t in texts[::3]]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    sketched = line_dedup.sketches(line_dedup.distinct_lines(docs))
+    # The lines are dealt by node once; their shingles are counted where they are.
+    plan = sketched._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    node = {r.line: r.node for r in line_dedup.lines(docs).collect()}
+    pairs = [(node[x], node[y], full(x), full(y)) for i, x in enumerate(texts) for y in texts[:i]]
+    similar = {(a, b) for a, b, x, y in pairs if len(x & y) / len(x | y) >= 0.8}
+    found = {tuple(r) for r in line_dedup.likely(spark.createDataFrame([p[:2] for p in pairs], "a long, b long"), sketched, 0.8).collect()}
+    assert len(similar) >= 15 and similar <= found and len(found) < len(pairs) / 10
+
+
 def test_bm25_equals_scoring_everything(docs):
     rows = {}
     # Some ids are negative.
