@@ -42,8 +42,10 @@ STARS = 3
 SMALL = 32
 # Larger ones in blocks of about so many.
 BLOCK = 512
+# Words that are sketched at a time.
+AT_ONCE = 1 << 18
 # Shingles whose overlaps are counted at a time.
-SLICE = 4096
+SLICE = 1024
 _U = np.uint64
 
 
@@ -111,6 +113,27 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
     return float(np.sum(1.0 / ((tail_x[k] + only_a) / x + (head_y[k] + only_b) / y)))
 
 
+def sketched(batches: Iterator[pd.DataFrame], bands: int, rows: int) -> Iterator[pd.DataFrame]:
+    """The rows of `sketches`; a batch is taken by words, so that long texts need no more memory than short ones."""
+    for batch in batches:
+        ends = batch["h"].map(len).to_numpy(dtype=np.int64).cumsum() // AT_ONCE
+        for span in np.split(np.arange(len(batch)), np.flatnonzero(np.diff(ends)) + 1):
+            part = batch.iloc[span]
+            nodes = part["node"].to_numpy()
+            once = np.unique(nodes, return_index=True)[1]
+            texts = [shingle_counts(h) for h in part["h"].to_numpy()[once]]
+            some = [k for k, (s, _) in enumerate(texts) if len(s)]
+            sign = prob_minhash([texts[k] for k in some], bands * rows)
+            with np.errstate(over="ignore"):
+                key = np.zeros((len(some), bands), _U) + np.arange(bands, dtype=_U)
+                for r in range(rows):
+                    key = _mix(key * _U(0x9E3779B97F4A7C15) + sign[:, r::rows])
+            out: list = [None] * len(part)
+            for k, row in zip(some, key.view(np.int64), strict=True):
+                out[once[k]] = row
+            yield pd.DataFrame({"doc_id": part["doc_id"].array, "text_key": part["text_key"].array, "node": nodes, "bands": out})
+
+
 def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, text_key, node, bands): node identifies the word sequence, bands its band hashes.
 
@@ -119,26 +142,8 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
     hashed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), word_hashes("text").alias("h"))
     hashed = hashed.select("doc_id", "text_key", F.xxhash64("h", F.size("h")).alias("node"), "h")
 
-    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for start in range(0, len(batch), 2000):
-                part = batch.iloc[start : start + 2000]
-                nodes = part["node"].to_numpy()
-                once = np.unique(nodes, return_index=True)[1]
-                texts = [shingle_counts(h) for h in part["h"].to_numpy()[once]]
-                some = [k for k, (s, _) in enumerate(texts) if len(s)]
-                sign = prob_minhash([texts[k] for k in some], bands * rows)
-                with np.errstate(over="ignore"):
-                    key = np.zeros((len(some), bands), _U) + np.arange(bands, dtype=_U)
-                    for r in range(rows):
-                        key = _mix(key * _U(0x9E3779B97F4A7C15) + sign[:, r::rows])
-                out: list = [None] * len(part)
-                for k, row in zip(some, key.view(np.int64), strict=True):
-                    out[once[k]] = row
-                yield pd.DataFrame({"doc_id": part["doc_id"].array, "text_key": part["text_key"].array, "node": nodes, "bands": out})
-
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return hashed.mapInPandas(sketch, f"doc_id {kind}, text_key long, node long, bands array<long>")
+    return hashed.mapInPandas(lambda batches: sketched(batches, bands, rows), f"doc_id {kind}, text_key long, node long, bands array<long>")
 
 
 def word_lists(docs: DataFrame, members: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -193,18 +198,18 @@ def overlaps(left: list[tuple[np.ndarray, np.ndarray]], right: list[tuple[np.nda
         order = order[np.isin(items[order], common)]
         placed.append((owner[order], np.searchsorted(common, items[order]), weight[order]))
     count, in_left, in_right = np.zeros((3, len(left), len(right)))
+    # One pair of tables a side, filled anew for each slice.
+    tables = [np.zeros((2, len(lists), SLICE), np.float32) for lists in (left, right)]
     for start in range(0, len(common), SLICE):
-        ones, weights = [], []
-        for (owner, spot, weight), n in zip(placed, (len(left), len(right)), strict=True):
+        for (owner, spot, weight), dense in zip(placed, tables, strict=True):
             part = slice(*np.searchsorted(spot, [start, start + SLICE]))
-            dense = np.zeros((2, n, SLICE), np.float32)
+            dense[:] = 0
             dense[0, owner[part], spot[part] - start] = 1
             dense[1, owner[part], spot[part] - start] = weight[part]
-            ones.append(dense[0])
-            weights.append(dense[1])
-        count += ones[0] @ ones[1].T
-        in_left += weights[0] @ ones[1].T
-        in_right += ones[0] @ weights[1].T
+        (ones_left, weights_left), (ones_right, weights_right) = tables
+        count += ones_left @ ones_right.T
+        in_left += weights_left @ ones_right.T
+        in_right += ones_left @ weights_right.T
     return count, in_left, in_right
 
 

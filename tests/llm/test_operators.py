@@ -552,6 +552,19 @@ def test_fuzzy_lines_shuffle_no_shingle_and_fetch_only_likely_lines(spark):
     assert len(similar) >= 15 and similar <= found and len(found) < len(pairs) / 10
 
 
+def test_near_duplicate_sketches_are_bounded_by_words_not_rows(monkeypatch):
+    np, pd = near_dedup.np, near_dedup.pd
+    lists = [np.arange(60 + k % 7) + 1000 * k for k in range(50)] + [np.zeros(0, np.int64), np.arange(400) - 500]
+    frame = pd.DataFrame({"doc_id": range(52), "text_key": 0, "node": range(52), "h": lists})
+    read = lambda: pd.concat(near_dedup.sketched([frame], near_dedup.BANDS, near_dedup.ROWS))
+    whole, held, arrays = read(), [], near_dedup.prob_minhash
+    monkeypatch.setattr(near_dedup, "prob_minhash", lambda texts, n: (held.append(sum(int(w.sum()) for _, w in texts)), arrays(texts, n))[1])
+    monkeypatch.setattr(near_dedup, "AT_ONCE", 100)
+    small = read()
+    assert small["doc_id"].tolist() == list(range(52)) and len(held) > 20 and sorted(held)[-2] <= 166
+    assert all((x is None and y is None) or x.tolist() == y.tolist() for x, y in zip(whole["bands"], small["bands"], strict=True))
+
+
 def test_bm25_equals_scoring_everything(docs):
     rows = {}
     # Some ids are negative.
