@@ -612,3 +612,55 @@ def test_a_shard_is_moved_once_for_all_queries(spark):
     assert "CoGroup" not in plan and plan.count("explode(sequence") <= 1
     whole = bm25_search.search(docs, docs.where("doc_id % 6 = 0"), k=3)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.collect())) and found.count() == 30
+
+
+def test_shards_and_queries_meet_without_copies_on_disk(spark):
+    docs = spark.createDataFrame([(i, f"common w{i % 7} v{i % 11}") for i in range(60)], "doc_id long, text string")
+    found = bm25_search.search(docs, docs.where("doc_id % 6 = 0"), k=3, shard=8, block=2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # Below the pairs of partitions both sides are read from the shared folder.
+    met = plan[plan.index("CartesianProduct"):]
+    assert "Exchange" not in met and "explode" not in met and met.count("parquet") >= 2
+
+
+def test_query_blocks_are_bounded_and_hold_every_query(spark):
+    rows = [(q, [(100 * q + t, t / 7) for t in range(q % 5 + 1)]) for q in range(-20, 20)] + [(99, [(t, 1.0) for t in range(50)])]
+    weighed = spark.createDataFrame(rows, "query_id long, t array<struct<term: long, idf: double>>").repartition(3)
+    blocks = bm25_search.query_blocks(weighed, len(rows), 6, 12).collect()
+    got = {}
+    for b in blocks:
+        assert len(b.query_ids) <= 6 and (sum(b.sizes) <= 12 or len(b.sizes) == 1)
+        asked, idf, start = np.frombuffer(b.asked, "<i8"), np.frombuffer(b.idf, "<f8"), 0
+        for q, n in zip(b.query_ids, b.sizes):
+            got[q] = [*zip(asked[start : start + n].tolist(), idf[start : start + n].tolist())]
+            start += n
+    assert got == dict(rows)
+
+
+def test_first_blocks_rest_and_whole_lists_give_the_same_best(docs, monkeypatch):
+    row = bm25_search.build_index(docs).toPandas().iloc[0]
+    monkeypatch.setattr(bm25_search, "BLOCK", 2)
+    shard = bm25_search._Shard(row, 60.0)
+    rng = np.random.default_rng(3)
+    for _ in range(30):
+        some = np.sort(rng.choice(len(row.terms), rng.integers(1, 40), replace=False))
+        idf = rng.random(len(some)) + 0.01
+        score = np.zeros(len(row.ids))
+        for t, g in zip(some, idf):
+            posts = slice(row.starts[t], row.starts[t + 1])
+            np.add.at(score, shard.owner[posts], g * shard.weight[posts])
+        own = row.ids[rng.integers(len(row.ids))]
+        want = sorted((-round(x, 6), i) for x, i in zip(score, row.ids) if x > 0 and i not in (own, bm25_search.NO_ID))[:4]
+        for first, dense in ((1, 0), (1, 4), (3, 1000)):  # parts of lists only, either, whole lists only
+            monkeypatch.setattr(bm25_search, "FIRST", first)
+            monkeypatch.setattr(bm25_search, "DENSE", dense)
+            ids, scores = shard.top(own, row.terms[some], idf, 4)
+            assert ids.tolist() == [i for _, i in want] and scores == pytest.approx([-x for x, _ in want], abs=2e-6)
+
+
+@pytest.mark.parametrize("most", [0, 255, 256, 65535, 65536, 1 << 31])
+def test_postings_are_stored_as_narrow_as_they_fit(most):
+    values = np.array([0, 7, most, 1], dtype=np.int64)
+    data = bm25_search._narrow(values)
+    assert bm25_search._wide(data, 4).tolist() == values.tolist() and len(data) == 4 * (1 if most < 256 else 2 if most < 65536 else 4)
+    assert len(bm25_search._wide(bm25_search._narrow(values[:0]), 0)) == 0
