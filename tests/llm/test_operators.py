@@ -664,3 +664,30 @@ def test_postings_are_stored_as_narrow_as_they_fit(most):
     data = bm25_search._narrow(values)
     assert bm25_search._wide(data, 4).tolist() == values.tolist() and len(data) == 4 * (1 if most < 256 else 2 if most < 65536 else 4)
     assert len(bm25_search._wide(bm25_search._narrow(values[:0]), 0)) == 0
+
+
+def test_pieces_hold_every_stretch_once(spark):
+    rng = random.Random(12)
+    texts = ["", "ab", "abcd", "abcde", "A  b   c d e", "日本語の文章は" * 20, "a\U0001f600b" * 40] + [prose(rng, 200)[:n] for n in (31, 32, 33, 35, 36, 37, 40, 64, 68, 69, 100, 321)]
+    rows = spark.createDataFrame([*enumerate(texts)], "node long, line string")
+    got = {}
+    for r in line_dedup.stretch_rows(rows).collect():
+        got.setdefault(r.node, []).append(r.s)
+    want = {r.node: r.s for r in rows.select("node", line_dedup._stretches(F.col("line")).alias("s")).collect()}
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+
+
+def test_line_bands_lose_no_more_pairs_and_propose_few_unlike_ones():
+    bands = line_dedup.band_registers()
+    assert all(len(set(x) & set(y)) <= 1 for x in bands for y in bands if x is not y)
+    assert {len(set(b)) for b in bands} == {line_dedup.ROWS} and set().union(*bands) == set(range(line_dedup.REGISTERS))
+    rng = np.random.default_rng(3)
+
+    def shared(j, n):
+        agree = rng.random((n, line_dedup.REGISTERS), dtype=np.float32) < j
+        return np.logical_or.reduce([agree[:, b].all(1) for b in bands])
+
+    for j in (0.8, 0.85):
+        assert 1 - shared(j, 400_000).mean() < (1 - j**3) ** 10 + 1e-4
+    # Ten bands of three let 1 % and 15 % through.
+    assert shared(0.1, 400_000).mean() < 1e-3 and shared(0.25, 400_000).mean() < 0.03
