@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add, or_
@@ -15,7 +16,7 @@ from ..functions.text import let
 # A value is whole, however long. A repeat that a later character decides about is tried
 # from the beginning of its run only and never given back in parts, so junk text costs linear time and no stack.
 PATTERNS: dict[str, tuple[str, str, bool]] = {
-    "email": (r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "@", False),
+    "email": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "@", False),
     "phone_intl": (r"\+[0-9]{1,3}[ .-]?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){2,4}", "+", True),
     "phone_us": (r"\(?[2-9][0-9]{2}\)?[ .-][2-9][0-9]{2}[ .-][0-9]{4}", "", True),
     "url": (r"https?://[^\s\"'<>]+", ":", False),
@@ -23,7 +24,7 @@ PATTERNS: dict[str, tuple[str, str, bool]] = {
     "ipv6": (r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}", ":", False),
     "uuid": (r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[1-5][0-9A-Fa-f]{3}-[89ABab][0-9A-Fa-f]{3}-[0-9A-Fa-f]{12}", "-", True),
     "currency": (r"(?:USD|EUR|GBP|[$€£¥])\s?[0-9]+(?:,[0-9]{3})*(?:\.[0-9]{1,2})?", "$€£¥DRP", True),
-    "percentage": (r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++)?\s?%", "%", True),
+    "percentage": (r"(?<![0-9])[0-9]++(?:\.[0-9]++)?\s?%", "%", True),
     "number": (r"[0-9]+(?:,[0-9]{3})*(?:\.[0-9]+)?", "", True),
     "date_iso": (r"[0-9]{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])", "-", True),
     "date_us": (r"(?:0?[1-9]|1[0-2])/(?:0?[1-9]|[12][0-9]|3[01])/[0-9]{4}", "/", True),
@@ -114,7 +115,9 @@ def entities(
 
     `labels` narrows the built-in set; `custom` adds or replaces label patterns.
     """
-    chosen = {name: PATTERNS[name] for name in (PATTERNS if labels is None else labels)}
+    # A match may also begin where the one before it ended.
+    begun = lambda p: re.sub(r"^(\(\?<![^)]*\))", r"(?:\\G|\1)", p)
+    chosen = {name: (begun(PATTERNS[name][0]), *PATTERNS[name][1:]) for name in (PATTERNS if labels is None else labels)}
     chosen.update({name: (pattern, "", False) for name, pattern in (custom or {}).items()})
     keep = [c for c in df.columns if c not in (text, "label", "value", "start", "end")]
     # Matches get columns of their own, so each pattern runs once per text.
